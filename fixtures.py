@@ -1,0 +1,201 @@
+"""XML and ZIP documents made by Spark from the Parquet test tables.
+
+One document per partition: documents are written in parallel and grow in size
+with the tables. Every document mixes all the given row elements.
+"""
+
+from __future__ import annotations
+
+import re
+import shutil
+import sys
+import uuid
+import zipfile
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tagloom.plans.workspace import shared_folder
+from tagloom.sources.documents import list_files, open_file
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+FILES = 8
+NAMESPACE = "urn:example:solution"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def guid(key: Column) -> Column:
+    digest = F.md5(key.cast("string"))
+    ends = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *[F.substring(digest, a, n) for a, n in ends])
+
+
+def _object_columns() -> dict[str, Column]:
+    key = F.col("p_partkey")
+    return {
+        "class_id": F.col("p_size").cast("string"),
+        "name": F.col("p_name"),
+        "category_id": F.col("p_size") % 7,
+        "index": key % 100,
+        "object_id": key,
+        "show": F.when(key % 3 == 0, "true").when(key % 3 == 1, "Y").otherwise("no"),
+        "GUID": F.when(key % 4 == 0, "").otherwise(guid(key)),
+    }
+
+
+def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(table(spark, sf_dir, "part"), "t_object", _object_columns())
+
+
+def bad_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 10th row lacks its name, every 11th has no number as class_id."""
+    key = F.col("p_partkey")
+    columns = _object_columns()
+    columns["name"] = F.when(key % 10 != 0, columns["name"])
+    columns["class_id"] = F.when(key % 11 == 0, "abc").otherwise(columns["class_id"])
+    return _rows(table(spark, sf_dir, "part"), "t_object", columns)
+
+
+def odd_guid_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GUIDs in braces, upper case, without hyphens, and malformed ones."""
+    key = F.col("p_partkey")
+    good = guid(key)
+    columns = _object_columns()
+    columns["GUID"] = (
+        F.when(key % 5 == 0, F.concat(F.lit("{"), good, F.lit("}")))
+        .when(key % 5 == 1, F.upper(good))
+        .when(key % 5 == 2, F.replace(good, F.lit("-"), F.lit("")))
+        .when(key % 5 == 3, F.concat(F.lit("nope-"), key.cast("string")))
+        .otherwise(good)
+    )
+    return _rows(table(spark, sf_dir, "part"), "t_object", columns)
+
+
+def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order, cust = F.col("o_orderkey"), F.col("o_custkey")
+    flag = lambda n: F.when(order % n == 0, "1").otherwise("0")
+    columns = {
+        "property_id": order,
+        "collection_id": cust,
+        "enum_id": F.when(order % 5 == 0, None)
+        .when(order % 5 == 1, "")
+        .otherwise((order % 9).cast("string")),
+        "name": F.col("o_orderpriority"),
+        "summary_name": F.col("o_orderstatus"),
+        "unit_id": cust % 11,
+        "summary_unit_id": cust % 13,
+        "is_multi_band": flag(2),
+        "is_period": flag(3),
+        "is_summary": flag(4),
+        "lang_id": order % 6,
+    }
+    return _rows(table(spark, sf_dir, "orders"), "t_property", columns)
+
+
+def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = {
+        "key_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+        "membership_id": F.col("l_suppkey"),
+        "phase_id": F.col("l_linenumber"),
+        "property_id": F.col("l_partkey"),
+        "period_type_id": F.col("l_linenumber") % 5,
+    }
+    return _rows(table(spark, sf_dir, "lineitem"), "t_key", columns)
+
+
+def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table the default registry does not know."""
+    return _rows(table(spark, sf_dir, "supplier"), "t_band", {"band_id": F.col("s_suppkey")})
+
+
+def everything(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [f(spark, sf_dir) for f in (objects, properties, keys, bands)]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+
+
+def _rows(source: DataFrame, tag: str, columns: dict[str, Column]) -> DataFrame:
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return source.select(F.to_xml(row, {"rowTag": tag}).alias("value"))
+
+
+def prefixed(rows: DataFrame, prefix: str) -> DataFrame:
+    """The same rows with a namespace prefix on every tag."""
+    return rows.select(F.regexp_replace("value", r"<(/?)(\w)", rf"<$1{prefix}:$2").alias("value"))
+
+
+def fresh_folder(spark: SparkSession, what: str) -> str:
+    return f"{shared_folder(spark)}/tagloom_{what}_{uuid.uuid4().hex[:12]}"
+
+
+def write_documents(rows: DataFrame, files: int = FILES, prefix: str = "") -> str:
+    """Write XML documents into a fresh folder and return it."""
+    folder = fresh_folder(rows.sparkSession, "xml")
+    root = f"{prefix}:SolutionDataset" if prefix else "SolutionDataset"
+    declared = f"xmlns:{prefix}" if prefix else "xmlns"
+    opening = f'<?xml version="1.0" encoding="utf-8"?>\n<{root} {declared}="{NAMESPACE}">'
+    closing = f"</{root}>"
+
+    def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [opening]})
+        yield from batches
+        yield pa.RecordBatch.from_pydict({"value": [closing]})
+
+    rows.repartition(files).mapInArrow(wrap, "value string").write.text(folder)
+    return folder
+
+
+def zip_documents(spark: SparkSession, folder: str, member: str) -> str:
+    """Pack every document of a folder into a ZIP file of its own; return the new folder."""
+    target = re.sub("^file:(//)?", "", fresh_folder(spark, "zip"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(target)
+        system.create_dir(base)
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                name = f"{base}/{path.rsplit('/', 1)[-1]}.zip"
+                with open_file(path, None) as document, system.open_output_stream(name) as out:
+                    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                        with archive.open(member, "w", force_zip64=True) as inside:
+                            shutil.copyfileobj(document, inside, 1 << 20)
+                yield pa.RecordBatch.from_pydict({"path": [name]})
+
+    list_files(spark, folder, "*.txt").select("path").mapInArrow(pack, "path string").count()
+    return target
+
+
+_made: dict[tuple[str, str, str], str] = {}
+
+
+def cached(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], str]) -> str:
+    """Make a folder of documents once per session and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
+
+
+def documents(spark: SparkSession, sf_dir: str, make: Callable, prefix: str = "") -> str:
+    """Folder of the documents of one of the row makers above."""
+
+    def write() -> str:
+        rows = make(spark, sf_dir)
+        return write_documents(prefixed(rows, prefix) if prefix else rows, prefix=prefix)
+
+    return cached(spark, sf_dir, f"{make.__name__}/{prefix}", write)
+
+
+def archives(spark: SparkSession, sf_dir: str, make: Callable, member: str) -> str:
+    """Folder of the same documents as ZIP files."""
+    folder = documents(spark, sf_dir, make)
+    return cached(
+        spark, sf_dir, f"{make.__name__}/zip/{member}", lambda: zip_documents(spark, folder, member)
+    )
