@@ -54,6 +54,10 @@ def ingest_stream(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         _load_batch(batch, batch_id, source, database, registry, mode)
+        # a batch runs in a session of its own; let the caller's see the new files
+        for name in registry.names():
+            spark.catalog.refreshTable(f"`{database}`.`{name}`")
+            spark.catalog.refreshTable(f"`{database}`.`{name}__rejects`")
 
     writer = records.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if available_now:
