@@ -1,6 +1,7 @@
 """Rows to typed tables: child texts, conversion, violations.
 
-A typed row has, per table, a struct of its values (NULL for rows of other
+There are two ways: `type_plain` for the mass of simple rows without a violation,
+`type_rows` for all others. A typed row has, per table, a struct of its values (NULL for rows of other
 tables), and for a bad row also the texts the values came from, from which its
 violations are told. Columns besides these: source, status, tag, known, depth,
 good, row_xml (bad rows only).
@@ -23,34 +24,76 @@ VIOLATION = "struct<rule:string,column:string,value:string>"
 
 
 def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> DataFrame:
-    """Typed rows of the plain records; other records pass with `plain` false.
+    """(source, source_status, tag, done, record, one struct per table).
 
-    Input: the records of a source. All tables are typed in one pass, so a source
-    is read once however many tables it holds.
+    Types the plain records without a violation; `done` is true for them. For the
+    others it is false, and `record` keeps the text for `split_rows` and
+    `type_rows`. All tables are typed in one pass, so a source is read once
+    however many tables it holds. Good rows of unknown tables are done, too.
     """
-    record, plain, tag = F.col("record"), F.col("plain"), F.col("tag")
-    flagged = records.select(
-        "source", "source_status", "record", is_plain(record, registry, prefix).alias("plain")
+    record, tag = F.col("record"), F.col("tag")
+    tagged = records.select(
+        "source",
+        "source_status",
+        "record",
+        F.when(is_plain(record, registry, prefix), plain_tag(record)).alias("tag"),
     )
-    tagged = flagged.withColumn("tag", F.when(plain, plain_tag(record)))
-    parsed = tagged.select(
+    valued = tagged.select(
         "*",
-        F.when(plain, F.lit(OK)).alias("status"),
-        F.lit(0).alias("depth"),
-        registry.is_known(tag).alias("known"),
         *[
             F.when(
                 tag == spec.name,
-                F.struct(
-                    *[strip(plain_child(record, c, prefix)).alias(c) for c in spec.children]
-                ),
-            ).alias(_raw_name(spec))
+                F.struct(*[_plain_value(record, f, prefix).alias(f.target) for f in spec.fields]),
+            ).alias(spec.name)
             for spec in registry
         ],
     )
-    row_xml = F.concat(F.lit(f"<{prefix}:t_" if prefix else "<t_"), strip(record))
-    return _typed(parsed, registry, row_xml, "source_status", "plain").withColumn(
-        "record", F.when(~plain, record)
+    # a NULL is fine where an optional child is absent or empty; anything else that
+    # gives NULL is left to the general way to judge
+    done = F.lit(True)
+    for spec in registry:
+        fine = [
+            F.col(spec.name).getField(f.target).isNotNull()
+            | (F.lit(False) if f.required else _absent_or_empty(record, f, prefix))
+            for f in spec.fields
+        ]
+        done = F.when(tag == spec.name, reduce(and_, fine)).otherwise(done)
+    judged = valued.withColumn("done", tag.isNotNull() & done)
+    return judged.select(
+        "source",
+        "source_status",
+        "tag",
+        "done",
+        F.when(~F.col("done"), record).alias("record"),
+        *[F.when(F.col("done"), F.col(name)).alias(name) for name in registry.names()],
+    )
+
+
+def _plain_value(record: Column, field: Field, prefix: str) -> Column:
+    text = plain_child(record, field.source, prefix)
+    return field.value(strip(text) if field.minds_space else text)
+
+
+def _absent_or_empty(record: Column, field: Field, prefix: str) -> Column:
+    return F.coalesce(plain_child(record, field.source, prefix) == "", F.lit(True))
+
+
+def plain_rows(typed_plain: DataFrame, like: DataFrame, registry: Registry) -> DataFrame:
+    """The done rows of `type_plain` with the columns of `type_rows`."""
+    fixed = {
+        "status": F.lit(OK),
+        "depth": F.lit(0),
+        "known": registry.is_known(F.col("tag")),
+        "good": F.lit(True),
+    }
+    kept = {"source", "tag", *registry.names()}
+    return typed_plain.filter("done").select(
+        *[
+            F.col(c.name)
+            if c.name in kept
+            else fixed.get(c.name, F.lit(None).cast(c.dataType)).alias(c.name)
+            for c in like.schema
+        ]
     )
 
 
@@ -81,7 +124,23 @@ def type_rows(rows: DataFrame, registry: Registry) -> DataFrame:
             for spec in registry
         ],
     )
-    return _typed(raw, registry, F.to_json("fields") if whole else F.col("row_xml"))
+    judged = raw.select("*", *_values(registry)).withColumn(
+        "good",
+        F.when(tag.isNull(), True).when(F.col("status") != OK, False).otherwise(_good(registry)),
+    )
+    bad = ~F.col("good")
+    row_xml = F.to_json("fields") if whole else F.col("row_xml")
+    return judged.select(
+        "source",
+        "status",
+        "tag",
+        "known",
+        "depth",
+        "good",
+        F.when(bad, row_xml).alias("row_xml"),
+        *registry.names(),
+        *[F.when(bad, F.col(_raw_name(s))).alias(_raw_name(s)) for s in registry],
+    )
 
 
 def _children(rows: DataFrame, registry: Registry) -> Column:
@@ -100,41 +159,25 @@ def _children(rows: DataFrame, registry: Registry) -> Column:
     return F.from_xml(F.col("row_xml"), schema, options)
 
 
-def _typed(parsed: DataFrame, registry: Registry, row_xml: Column, *keep: str) -> DataFrame:
-    """Values from raw texts, and whether the row is good."""
-    tag = F.col("tag")
-    valued = parsed.select(
-        "*",
-        *[
-            F.when(
-                F.col(_raw_name(spec)).isNotNull(),
-                F.struct(*[f.value(_raw(spec, f)).alias(f.target) for f in spec.fields]),
-            ).alias(spec.name)
-            for spec in registry
-        ],
-    )
-    good = F.when(tag.isNull(), True).when(F.col("status") != OK, False)
+def _values(registry: Registry) -> list[Column]:
+    """One struct of converted values per table, from the raw texts."""
+    return [
+        F.when(
+            F.col(_raw_name(spec)).isNotNull(),
+            F.struct(*[f.value(_raw(spec, f)).alias(f.target) for f in spec.fields]),
+        ).alias(spec.name)
+        for spec in registry
+    ]
+
+
+def _good(registry: Registry) -> Column:
+    """Has the row no bad value? True for rows of unknown tables."""
+    good = F.lit(True)
     for spec in registry:
-        good = good.when(
-            tag == spec.name,
-            F.col(spec.name).isNotNull()
-            & reduce(and_, [~_is_bad(spec, f) for f in spec.fields]),
-        )
-    judged = valued.withColumn("good", good.otherwise(True))
-    bad = ~F.col("good")
-    return judged.select(
-        "source",
-        *keep,
-        "status",
-        "tag",
-        "known",
-        "depth",
-        "good",
-        F.when(bad, row_xml).alias("row_xml"),
-        *registry.names(),
-        *[F.when(bad, F.col(_raw_name(s))).alias(_raw_name(s)) for s in registry],
-        *(["record"] if "record" in judged.columns else []),
-    )
+        sound = F.col(spec.name).isNotNull()
+        fields = reduce(and_, [~_is_bad(spec, f) for f in spec.fields])
+        good = F.when(F.col("tag") == spec.name, sound & fields).otherwise(good)
+    return good
 
 
 def _raw_name(spec: TableSpec) -> str:

@@ -10,7 +10,13 @@ from tagloom.errors import IngestError
 from tagloom.operators.quality import ERROR, broken_sources, findings, sources_to_reread
 from tagloom.operators.plain import is_plain
 from tagloom.operators.rows import split_rows
-from tagloom.operators.typed import good_rows, rejected_rows, type_plain, type_rows
+from tagloom.operators.typed import (
+    good_rows,
+    plain_rows,
+    rejected_rows,
+    type_plain,
+    type_rows,
+)
 from tagloom.plans import sink
 from tagloom.plans.events import record_events, rows_by_table
 from tagloom.plans.workspace import new_run_id, small_methods, work_database
@@ -89,19 +95,19 @@ def read_table(
     source = source.resolve(spark)
     if source.kind == WHOLE:
         rows = source.whole_rows(spark, only).filter(F.col("tag") == name)
-        return _good(type_rows(rows, only), spec)
+        return good_rows(_observed(type_rows(rows, only)), spec)
     record = F.col("record")
     records = source.records(spark).filter(record.startswith(name.removeprefix("t_")))
-    plain = is_plain(record, only, source.prefix)
-    simple = type_plain(records.filter(plain), only, source.prefix)
-    other = type_rows(source.split(records.filter(~plain), only), only)
-    return _good(simple, spec).unionAll(_good(other, spec))
+    simple = _observed(type_plain(records, only, source.prefix)).withColumnRenamed("done", "good")
+    others = records.filter(~is_plain(record, only, source.prefix))
+    general = _observed(type_rows(source.split(others, only), only))
+    return good_rows(simple, spec).unionAll(good_rows(general, spec))
 
 
-def _good(typed: DataFrame, spec: TableSpec) -> DataFrame:
+def _observed(typed: DataFrame) -> DataFrame:
     # a filter on converted values would move below the conversion and repeat it;
     # Spark moves no filter past an observation
-    return good_rows(typed.observe(f"rows_{new_run_id()}", F.count("*").alias("rows")), spec)
+    return typed.observe(f"rows_{new_run_id()}", F.count("*").alias("rows"))
 
 
 def stage(spark: SparkSession, source: Source, registry: Registry, work: str) -> DataFrame:
@@ -127,10 +133,10 @@ def stage_records(
     with small_methods(spark):
         type_plain(records, registry, source.prefix).write.saveAsTable(first)
         scanned = spark.table(first)
-        others = scanned.filter(~F.col("plain")).select("source", "source_status", "record")
+        others = scanned.filter(~F.col("done")).select("source", "source_status", "record")
         type_rows(source.split(others, registry), registry).write.saveAsTable(second)
     general = spark.table(second)
-    return scanned.filter("plain").select(*general.columns).unionAll(general)
+    return plain_rows(scanned, general, registry).unionAll(general)
 
 
 def heal(typed: DataFrame, source: Source, registry: Registry, work: str) -> DataFrame:

@@ -14,12 +14,17 @@ from tagloom.functions import convert as cv
 
 @dataclass(frozen=True)
 class Kind:
-    """A column type: its Spark type, its conversion and the rule a bad value breaks."""
+    """A column type: its Spark type, its conversion and the rule a bad value breaks.
+
+    `convert` takes trimmed text and gives NULL for NULL. `minds_space` says that it
+    could take untrimmed text for another value than the trimmed text.
+    """
 
     name: str
     data_type: T.DataType
     convert: Callable[[Column], Column]
     fault: Callable[[Column], Column]
+    minds_space: bool = False
 
 
 def _whole_number_fault(value: Column) -> Column:
@@ -33,8 +38,8 @@ def _plain_fault(_: Column) -> Column:
 # Conversions of trimmed text; `tagloom.functions.convert` has them for any text.
 INTEGER = Kind("integer", T.IntegerType(), lambda v: v.try_cast("int"), _whole_number_fault)
 BIGINT = Kind("bigint", T.LongType(), lambda v: v.try_cast("bigint"), _whole_number_fault)
-VARCHAR = Kind("varchar", T.StringType(), lambda v: v, _plain_fault)
-BOOLEAN = Kind("boolean", T.BooleanType(), cv.is_true_word, _plain_fault)
+VARCHAR = Kind("varchar", T.StringType(), lambda v: v, _plain_fault, True)
+BOOLEAN = Kind("boolean", T.BooleanType(), cv.is_true_word, _plain_fault, True)
 UUID = Kind("uuid", T.StringType(), cv.uuid_of, lambda _: F.lit("bad_format"))
 DOUBLE = Kind("double", T.DoubleType(), cv.floating, _plain_fault)
 DATE = Kind("date", T.DateType(), lambda v: v.try_cast("date"), _plain_fault)
@@ -66,14 +71,19 @@ class Field:
     def target(self) -> str:
         return self.column or self.name
 
+    @property
+    def minds_space(self) -> bool:
+        return self.convert is not None or self.kind.minds_space
+
     def value(self, raw: Column) -> Column:
         """The converted value; an absent optional value takes the default."""
-        converted = (self.convert or self.kind.convert)(raw)
-        if self.convert:
-            converted = converted.cast(self.kind.data_type)
+        if self.convert is None:
+            converted = self.kind.convert(raw)
+        else:
+            converted = F.when(raw.isNotNull(), self.convert(raw)).cast(self.kind.data_type)
         if self.required or self.default is None:
             # an absent required value is a violation, never a made-up value
-            return F.when(raw.isNotNull(), converted)
+            return converted
         fallback = F.lit(self.default).cast(self.kind.data_type)
         return F.when(raw.isNull(), fallback).otherwise(converted)
 
