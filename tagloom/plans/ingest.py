@@ -31,6 +31,9 @@ from tagloom.spec import Registry, TableSpec, default_registry
 # Fixed value: the document inside an archive.
 DEFAULT_MEMBER = "SolutionDataset.xml"
 
+# More files than this to read again are joined by name instead of listed in a filter.
+MAX_NAMED_FILES = 1000
+
 TEXT, ZIP, WHOLE = "text", "zip", "whole"
 STRICT, QUARANTINE = "strict", "quarantine"
 
@@ -67,7 +70,10 @@ class Source:
         return split_rows(records, registry, self.prefix, decoded=self.kind == ZIP)
 
     def whole_rows(
-        self, spark: SparkSession, registry: Registry, only: list[str] | None = None
+        self,
+        spark: SparkSession,
+        registry: Registry,
+        only: list[str] | DataFrame | None = None,
     ) -> DataFrame:
         member = self.member if self.kind == ZIP else None
         return read_whole_rows(spark, self.paths, registry.children(), member, only)
@@ -146,11 +152,17 @@ def heal(typed: DataFrame, source: Source, registry: Registry, work: str) -> Dat
     where it does not, the rows found by cutting stay, each judged by itself.
     """
     spark = typed.sparkSession
-    unsafe = [r.source for r in sources_to_reread(typed).collect()]
-    if not unsafe:
+    unsafe_name, again_name, healed_name = (f"`{work}`.`{n}`" for n in ("unsafe", "again", "healed"))
+    unsafe = sources_to_reread(typed)
+    if source.kind == ZIP:  # the file a member is in
+        unsafe = unsafe.select(F.regexp_replace("source", "![^!]*$", "").alias("source")).distinct()
+    unsafe.write.saveAsTable(unsafe_name)
+    unsafe = spark.table(unsafe_name)
+    named = [r.source for r in unsafe.limit(MAX_NAMED_FILES + 1).collect()]
+    if not named:
         return typed
-    again_name, healed_name = f"`{work}`.`again`", f"`{work}`.`healed`"
-    type_rows(source.whole_rows(spark, registry, unsafe), registry).write.saveAsTable(again_name)
+    only = named if len(named) <= MAX_NAMED_FILES else unsafe
+    type_rows(source.whole_rows(spark, registry, only), registry).write.saveAsTable(again_name)
     again = spark.table(again_name)
     whole = again.select("source").distinct().join(broken_sources(again), "source", "left_anti")
     whole.write.saveAsTable(healed_name)

@@ -19,7 +19,6 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 INLINE_LIMIT = 256 * 1024 * 1024
-FILE_COLUMNS = ("source", "path", "content")
 
 
 def list_files(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
@@ -35,13 +34,18 @@ def load_files(
     spark: SparkSession,
     paths: str | list[str],
     glob: str | None = None,
-    only: list[str] | None = None,
+    only: list[str] | DataFrame | None = None,
     inline_limit: int = INLINE_LIMIT,
 ) -> DataFrame:
     """(source, path, content); content is NULL for files to be opened by path.
 
-    `only` keeps the files with these source names.
+    `only` keeps the files with these source names: a list is applied when files
+    are listed; a frame with a column `source`, for more names than a filter
+    should hold, is joined to the listing, and the files are opened by path.
     """
+    if isinstance(only, DataFrame):
+        listed = list_files(spark, paths, glob).join(only, "source", "left_semi")
+        return listed.select("source", "path", F.lit(None).cast("binary").alias("content"))
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)

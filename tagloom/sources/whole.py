@@ -43,23 +43,21 @@ def read_whole_rows(
     paths: str | list[str],
     children: list[str],
     member: str | None = None,
-    only: list[str] | None = None,
+    only: list[str] | DataFrame | None = None,
 ) -> DataFrame:
     """Rows of whole documents, in the shape of `tagloom.operators.rows.split_rows`.
 
-    `member` reads ZIP archives; `only` keeps the given source names. Child names
-    in `fields` are lower case and limited to `children`.
+    `member` reads ZIP archives; `only` keeps the files with these source names.
+    Child names in `fields` are lower case and limited to `children`.
     """
     wanted = frozenset(c.lower() for c in children)
     if member is not None:
         check_member(member)
-    keep = None if only is None else frozenset(only)
-    files = None if keep is None else sorted({s.rpartition("!")[0] for s in keep} if member else keep)
-    scan = load_files(spark, paths, ZIP_GLOB if member else None, files)
-    return scan.mapInArrow(lambda batches: _parse(batches, wanted, member, keep), ROW_SCHEMA)
+    scan = load_files(spark, paths, ZIP_GLOB if member else None, only)
+    return scan.mapInArrow(lambda batches: _parse(batches, wanted, member), ROW_SCHEMA)
 
 
-def _parse(batches, wanted, member, keep) -> Iterator[pa.RecordBatch]:
+def _parse(batches, wanted, member) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for source, path, content in zip(*(batch.column(i) for i in range(3))):
             args = source.as_py(), path.as_py(), content.as_py()
@@ -68,8 +66,6 @@ def _parse(batches, wanted, member, keep) -> Iterator[pa.RecordBatch]:
             else:
                 opened = [(args[0], "ok", open_file(*args[1:]))]
             for name, status, stream in opened:
-                if keep is not None and name not in keep:
-                    continue
                 if stream is None:
                     yield _batch([(name, status, None, 0, 0, None)])
                     continue

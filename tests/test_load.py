@@ -182,6 +182,27 @@ def test_prefixed_documents(spark, write, database):
     assert len(_rows(spark, database)) == 3
 
 
+def test_many_files_to_read_again(spark, write, database, monkeypatch):
+    """Names beyond the filter limit are joined, with the same result."""
+    monkeypatch.setattr("tagloom.plans.ingest.MAX_NAMED_FILES", 1)
+    inner = document(row(extra=row(name="in")))
+    folder = write(inner, document(row()), inner)
+    ingest(spark, Source(folder), database)
+    assert [r[1] for r in _rows(spark, database)].count("in") == 2
+    archives = write(zipped(SolutionDataset=inner), zipped(SolutionDataset=inner), suffix=".zip")
+    ingest(spark, Source(archives, "zip"), database, overwrite=True)
+    assert len(_rows(spark, database)) == 4
+
+
+def test_large_files_are_opened_by_path(spark, write):
+    from tagloom.sources.documents import list_files, load_files
+
+    folder = write(document(row()), document(row(), row(name="long" * 500)))
+    sizes = [r.length for r in list_files(spark, folder).collect()]
+    loaded = load_files(spark, folder, inline_limit=min(sizes)).collect()
+    assert sorted(r.content is None for r in loaded) == [False, True]
+
+
 def test_registry(spark, write, database):
     registry = default_registry()
     registry.register(
