@@ -12,15 +12,23 @@ FINDING_COLUMNS = ("level", "source", "table_name", "rule", "column_name", "occu
 INFO, WARNING, ERROR = "INFO", "WARNING", "ERROR"
 
 
-def findings(typed: DataFrame, registry: Registry) -> DataFrame:
-    """Rows loaded, unknown tables, violations and damaged sources.
+def count_rows(typed: DataFrame) -> DataFrame:
+    """Rows and open elements per source, tag and state.
 
-    Two aggregations over narrow columns; both combine inside each task before
-    they shuffle, so a source or table with very many rows is one line per task.
+    The one aggregation over all rows. It reads narrow columns and combines inside
+    each task before it shuffles, so a source or table with very many rows is one
+    line per task.
     """
-    counted = typed.groupBy("source", "tag", "known", "status", "good").agg(
+    return typed.groupBy("source", "tag", "known", "status", "good").agg(
         F.count("*").alias("n"), F.sum("depth").alias("depth")
     )
+
+
+def findings(counted: DataFrame, typed: DataFrame, registry: Registry) -> DataFrame:
+    """Rows loaded, unknown tables, violations and damaged sources.
+
+    `counted` is the stored result of `count_rows`; of `typed` only bad rows are read.
+    """
     is_row = F.col("tag").isNotNull()
     rows = (
         counted.filter(is_row & F.col("good"))
@@ -43,7 +51,7 @@ def findings(typed: DataFrame, registry: Registry) -> DataFrame:
     )
     unbalanced = (
         counted.groupBy("source")
-        .agg(F.sum("depth").alias("depth"))
+        .agg(F.sum("depth").cast("bigint").alias("depth"))
         .filter(F.col("depth") != 0)
         .select("source", F.lit("unbalanced_document").alias("rule"), F.abs("depth").alias("occurrences"))
     )
@@ -74,11 +82,11 @@ def findings(typed: DataFrame, registry: Registry) -> DataFrame:
     return rows.unionByName(documents).unionByName(broken_rules)
 
 
-def sources_to_reread(typed: DataFrame) -> DataFrame:
+def sources_to_reread(counted: DataFrame) -> DataFrame:
     """Sources that could not be cut into rows safely: state says so, or tags do not add up."""
     unsafe = F.col("status").isin(*STATES_TO_REREAD)
     return (
-        typed.groupBy("source")
+        counted.groupBy("source")
         .agg(F.max(unsafe).alias("unsafe"), F.sum("depth").alias("depth"))
         .filter(F.col("unsafe") | (F.col("depth") != 0))
         .select("source")

@@ -7,7 +7,13 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.errors import IngestError
-from tagloom.operators.quality import ERROR, broken_sources, findings, sources_to_reread
+from tagloom.operators.quality import (
+    ERROR,
+    broken_sources,
+    count_rows,
+    findings,
+    sources_to_reread,
+)
 from tagloom.operators.plain import is_plain
 from tagloom.operators.rows import split_rows
 from tagloom.operators.typed import (
@@ -116,60 +122,65 @@ def _observed(typed: DataFrame) -> DataFrame:
     return typed.observe(f"rows_{new_run_id()}", F.count("*").alias("rows"))
 
 
-def stage(spark: SparkSession, source: Source, registry: Registry, work: str) -> DataFrame:
-    """Typed rows of all tables, written to the work database.
-
-    The source is scanned once. That pass types the plain rows and keeps the few
-    other records as they are; a second, small pass takes them from there.
-    """
+def stage(
+    spark: SparkSession, source: Source, registry: Registry, work: str
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows of all tables and their counts, written to the work database."""
     source = source.resolve(spark)
     if source.kind == WHOLE:
-        whole = f"`{work}`.`whole`"
-        type_rows(source.whole_rows(spark, registry), registry).write.saveAsTable(whole)
-        return spark.table(whole)
-    records = source.records(spark)
-    return heal(stage_records(records, source, registry, work), source, registry, work)
+        rows = type_rows(source.whole_rows(spark, registry), registry)
+        typed = _store(rows, work, "whole")
+        return typed, _store(count_rows(typed), work, "counted")
+    return stage_records(source.records(spark), source, registry, work)
 
 
 def stage_records(
     records: DataFrame, source: Source, registry: Registry, work: str
-) -> DataFrame:
-    spark = records.sparkSession
-    first, second = f"`{work}`.`first`", f"`{work}`.`second`"
-    with small_methods(spark):
-        type_plain(records, registry, source.prefix).write.saveAsTable(first)
-        scanned = spark.table(first)
-        others = scanned.filter(~F.col("done")).select("source", "source_status", "record")
-        type_rows(source.split(others, registry), registry).write.saveAsTable(second)
-    general = spark.table(second)
-    return plain_rows(scanned, general, registry).unionAll(general)
-
-
-def heal(typed: DataFrame, source: Source, registry: Registry, work: str) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows and counts of records.
+
+    The source is scanned once. That pass types the plain rows and keeps the few
+    other records as they are; a second, small pass takes them from there.
+    """
+    with small_methods(records.sparkSession):
+        first = _store(type_plain(records, registry, source.prefix), work, "first")
+        others = first.filter(~F.col("done")).select("source", "source_status", "record")
+        second = _store(type_rows(source.split(others, registry), registry), work, "second")
+    typed = plain_rows(first, second, registry).unionAll(second)
+    counted = _store(count_rows(typed), work, "counted")
+    return heal(typed, counted, source, registry, work)
+
+
+def heal(
+    typed: DataFrame, counted: DataFrame, source: Source, registry: Registry, work: str
+) -> tuple[DataFrame, DataFrame]:
     """Read sources that cannot be cut into rows again, as whole documents.
 
     Where that reading finds the document well formed it replaces the first one;
     where it does not, the rows found by cutting stay, each judged by itself.
     """
     spark = typed.sparkSession
-    unsafe_name, again_name, healed_name = (f"`{work}`.`{n}`" for n in ("unsafe", "again", "healed"))
-    unsafe = sources_to_reread(typed)
+    unsafe = sources_to_reread(counted)
     if source.kind == ZIP:  # the file a member is in
         unsafe = unsafe.select(F.regexp_replace("source", "![^!]*$", "").alias("source")).distinct()
-    unsafe.write.saveAsTable(unsafe_name)
-    unsafe = spark.table(unsafe_name)
     named = [r.source for r in unsafe.limit(MAX_NAMED_FILES + 1).collect()]
     if not named:
-        return typed
-    only = named if len(named) <= MAX_NAMED_FILES else unsafe
-    type_rows(source.whole_rows(spark, registry, only), registry).write.saveAsTable(again_name)
-    again = spark.table(again_name)
+        return typed, counted
+    only = named if len(named) <= MAX_NAMED_FILES else _store(unsafe, work, "unsafe")
+    again = _store(type_rows(source.whole_rows(spark, registry, only), registry), work, "again")
     whole = again.select("source").distinct().join(broken_sources(again), "source", "left_anti")
-    whole.write.saveAsTable(healed_name)
-    healed = spark.table(healed_name)
-    return typed.join(healed, "source", "left_anti").unionByName(
+    healed = _store(whole, work, "healed")
+    typed = typed.join(healed, "source", "left_anti").unionByName(
         again.join(healed, "source", "left_semi")
     )
+    return typed, _store(count_rows(typed), work, "recounted")
+
+
+def _store(frame: DataFrame, work: str, name: str) -> DataFrame:
+    """Write a table of the work database and read it back."""
+    table = f"`{work}`.`{name}`"
+    frame.write.saveAsTable(table)
+    return frame.sparkSession.table(table)
 
 
 def ingest(
@@ -199,8 +210,8 @@ def ingest(
     version = sink.version_name(database, run_id)
     sink.create_database(spark, database)
     with work_database(spark, run_id) as work:
-        typed = stage(spark, source, registry, work)
-        events = record_events(spark, database, run_id, findings(typed, registry))
+        typed, counted = stage(spark, source, registry, work)
+        events = record_events(spark, database, run_id, findings(counted, typed, registry))
         if mode == STRICT:
             raise_on_errors(events)
         sink.create_version(spark, database, version)

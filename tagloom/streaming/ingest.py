@@ -13,7 +13,6 @@ from tagloom.plans.ingest import (
     QUARANTINE,
     STRICT,
     Source,
-    heal,
     raise_on_errors,
     stage_records,
 )
@@ -75,8 +74,9 @@ def _load_batch(
 ) -> None:
     spark = batch.sparkSession
     with work_database(spark, new_run_id()) as work:
-        typed = heal(stage_records(batch, source, registry, work), source, registry, work)
-        events = record_events(spark, database, f"batch-{batch_id}", findings(typed, registry))
+        typed, counted = stage_records(batch, source, registry, work)
+        found = findings(counted, typed, registry)
+        events = record_events(spark, database, f"batch-{batch_id}", found)
         if mode == STRICT:
             raise_on_errors(events)
         for spec in registry:

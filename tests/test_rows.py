@@ -141,7 +141,7 @@ def _staged(spark, folder_of, kind, cases):
     case_of = {f"d{i}.xml": name for i, (name, _) in enumerate(documents)}
     found = {name: ([], []) for name in cases}
     with work_database(spark, new_run_id()) as work:
-        typed = stage(spark, Source(folder, kind), REGISTRY, work)
+        typed, _ = stage(spark, Source(folder, kind), REGISTRY, work)
         good = typed.filter((F.col("tag") == "t_object") & F.col("good"))
         for line in good.select("source", "t_object.*").collect():
             found[case_of[line.source.rsplit("/", 1)[-1]]][0].append(tuple(line)[1:])
