@@ -76,7 +76,10 @@ def _inflate(batches, member: str, sep: str, block_bytes: int) -> Iterator[pa.Re
                 number = 0
                 try:
                     for number, text in enumerate(_cut(stream, sep, block_bytes)):
-                        yield _block(name, "ok", number, text)
+                        if number == 0 and not text:
+                            yield _block(name, "bad_document", 0, None)
+                        else:
+                            yield _block(name, "ok", number, text)
                 except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError):
                     yield _block(name, "bad_archive", number + 1, None)
 

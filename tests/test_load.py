@@ -78,6 +78,9 @@ def test_damaged_documents_are_refused(spark, write, database):
             ingest(spark, Source(write(text)), database)
         with pytest.raises(IngestError, match="bad_document"):
             ingest(spark, Source(write(text), "whole"), database)
+    empty = write(zipped(SolutionDataset=""), suffix=".zip")
+    with pytest.raises(IngestError, match="bad_document"):
+        ingest(spark, Source(empty, "zip"), database)
     assert ("unbalanced_document" in {r.rule for r in read_events(spark, database).collect()})
     assert not spark.catalog.tableExists(f"{database}.t_object")
 
