@@ -34,6 +34,14 @@ from tagloom.plans.events import read_events  # noqa: E402
 from tagloom.plans.profile import totals, unknown_tables  # noqa: E402
 from tagloom.spec import INTEGER  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from tagloom.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tagloom.llm"):
+        raise
+    llm_queries = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 MEMBER = "SolutionDataset.xml"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -362,6 +370,8 @@ def convert_date_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     tables = (("object", fx.objects), ("property", fx.properties), ("key", fx.keys))
     found: dict[str, Query] = {}
+    if llm_queries:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
     for name, make in tables:
         found[f"ingest_{name}"] = _read(_text, make, f"t_{name}")
         found[f"ingest_{name}_mixed"] = _read(_text, fx.everything, f"t_{name}")
@@ -487,6 +497,10 @@ def _words_sql(values: dict[int, str], otherwise: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     found: dict[str, str] = {}
+    if llm_queries:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
     for name, sql in (("object", _OBJECT), ("property", _PROPERTY), ("key", _KEY)):
         found[f"load_{name}"] = sql
         for suffix in ("", "_mixed", "_zip", "_whole", "_prefixed"):
