@@ -7,21 +7,53 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import bpe, linededup, mixing, quality, simhash
-from tagloom.llm.shared import read_table
+from tagloom.llm import bpe, hilbert, linededup, mixing, neargraph, quality, simhash, toxicity, urls, warc
+from tagloom.llm.shared import Scratch, read_table
 
 VOCABULARY = "word_bpe_49k.json"
+URL_RULES = (
+    urls.UrlRule("net/", "block"),
+    urls.UrlRule("example.net/en/", "allow"),
+    urls.UrlRule("example.com/de/", "block"),
+    urls.UrlRule("org/fr/", "allow"),
+)
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = (read_table(spark, sf_dir, name) for name in ("pages", "labels"))
+    return urls.judge_urls(pages, labels, URL_RULES).drop("lower")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hilbert.shards(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve",
+    )
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    path = f"{scratch.root}/archives"
+    warc.write_archives(read_table(spark, sf_dir, "pages"), path, scratch=scratch)
+    return warc.read_archives(spark, path, scratch).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs, measures=quality.MEASURES).drop("text")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neargraph.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token shares of the mix: nine tenths good, the rest toxic and junk, within the tokens there are."""
     docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
@@ -34,6 +66,15 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    found = toxicity.score(docs, toxicity.fit(docs, labels), threshold=0.3)
+    return found.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted",
+        F.size("sentences").alias("n_offending"), F.get("sentences", F.lit(0)).alias("worst"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     ids = bpe.encode(read_table(spark, sf_dir, "documents"), path)
@@ -58,13 +99,66 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op2_simhash, op5_quality, op7_mixing, op9_bpe, op10_line_dedup)}
-    return found
+    dealt = (
+        op1_url_filter, op2_simhash, op3_sharding, op4_warc, op5_quality,
+        op6_embedding_dedup, op7_mixing, op8_toxicity, op9_bpe, op10_line_dedup,
+    )
+    return {f.__name__: f for f in dealt}
 
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(text, '[^ \t\n\x0B\f\r]+')"
 
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_URL = "regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)'"
+
+
+def _strength_sql(level: str) -> str:
+    """Prior strength of a level with n, k and the parent's rate m."""
+    return f"""(SELECT CASE WHEN coalesce(d, 0) = 0 OR q <= c THEN 1000.0
+        ELSE least(1000.0, greatest(2.0, d / (q - c) - 1)) END
+        FROM (SELECT sum(n * (k / n - m) * (k / n - m) / (m * (1 - m))) AS q, count(*) AS c, sum(n - 1) AS d
+              FROM {level} WHERE n > 0))"""
+
+
+OP1_SQL = f"""
+WITH parsed AS (
+    SELECT page_id, translate({_URL}, 1), {_LOWER}) AS host, {_URL}, 2) AS path FROM pages
+), outcome AS (
+    SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
+    WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id
+), hosts AS (
+    SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+           string_split(host, '.')[-1] AS suffix, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS k
+    FROM parsed LEFT JOIN outcome ON page_id = doc_id GROUP BY host
+), by_suffix AS (
+    SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 1) / (sum(n) + 2) FROM hosts) AS m
+    FROM hosts GROUP BY suffix
+), suffixes AS (
+    SELECT suffix, (k + s * m) / (n + s) AS m FROM by_suffix, (SELECT {_strength_sql("by_suffix")} AS s)
+), by_domain AS (
+    SELECT h.domain, sum(h.n) AS n, sum(h.k) AS k, any_value(s.m) AS m
+    FROM hosts h JOIN suffixes s USING (suffix) GROUP BY h.domain, h.suffix
+), domains AS (
+    SELECT domain, (k + s * m) / (n + s) AS m FROM by_domain, (SELECT {_strength_sql("by_domain")} AS s)
+), by_host AS (
+    SELECT host, n, k, m FROM hosts JOIN domains USING (domain)
+), posterior AS (
+    SELECT host, k + s * m AS a, n - k + s * (1 - m) AS b FROM by_host, (SELECT {_strength_sql("by_host")} AS s)
+), judged AS (
+    SELECT host, a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS lower FROM posterior
+), ruled AS (
+    SELECT *, CASE
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM parsed
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow' WHEN lower > 0.3 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled JOIN judged USING (host)"""
+
 OP5_SQL = rf"""
 WITH base AS (
     SELECT doc_id, coalesce(text, '') AS text FROM documents
@@ -110,5 +204,24 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(c.k) AS BIGINT) A
 FROM lines LEFT JOIN common c ON lines.k = c.k GROUP BY r, doc_id"""
 
 
+#: Base 32 of the digest, digit by digit: five bits from the hexadecimal digits that hold them.
+OP4_SQL = """
+WITH digits AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), digested AS (
+    SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+               (((instr('0123456789abcdef', substr(h, 1 + CAST(i * 5 // 4 AS INTEGER), 1)) - 1) * 16
+                 + greatest(0, instr('0123456789abcdef', substr(h, 2 + CAST(i * 5 // 4 AS INTEGER), 1)) - 1))
+                // CAST(pow(2, 3 - (i * 5) % 4) AS INTEGER)) % 32 AS INTEGER), 1)), '') AS payload_digest
+    FROM digits
+), led AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS leader FROM digested
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = leader THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> leader THEN leader END AS refers_to
+FROM led"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality": OP5_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op1_url_filter": OP1_SQL, "op4_warc": OP4_SQL, "op5_quality": OP5_SQL, "op10_line_dedup": OP10_SQL}
