@@ -92,7 +92,7 @@ class Classifier:
 
 def fit(
     docs: DataFrame, labels: DataFrame, domains: Mapping[str, str] = DOMAINS,
-    most_rows: int = 20_000, most_marks: int = 64, least_docs: int = 10, least_gain: float = 60.0,
+    most_rows: int = 20_000, most_marks: int = 64, least_docs: int = 5, least_gain: float = 30.0,
     least_gap: float = 2.5,
 ) -> Classifier:
     """Learn domains from labelled documents (labels: doc_id and the columns `domains` names).

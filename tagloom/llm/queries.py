@@ -132,7 +132,7 @@ WITH parsed AS (
            string_split(host, '.')[-1] AS suffix, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS k
     FROM parsed LEFT JOIN outcome ON page_id = doc_id GROUP BY host
 ), by_suffix AS (
-    SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 1) / (sum(n) + 2) FROM hosts) AS m
+    SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.1) / (sum(n) + 1) FROM hosts) AS m
     FROM hosts GROUP BY suffix
 ), suffixes AS (
     SELECT suffix, (k + s * m) / (n + s) AS m FROM by_suffix, (SELECT {_strength_sql("by_suffix")} AS s)

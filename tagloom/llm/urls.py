@@ -84,7 +84,7 @@ def reputation(
         .withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
     )
     total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
-    overall = ((total["k"] or 0) + 1) / ((total["n"] or 0) + 2)
+    overall = ((total["k"] or 0) + 0.1) / ((total["n"] or 0) + 1)  # without any label: a tenth
     level = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("m", F.lit(overall))
     suffixes = scratch.keep(level.select("suffix", _shrunk(_spread(level, weakest, strongest)).alias("m")))
     level = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).join(suffixes, "suffix")
