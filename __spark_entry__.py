@@ -32,7 +32,7 @@ from tagloom import (  # noqa: E402
 from tagloom.functions import convert as cv, identity  # noqa: E402
 from tagloom.plans.events import read_events  # noqa: E402
 from tagloom.plans.profile import totals, unknown_tables  # noqa: E402
-from tagloom.spec import INTEGER  # noqa: E402
+from tagloom.spec import BIGINT, INTEGER, VARCHAR  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -63,10 +63,6 @@ def _zip(spark: SparkSession, sf_dir: str, make: Callable) -> Source:
     return Source(fx.archives(spark, sf_dir, make, MEMBER), "zip", MEMBER)
 
 
-def _whole(spark: SparkSession, sf_dir: str, make: Callable) -> Source:
-    return Source(fx.documents(spark, sf_dir, make), "whole")
-
-
 def _database(spark: SparkSession) -> str:
     name = f"tagloom_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{fx.fresh_folder(spark, 'db')}'")
@@ -96,7 +92,7 @@ def ingest_stream_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_stream(
         spark, folder, database, checkpoint, max_files_per_trigger=3
     ).awaitTermination()
-    return spark.table(f"{database}.t_key").drop("batch_id")
+    return spark.table(f"{database}.t_key").drop("stream_id", "batch_id")
 
 
 def rows_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,6 +163,51 @@ def custom_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def healed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects from documents that have to be read as a whole, next to some that have not."""
+    return read_table(spark, Source(fx.odd_documents(spark, sf_dir)), "t_object")
+
+
+def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows whose tags do not match."""
+    database = _loaded(spark, sf_dir, fx.malformed_objects, mode="quarantine")
+    object_id = F.regexp_extract("row_xml", r"<object_id>(\d+)<", 1).cast("bigint")
+    return spark.table(f"{database}.t_object__rejects").select(
+        object_id.alias("object_id"), F.explode("violations.rule").alias("rule")
+    )
+
+
+def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of documents without an end: refused in strict mode, loaded and reported otherwise."""
+    source, database = Source(fx.unfinished_documents(spark, sf_dir)), _database(spark)
+    try:
+        ingest(spark, source, database)
+    except IngestError:
+        ingest(spark, source, database, mode="quarantine")
+        return spark.table(f"{database}.t_object")
+    raise AssertionError("documents without an end were accepted")
+
+
+def spelled_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables that spell a child differently, and rows that use either spelling."""
+    specs = [
+        TableSpec(name, (Field("key", BIGINT), Field("guid", VARCHAR, required=False, child=child)))
+        for name, child in (("t_a", "GUID"), ("t_b", "guid"))
+    ]
+    database = _loaded(spark, sf_dir, fx.spelled_rows, registry=Registry.of(*specs))
+    rows = [spark.table(f"{database}.{s.name}").select(F.lit(s.name).alias("table_name"), "*") for s in specs]
+    return rows[0].unionAll(rows[1])
+
+
+def two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams into one database keep each other's rows."""
+    database = _database(spark)
+    for make in (fx.objects, fx.bad_objects):
+        folder, checkpoint = fx.documents(spark, sf_dir, make), fx.fresh_folder(spark, "checkpoint")
+        ingest_stream(spark, folder, database, checkpoint).awaitTermination()
+    return spark.table(f"{database}.t_object").drop("stream_id", "batch_id")
+
+
 # --- profile -----------------------------------------------------------------
 
 
@@ -376,7 +417,6 @@ def queries() -> dict[str, Query]:
         found[f"ingest_{name}"] = _read(_text, make, f"t_{name}")
         found[f"ingest_{name}_mixed"] = _read(_text, fx.everything, f"t_{name}")
         found[f"ingest_{name}_zip"] = _read(_zip, fx.everything, f"t_{name}")
-        found[f"ingest_{name}_whole"] = _read(_whole, fx.everything, f"t_{name}")
         found[f"ingest_{name}_prefixed"] = _read(
             partial(_text, prefix="s"), make, f"t_{name}"
         )
@@ -392,7 +432,11 @@ def queries() -> dict[str, Query]:
         "custom_table": custom_table,
         "element_profile": element_profile,
         "element_profile_zip": partial(element_profile, source=_zip),
-        "element_profile_whole": partial(element_profile, source=_whole),
+        "healed_documents": healed_documents,
+        "malformed_rows": malformed_rows,
+        "damaged_documents": damaged_documents,
+        "spelled_children": spelled_children,
+        "two_streams": two_streams,
         "element_totals": element_totals,
         "unknown_tables": unknown_table_rows,
         "rejects": rejects,
@@ -461,7 +505,7 @@ UNION ALL SELECT 't_property', count(*),
 UNION ALL SELECT 't_key', count(*), CAST(6 * count(*) AS BIGINT) FROM lineitem
 UNION ALL SELECT 't_band', count(*), CAST(2 * count(*) AS BIGINT) FROM supplier
 UNION ALL SELECT '(outside)', 0, {fx.FILES}"""
-_BAD = "(p_partkey % 10 = 0 OR p_partkey % 11 = 0)"
+_BAD = "(" + " OR ".join(f"p_partkey % {n} = 0" for n in (10, 11, 13, 17)) + ")"
 _INT = """CASE event_id % 9 WHEN 0 THEN event_id WHEN 1 THEN event_id WHEN 2 THEN event_id
           WHEN 3 THEN -event_id END"""
 _LISTING = [
@@ -503,7 +547,7 @@ def oracle_sql() -> dict[str, str]:
             found["pipeline"] = corpus_pipeline.ORACLE_SQL
     for name, sql in (("object", _OBJECT), ("property", _PROPERTY), ("key", _KEY)):
         found[f"load_{name}"] = sql
-        for suffix in ("", "_mixed", "_zip", "_whole", "_prefixed"):
+        for suffix in ("", "_mixed", "_zip", "_prefixed"):
             found[f"ingest_{name}{suffix}"] = sql
     true = "event_id % 11 < 6"
     return found | {
@@ -519,7 +563,15 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT CAST(2 * s_suppkey AS INTEGER), NULL FROM supplier""",
         "element_profile": _ELEMENTS,
         "element_profile_zip": _ELEMENTS,
-        "element_profile_whole": _ELEMENTS,
+        "healed_documents": _OBJECT,
+        "malformed_rows": """SELECT p_partkey AS object_id, 'malformed_row' AS rule
+            FROM part WHERE p_partkey % 10 = 0""",
+        "damaged_documents": _OBJECT,
+        "spelled_children": """
+            SELECT 't_a' AS table_name, s_suppkey AS "key", 'g' || s_suppkey AS guid FROM supplier
+            UNION ALL SELECT 't_b', s_suppkey, 'g' || s_suppkey FROM supplier""",
+        "two_streams": f"""{_OBJECT}
+            UNION ALL SELECT * FROM ({_OBJECT} WHERE NOT {_BAD})""",
         "element_totals": f"""SELECT CAST(sum(elements) AS BIGINT) AS elements,
             CAST(4 AS BIGINT) AS tables, CAST(1 AS BIGINT) AS unknown_tables
             FROM ({_ELEMENTS})""",
@@ -528,7 +580,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT p_partkey AS object_id, 'missing_column' AS rule, 'name' AS column_name,
                    CAST(NULL AS VARCHAR) AS value FROM part WHERE p_partkey % 10 = 0
             UNION ALL SELECT p_partkey, 'not_convertible', 'class_id', 'abc'
-            FROM part WHERE p_partkey % 11 = 0""",
+            FROM part WHERE p_partkey % 11 = 0
+            UNION ALL SELECT p_partkey, 'null_value', 'category_id', ''
+            FROM part WHERE p_partkey % 13 = 0
+            UNION ALL SELECT p_partkey, 'out_of_range', 'index', '3000000000'
+            FROM part WHERE p_partkey % 17 = 0""",
         "quarantine_keeps_good_rows": f"""SELECT CAST(p_partkey AS INTEGER) AS object_id,
             CAST(p_size AS INTEGER) AS class_id, p_name AS name FROM part WHERE NOT {_BAD}""",
         "ingest_events": f"""
@@ -542,7 +598,11 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'ERROR', 't_object', 'missing_column', 'name', count(*)
             FROM part WHERE p_partkey % 10 = 0
             UNION ALL SELECT 'ERROR', 't_object', 'not_convertible', 'class_id', count(*)
-            FROM part WHERE p_partkey % 11 = 0""",
+            FROM part WHERE p_partkey % 11 = 0
+            UNION ALL SELECT 'ERROR', 't_object', 'null_value', 'category_id', count(*)
+            FROM part WHERE p_partkey % 13 = 0
+            UNION ALL SELECT 'ERROR', 't_object', 'out_of_range', 'index', count(*)
+            FROM part WHERE p_partkey % 17 = 0""",
         "uuid_check": f"""SELECT p_partkey AS object_id,
             CASE WHEN p_partkey % 5 <> 3 THEN {_PART_GUID} END AS guid,
             CASE WHEN p_partkey % 5 = 3 THEN 'bad_format' END AS rule FROM part""",

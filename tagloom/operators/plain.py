@@ -3,7 +3,8 @@
 Nearly every row has no attributes, comments, entities or nested children. One
 pattern recognises such a record as a whole, well formed and complete; its
 values then are plain substrings, with no XML parser involved. Everything else
-takes the general way of `tagloom.operators.rows`. Both give the same values.
+takes the general way of `tagloom.operators.rows`. Both give the same values and
+refuse the same rows, so it does not matter which of them a row takes.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from tagloom.spec import Registry
 MAX_BYTES = 8192
 # Single characters, not ranges, keep Java's pattern matcher on its bit table.
 _SPACE = r"[ \t\r\n]*+"
-_NAME = "[" + string.ascii_lowercase + string.digits + r"_.\-]++"
+_NAME = f"[{string.ascii_lowercase}_][{string.ascii_lowercase}{string.digits}" + r"_.\-]*+"
 _TEXT = "[^<&" + "".join(rf"\x{i:02x}" for i in range(32) if chr(i) not in "\t\n") + "]*+"
 # Not allowed in XML text besides what the pattern excludes.
 _REFUSED = ("]]>", "\ufffe", "\uffff")
@@ -36,14 +37,16 @@ def row_pattern(registry: Registry, prefix: str = "") -> str:
 
     Children are looked up by exact name in a plain record but regardless of case
     elsewhere, so a record with a declared name in another case does not match:
-    names are lower case, or declared as they are.
+    names are lower case, or declared as they are. Names that tables spell in
+    several ways do not match at all.
     """
-    mixed = [c for c in registry.children() if c != c.lower()]
-    refused = "".join(rf"(?!{re.escape(c.lower())}>)" for c in mixed)
+    one, several = registry.spellings()
+    mixed = [c for c in one if c != c.lower()]
+    refused = "".join(rf"(?!{re.escape(c)}>)" for c in {*(c.lower() for c in [*mixed, *several])})
     names = "|".join([refused + _NAME, *map(re.escape, mixed)])
     q = re.escape(_qualified(prefix))
     child = rf"{_SPACE}<{q}({names})>{_TEXT}</{q}\2>"
-    return rf"^([\w.-]+)>(?:{child})*+{_SPACE}</{q}t_\1>{_SPACE}\z"
+    return rf"^([A-Za-z0-9_.\-]+)>(?:{child})*+{_SPACE}</{q}t_\1>{_SPACE}\z"
 
 
 def is_plain(record: Column, registry: Registry, prefix: str = "") -> Column:

@@ -19,8 +19,16 @@ def count_rows(typed: DataFrame) -> DataFrame:
     each task before it shuffles, so a source or table with very many rows is one
     line per task.
     """
+    starts, ends = F.col("loose.starts"), F.col("loose.ends")
     return typed.groupBy("source", "tag", "known", "status", "good").agg(
-        F.count("*").alias("n"), F.sum("depth").alias("depth")
+        F.count("*").alias("n"),
+        F.sum("depth").alias("depth"),
+        F.sum("elements").alias("elements"),
+        F.sum(F.size(starts)).alias("starts"),
+        F.sum(F.size(ends)).alias("ends"),
+        F.min(F.array_min(F.concat(starts, ends))).alias("first_name"),
+        F.max(F.array_max(F.concat(starts, ends))).alias("last_name"),
+        F.max("loose.else").alias("other_text"),
     )
 
 
@@ -83,16 +91,38 @@ def findings(counted: DataFrame, typed: DataFrame, registry: Registry) -> DataFr
 
 
 def sources_to_reread(counted: DataFrame) -> DataFrame:
-    """Sources that could not be cut into rows safely: state says so, or tags do not add up."""
-    unsafe = F.col("status").isin(*STATES_TO_REREAD)
+    """Sources that could not be cut into rows safely, or may not be well formed.
+
+    Safe are those without a doubtful state whose tags add up, and where nothing but one
+    root element stands outside rows, or where one row is the root.
+    """
+    unsafe = F.col("status").isin(*STATES_TO_REREAD) | F.coalesce("other_text", F.lit(False))
+    names = F.coalesce(F.col("first_name") == F.col("last_name"), F.lit(False))
+    root = (F.col("starts") == 1) & (F.col("ends") == 1) & names
+    row_is_root = (F.col("starts") == 0) & (F.col("ends") == 0) & (F.col("rows") == 1)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
     return (
         counted.groupBy("source")
-        .agg(F.max(unsafe).alias("unsafe"), F.sum("depth").alias("depth"))
-        .filter(F.col("unsafe") | (F.col("depth") != 0))
+        .agg(
+            F.max(unsafe).alias("unsafe"),
+            F.sum("depth").alias("depth"),
+            total("starts"),
+            total("ends"),
+            F.min("first_name").alias("first_name"),
+            F.max("last_name").alias("last_name"),
+            F.coalesce(F.sum(F.when(F.col("tag").isNotNull(), F.col("n"))), F.lit(0)).alias("rows"),
+            F.max(F.col("tag").isNull() & ~F.col("status").isin(OK, OUTSIDE, *STATES_TO_REREAD)).alias("lost"),
+        )
+        .filter(~F.col("lost") & (F.col("unsafe") | (F.col("depth") != 0) | ~(root | row_is_root)))
         .select("source")
     )
 
 
 def broken_sources(typed: DataFrame) -> DataFrame:
     """Sources that are damaged as a whole."""
-    return typed.filter(F.col("tag").isNull() & ~F.col("status").isin(OK, OUTSIDE)).select("source")
+    return damages(typed).select("source")
+
+
+def damages(typed: DataFrame) -> DataFrame:
+    """Lines of `typed` that stand for the damage of a source."""
+    return typed.filter(F.col("tag").isNull() & ~F.col("status").isin(OK, OUTSIDE))

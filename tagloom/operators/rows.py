@@ -18,7 +18,14 @@ UNCLOSED = "unclosed"  # a row start without an end tag
 MISMATCHED = "mismatched"  # another end tag than the start tag
 TANGLED = "tangled"  # row starts or ends that do not pair up, open comment or CDATA
 ENCODING = "encoding"  # not UTF-8
-STATES_TO_REREAD = (UNCLOSED, TANGLED, ENCODING)
+MALFORMED = "malformed"  # a row the parser refuses
+REREAD = "reread"  # a document that was not cut at all
+STATES_TO_REREAD = (UNCLOSED, TANGLED, ENCODING, REREAD)
+
+# A tag that may stand outside rows: a name, attributes in quotes.
+_LOOSE_TAG = r"""(?s)<(/?)([A-Za-z_][\w.:-]*)((?:\s+[\w.:-]+\s*=\s*(?:"[^"<]*"|'[^'<]*'))*)\s*>"""
+# A start tag, text, and a start tag again: an element inside a child.
+_NESTED = r"(?s)^[^>]*>.*?<[^/<>!?][^<>]*(?<!/)>[^<]*<[^/<>!?]"
 
 
 def _occurrences(text: Column, part: str) -> Column:
@@ -40,12 +47,13 @@ def _depth(text: Column) -> Column:
 def split_rows(
     records: DataFrame, registry: Registry, prefix: str = "", decoded: bool = False
 ) -> DataFrame:
-    """(source, status, tag, depth, elements, row_xml) of every record.
+    """(source, status, tag, depth, elements, row_xml, loose) of every record.
 
     `depth` is the number of elements the record leaves open; over a complete
     document it adds up to 0. `elements` counts the elements of the record. `row_xml` is
     the row alone, whatever follows it cut off. `decoded` says that the text was
-    decoded as its XML declaration asks, so that any encoding is fine.
+    decoded as its XML declaration asks, so that any encoding is fine. `loose` holds what
+    stands outside rows: the tags in `starts` and `ends`, and whether there is anything `else`.
     """
     mark = f"{prefix}:t_" if prefix else "t_"
     end_mark = f"</{mark}"
@@ -94,8 +102,13 @@ def split_rows(
         .when((ends == 0) | ~after.contains(">"), UNCLOSED)
         .when(ends > 1, TANGLED)
         .when(end_name != name, MISMATCHED)
+        .when(F.substring_index(bare, end_mark, 1).rlike(_NESTED), TANGLED)
         .otherwise(OK),
     )
+    behind = F.when(empty, bare).otherwise(F.substring_index(bare, end_mark, -1))
+    loose = F.when(outside, lead).when(record.isNull() | plain, "").otherwise(
+        F.substring(behind, F.instr(behind, ">") + 1, F.length(behind))
+    )
     row_xml = (
         F.when(outside | record.isNull(), None)
         .when(empty, F.concat(F.lit("<" + mark), F.substring_index(record, ">", 1), F.lit(">")))
@@ -119,9 +132,24 @@ def split_rows(
         .otherwise((_starts(bare) + row_start).cast("bigint"))
         .alias("elements"),
         row_xml.alias("row_xml"),
+        F.when(~plain, loose_tags(loose)).alias("loose"),
     )
 
 
+def loose_tags(text: Column) -> Column:
+    """Names of start and end tags in text outside rows, and whether it holds anything else."""
+    names = lambda pattern: F.regexp_extract_all(text, F.lit(pattern), 1)
+    rest = F.btrim(F.regexp_replace(text, _LOOSE_TAG, ""), F.lit(WHITESPACE + BYTE_ORDER_MARK))
+    return F.struct(
+        names(_LOOSE_TAG.replace("(/?)([", "([")).alias("starts"),
+        names(_LOOSE_TAG.replace("(/?)([", "/([")).alias("ends"),
+        (rest != "").alias("else"),
+    )
+
+
+LOOSE = "struct<starts:array<string>,ends:array<string>,else:boolean>"
+
+
 def _uncommented(text: Column) -> Column:
     """`text` without comments, CDATA sections and processing instructions."""
     special = text.contains("<!") | text.contains("<?")

@@ -3,8 +3,8 @@
 There are two ways: `type_plain` for the mass of simple rows without a violation,
 `type_rows` for all others. A typed row has, per table, a struct of its values (NULL for rows of other
 tables), and for a bad row also the texts the values came from, from which its
-violations are told. Columns besides these: source, status, tag, known, depth,
-good, row_xml (bad rows only).
+violations are told. Columns besides these: source, status, tag, known, depth, elements,
+loose, good, row_xml (bad rows only).
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tagloom.functions.convert import strip
-from tagloom.operators.plain import is_plain, plain_child, plain_tag
-from tagloom.operators.rows import OK
+from tagloom.operators.plain import is_plain, plain_child, plain_elements, plain_tag
+from tagloom.operators.rows import LOOSE, MALFORMED, OK
 from tagloom.spec import Field, Registry, TableSpec
 
 CORRUPT = "_corrupt_record"
@@ -24,7 +24,7 @@ VIOLATION = "struct<rule:string,column:string,value:string>"
 
 
 def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> DataFrame:
-    """(source, source_status, tag, done, record, one struct per table).
+    """(source, source_status, tag, done, elements, record, one struct per table).
 
     Types the plain records without a violation; `done` is true for them. For the
     others it is false, and `record` keeps the text for `split_rows` and
@@ -64,6 +64,7 @@ def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> Data
         "source_status",
         "tag",
         "done",
+        F.when(F.col("done"), plain_elements(record)).alias("elements"),
         F.when(~F.col("done"), record).alias("record"),
         *[F.when(F.col("done"), F.col(name)).alias(name) for name in registry.names()],
     )
@@ -86,7 +87,7 @@ def plain_rows(typed_plain: DataFrame, like: DataFrame, registry: Registry) -> D
         "known": registry.is_known(F.col("tag")),
         "good": F.lit(True),
     }
-    kept = {"source", "tag", *registry.names()}
+    kept = {"source", "tag", "elements", *registry.names()}
     return typed_plain.filter("done").select(
         *[
             F.col(c.name)
@@ -109,9 +110,11 @@ def type_rows(rows: DataFrame, registry: Registry) -> DataFrame:
     parsed = rows.select(
         "*",
         known.alias("known"),
-        F.when(known & (F.col("status") == OK), _children(rows, registry)).alias("children"),
+        F.when(tag.isNotNull() & (F.col("status") == OK), _children(rows, registry)).alias("children"),
     )
     sound = F.col("children").isNotNull() & F.col(f"children.{CORRUPT}").isNull()
+    broken = tag.isNotNull() & (F.col("status") == OK) & ~sound
+    parsed = parsed.withColumn("status", F.when(broken, MALFORMED).otherwise(F.col("status")))
     raw = parsed.select(
         "*",
         *[
@@ -136,6 +139,8 @@ def type_rows(rows: DataFrame, registry: Registry) -> DataFrame:
         "tag",
         "known",
         "depth",
+        F.col("elements").cast("bigint").alias("elements"),
+        (F.lit(None).cast(LOOSE) if whole else F.col("loose")).alias("loose"),
         "good",
         F.when(bad, row_xml).alias("row_xml"),
         *registry.names(),

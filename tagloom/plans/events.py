@@ -33,7 +33,7 @@ def record_events(spark: SparkSession, database: str, run_id: str, findings: Dat
         F.col("occurrences").cast("bigint").alias("occurrences"),
         "sample",
     )
-    replace_partition(events, f"`{database}`.`{EVENTS}`", "run_id", run_id)
+    replace_partition(events, f"`{database}`.`{EVENTS}`", {"run_id": run_id})
     return read_events(spark, database).filter(F.col("run_id") == run_id)
 
 

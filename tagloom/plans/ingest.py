@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,10 +12,10 @@ from tagloom.operators.quality import (
     ERROR,
     broken_sources,
     count_rows,
+    damages,
     findings,
     sources_to_reread,
 )
-from tagloom.operators.plain import is_plain
 from tagloom.operators.rows import split_rows
 from tagloom.operators.typed import (
     good_rows,
@@ -25,21 +26,21 @@ from tagloom.operators.typed import (
 )
 from tagloom.plans import sink
 from tagloom.plans.events import record_events, rows_by_table
-from tagloom.plans.workspace import new_run_id, small_methods, work_database
-from tagloom.sources import (
-    detect_prefix,
-    read_archive_records,
-    read_records,
-    read_whole_rows,
+from tagloom.plans.workspace import (
+    new_run_id,
+    new_work_folder,
+    small_methods,
+    store,
+    work_folder,
 )
+from tagloom.sources import Layout, layout, read_archive_records, read_records, read_whole_rows
+from tagloom.sources.archive import ZIP_GLOB
+from tagloom.sources.documents import BAD_DOCUMENT, empty_files, list_files
 from tagloom.spec import Registry, TableSpec, default_registry
 
 # Fixed value: the document inside an archive.
 DEFAULT_MEMBER = "SolutionDataset.xml"
 
-# More files than this to read again are joined by name instead of listed in a filter.
-MAX_NAMED_FILES = 1000
-
 TEXT, ZIP, WHOLE = "text", "zip", "whole"
 STRICT, QUARANTINE = "strict", "quarantine"
 
@@ -50,7 +51,7 @@ class Source:
 
     kind: ``text`` for plain XML, split over many tasks; ``zip`` for archives;
     ``whole`` for plain XML read one document per task. `prefix` is the namespace
-    prefix of the row elements; None looks at the first plain file.
+    prefix of the row elements; None takes that of each document's root.
     """
 
     paths: str | list[str]
@@ -58,129 +59,144 @@ class Source:
     member: str = DEFAULT_MEMBER
     prefix: str | None = None
 
-    def resolve(self, spark: SparkSession) -> Source:
-        """The same source with its prefix settled."""
+    def __post_init__(self) -> None:
         if self.kind not in (TEXT, ZIP, WHOLE):
             raise IngestError(f"unknown kind of source: {self.kind}")
-        if self.prefix is not None:
-            return self
-        return replace(self, prefix=detect_prefix(spark, self.paths) if self.kind == TEXT else "")
 
-    def records(self, spark: SparkSession) -> DataFrame:
-        """The records of a source with a settled prefix."""
+    def layout(self, spark: SparkSession) -> Layout:
+        """How the files are read: cut by prefix, as a whole, or not at all."""
+        if self.kind == TEXT:
+            return layout(spark, self.paths, self.prefix)
+        paths = [self.paths] if isinstance(self.paths, str) else self.paths
+        glob = ZIP_GLOB if self.kind == ZIP else None
+        read = [r.source for r in list_files(spark, paths, glob).select("source").collect()]
+        empty = empty_files(spark, paths, glob, read)
         if self.kind == ZIP:
-            return read_archive_records(spark, self.paths, self.member, self.prefix)
-        return read_records(spark, self.paths, self.prefix)
+            return Layout(cut={self.prefix or "": paths}, empty=empty)
+        return Layout(whole=paths, empty=empty)
 
-    def split(self, records: DataFrame, registry: Registry) -> DataFrame:
-        return split_rows(records, registry, self.prefix, decoded=self.kind == ZIP)
+    def records(self, spark: SparkSession, found: Layout) -> dict[str, DataFrame]:
+        """The records of the files that are cut, by prefix."""
+        if self.kind == ZIP:
+            return {p: read_archive_records(spark, f, self.member, p) for p, f in found.cut.items()}
+        return {p: read_records(spark, files, p) for p, files in found.cut.items()}
 
     def whole_rows(
-        self,
-        spark: SparkSession,
-        registry: Registry,
-        only: list[str] | DataFrame | None = None,
+        self, spark: SparkSession, registry: Registry, paths: list[str], only: DataFrame | None = None
     ) -> DataFrame:
         member = self.member if self.kind == ZIP else None
-        return read_whole_rows(spark, self.paths, registry.children(), member, only)
-
-
-def read_rows(spark: SparkSession, source: Source, registry: Registry) -> DataFrame:
-    """Every row of a source with its tag and state, in one scan."""
-    source = source.resolve(spark)
-    if source.kind == WHOLE:
-        return source.whole_rows(spark, registry)
-    return source.split(source.records(spark), registry)
+        return type_rows(read_whole_rows(spark, paths, registry.children(), member, only), registry)
 
 
 def read_table(
-    spark: SparkSession, source: Source, name: str, registry: Registry | None = None
+    spark: SparkSession,
+    source: Source,
+    name: str,
+    registry: Registry | None = None,
+    mode: str = STRICT,
 ) -> DataFrame:
-    """One table of a source without loading it; bad rows are left out.
+    """One table of a source without loading it.
 
-    Other rows are dropped by their first characters, before anything is parsed.
-    Sources that need reading as whole documents must be asked for as such. For
-    several tables `ingest` reads the source once.
+    Damaged documents and bad rows of the table are an error, or are left out in mode
+    ``quarantine``. The typed rows are written to the shared folder, where the result
+    reads them; the source is scanned once. For several tables `ingest` reads it once.
     """
-    spec = (registry or default_registry())[name]
-    only = Registry.of(spec)
-    source = source.resolve(spark)
-    if source.kind == WHOLE:
-        rows = source.whole_rows(spark, only).filter(F.col("tag") == name)
-        return good_rows(_observed(type_rows(rows, only)), spec)
-    record = F.col("record")
-    records = source.records(spark).filter(record.startswith(name.removeprefix("t_")))
-    simple = _observed(type_plain(records, only, source.prefix)).withColumnRenamed("done", "good")
-    others = records.filter(~is_plain(record, only, source.prefix))
-    general = _observed(type_rows(source.split(others, only), only))
-    return good_rows(simple, spec).unionAll(good_rows(general, spec))
-
-
-def _observed(typed: DataFrame) -> DataFrame:
-    # a filter on converted values would move below the conversion and repeat it;
-    # Spark moves no filter past an observation
-    return typed.observe(f"rows_{new_run_id()}", F.count("*").alias("rows"))
+    _check_mode(mode)
+    only = Registry.of((registry or default_registry())[name])
+    typed, counted = stage(spark, source, only, new_work_folder(spark))
+    if mode == STRICT:
+        raise_on_errors(findings(counted, typed, only))
+    return good_rows(typed, only[name])
 
 
 def stage(
     spark: SparkSession, source: Source, registry: Registry, work: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed rows of all tables and their counts, written to the work database."""
-    source = source.resolve(spark)
-    if source.kind == WHOLE:
-        rows = type_rows(source.whole_rows(spark, registry), registry)
-        typed = _store(rows, work, "whole")
-        return typed, _store(count_rows(typed), work, "counted")
-    return stage_records(source.records(spark), source, registry, work)
-
-
-def stage_records(
-    records: DataFrame, source: Source, registry: Registry, work: str
-) -> tuple[DataFrame, DataFrame]:
-    """Typed rows and counts of records.
+    """Typed rows of all tables and their counts, written to the work folder.
 
     The source is scanned once. That pass types the plain rows and keeps the few
-    other records as they are; a second, small pass takes them from there.
+    other records as they are; a second, small pass takes them from there. Documents
+    that cannot be cut into rows are then read as a whole.
     """
-    with small_methods(records.sparkSession):
-        first = _store(type_plain(records, registry, source.prefix), work, "first")
-        others = first.filter(~F.col("done")).select("source", "source_status", "record")
-        second = _store(type_rows(source.split(others, registry), registry), work, "second")
-    typed = plain_rows(first, second, registry).unionAll(second)
-    counted = _store(count_rows(typed), work, "counted")
-    return heal(typed, counted, source, registry, work)
+    found = source.layout(spark)
+    parts = []
+    with small_methods(spark):
+        for number, (prefix, records) in enumerate(source.records(spark, found).items()):
+            first = store(type_plain(records, registry, prefix), work, f"first{number}")
+            others = first.filter(~F.col("done")).select("source", "source_status", "record")
+            rows = split_rows(others, registry, prefix, decoded=source.kind == ZIP)
+            second = store(type_rows(rows, registry), work, f"second{number}")
+            parts.append(plain_rows(first, second, registry).unionAll(second))
+        if found.whole:
+            parts.append(store(source.whole_rows(spark, registry, found.whole), work, "whole"))
+    empty = _unread(spark, found.empty, registry)
+    typed = reduce(DataFrame.unionByName, [*parts, empty]) if parts else empty
+    counted = store(count_rows(typed), work, "counted")
+    return heal(typed, counted, source, found, registry, work)
+
+
+def _names(spark: SparkSession, names: list[str]) -> DataFrame:
+    return spark.createDataFrame([(n,) for n in names], "source string")
+
+
+def _unread(spark: SparkSession, sources: list[str], registry: Registry) -> DataFrame:
+    """Lines that report documents without content."""
+    lines = _names(spark, sources).select(
+        "source",
+        F.lit(BAD_DOCUMENT).alias("status"),
+        F.lit(None).cast("string").alias("tag"),
+        F.lit(0).alias("depth"),
+        F.lit(0).cast("bigint").alias("elements"),
+        F.lit(None).cast("map<string,string>").alias("fields"),
+    )
+    return type_rows(lines, registry)
 
 
 def heal(
-    typed: DataFrame, counted: DataFrame, source: Source, registry: Registry, work: str
+    typed: DataFrame,
+    counted: DataFrame,
+    source: Source,
+    found: Layout,
+    registry: Registry,
+    work: str,
 ) -> tuple[DataFrame, DataFrame]:
     """Read sources that cannot be cut into rows again, as whole documents.
 
     Where that reading finds the document well formed it replaces the first one;
-    where it does not, the rows found by cutting stay, each judged by itself.
+    where it does not, the rows found by cutting stay, each judged by itself, and the
+    document is reported.
     """
     spark = typed.sparkSession
-    unsafe = sources_to_reread(counted)
+    cut = [path for files in found.cut.values() for path in files]
+    unsafe = sources_to_reread(counted) if cut else _names(spark, [])
     if source.kind == ZIP:  # the file a member is in
         unsafe = unsafe.select(F.regexp_replace("source", "![^!]*$", "").alias("source")).distinct()
-    named = [r.source for r in unsafe.limit(MAX_NAMED_FILES + 1).collect()]
-    if not named:
+    elif found.whole:  # read as a whole already
+        read = typed.filter("loose IS NULL AND tag IS NULL").select("source")
+        unsafe = unsafe.join(read, "source", "left_anti")
+    unsafe = store(unsafe, work, "unsafe")
+    if unsafe.isEmpty():
         return typed, counted
-    only = named if len(named) <= MAX_NAMED_FILES else _store(unsafe, work, "unsafe")
-    again = _store(type_rows(source.whole_rows(spark, registry, only), registry), work, "again")
+    again = store(source.whole_rows(spark, registry, cut, unsafe), work, "again")
     whole = again.select("source").distinct().join(broken_sources(again), "source", "left_anti")
-    healed = _store(whole, work, "healed")
-    typed = typed.join(healed, "source", "left_anti").unionByName(
-        again.join(healed, "source", "left_semi")
+    healed = store(whole, work, "healed")
+    typed = (
+        typed.join(healed, "source", "left_anti")
+        .unionByName(again.join(healed, "source", "left_semi"))
+        .unionByName(_newly_damaged(again, typed))
     )
-    return typed, _store(count_rows(typed), work, "recounted")
+    typed = store(typed, work, "typed")
+    return typed, store(count_rows(typed), work, "recounted")
 
 
-def _store(frame: DataFrame, work: str, name: str) -> DataFrame:
-    """Write a table of the work database and read it back."""
-    table = f"`{work}`.`{name}`"
-    frame.write.saveAsTable(table)
-    return frame.sparkSession.table(table)
+def _newly_damaged(again: DataFrame, typed: DataFrame) -> DataFrame:
+    """Damage that only the second reading has seen."""
+    return damages(again).join(broken_sources(typed), "source", "left_anti")
+
+
+def _check_mode(mode: str) -> None:
+    if mode not in (STRICT, QUARANTINE):
+        raise IngestError(f"unknown mode: {mode}")
 
 
 def ingest(
@@ -201,15 +217,14 @@ def ingest(
     Both record what they found in ``ingest_events``.
     """
     registry = registry or default_registry()
-    if mode not in (STRICT, QUARANTINE):
-        raise IngestError(f"unknown mode: {mode}")
+    _check_mode(mode)
     sink.check_max_records(max_records_per_file)
     if not overwrite:
         sink.refuse_existing(spark, database, registry)
     run_id = new_run_id()
     version = sink.version_name(database, run_id)
     sink.create_database(spark, database)
-    with work_database(spark, run_id) as work:
+    with work_folder(spark) as work:
         typed, counted = stage(spark, source, registry, work)
         events = record_events(spark, database, run_id, findings(counted, typed, registry))
         if mode == STRICT:
@@ -226,16 +241,18 @@ def ingest(
 
 def raise_on_errors(events: DataFrame) -> None:
     """Fail with the first findings of level ERROR, if there are any."""
-    shown = events.filter(F.col("level") == ERROR).orderBy("source", "table_name", "rule").limit(20)
-    errors = shown.collect()
-    if errors:
+    errors = events.filter(F.col("level") == ERROR)
+    shown = errors.orderBy("source", "table_name", "rule", "column_name").limit(20).collect()
+    if shown:
         lines = [
             f"{e.source}: {e.table_name or 'document'}: {e.rule}"
             + (f" in {e.column_name}" if e.column_name else "")
             + f", {e.occurrences} times"
             + (f", e.g. {e.sample!r}" if e.sample is not None else "")
-            for e in errors
+            for e in shown
         ]
+        if (total := errors.count()) > len(lines):
+            lines.append(f"and {total - len(lines)} more of {total} findings")
         raise IngestError("\n".join(["the load was refused:", *lines]))
 
 

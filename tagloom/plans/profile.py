@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.operators.rows import OK, OUTSIDE
-from tagloom.plans.ingest import Source, read_rows
+from tagloom.plans.ingest import Source, stage
+from tagloom.plans.workspace import new_work_folder
 from tagloom.spec import Registry, default_registry
 
 
@@ -13,17 +14,19 @@ def profile(spark: SparkSession, source: Source, registry: Registry | None = Non
     """(source, tag, known, rows, elements, faults) per source and row tag.
 
     `tag` is NULL for what stands outside rows. `elements` counts every element
-    at any depth; over all lines of a source it is the total of the document.
-    One scan and one aggregation, combined in each task before it shuffles.
+    at any depth; over all lines of a source it is the total of the document. `faults`
+    counts rows and documents that are not well formed. The documents are staged as for a
+    load, so doubtful ones are read as a whole; the result reads the counts from the shared folder.
     """
     registry = registry or default_registry()
+    _, counted = stage(spark, source, registry, new_work_folder(spark))
+    fault = ~F.col("status").isin(OK, OUTSIDE)
     return (
-        read_rows(spark, source, registry)
-        .groupBy("source", "tag")
+        counted.groupBy("source", "tag")
         .agg(
-            F.count("tag").alias("rows"),
+            F.sum(F.when(F.col("tag").isNotNull(), F.col("n")).otherwise(0)).alias("rows"),
             F.sum("elements").alias("elements"),
-            F.count_if(~F.col("status").isin(OK, OUTSIDE)).alias("faults"),
+            F.sum(F.when(fault, F.col("n")).otherwise(0)).alias("faults"),
             F.sum("depth").alias("depth"),
         )
         .withColumn("known", F.col("tag").isNotNull() & registry.is_known(F.col("tag")))

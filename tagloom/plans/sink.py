@@ -3,9 +3,10 @@
 A load writes every table into a database of its own, ``<database>__v_<run>``.
 The tables users read are pointers: external tables whose location is switched
 to the new files once everything is written and checked. Switching moves no
-data, is atomic per table, and leaves queries that already run on the old
-files undisturbed. Spark has no commit over several tables, so a reader may see
-some tables switched and others not; a failed switch is undone.
+data and is atomic per table. The files of the version before stay until the next load or
+`vacuum`, so frames made from the tables before a load can still be read after it. Spark has
+no commit over several tables, so a reader may see some tables switched and others not;
+a failed switch is undone.
 """
 
 from __future__ import annotations
@@ -69,19 +70,22 @@ def write_table(table: DataFrame, version: str, name: str, max_records: int | No
     writer.saveAsTable(f"`{version}`.`{name}`")
 
 
-def replace_partition(rows: DataFrame, table: str, key: str, value: str | int) -> None:
+def replace_partition(rows: DataFrame, table: str, part: dict[str, str | int]) -> None:
     """Write `rows` as one partition of `table`; written again, they replace themselves."""
-    literal = f"'{value}'" if isinstance(value, str) else str(value)
+    named = ", ".join(f"{k} = '{v}'" if isinstance(v, str) else f"{k} = {v}" for k, v in part.items())
     rows.sparkSession.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({key} = {literal}) SELECT * FROM {{rows}}",
-        rows=rows,
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({named}) SELECT * FROM {{rows}}", rows=rows
     )
 
 
 def publish(
     spark: SparkSession, database: str, version: str, names: list[str], keep_previous: bool = False
 ) -> None:
-    """Point the tables of `database` at `version`; drop the version they pointed at."""
+    """Point the tables of `database` at `version`.
+
+    The version they pointed at stays, for readers that still have it open, until the
+    next load or `vacuum`; older ones are dropped unless `keep_previous`.
+    """
     before = {n: _pointer(spark, database, n) for n in names}
     switched: list[str] = []
     try:
@@ -96,9 +100,18 @@ def publish(
                 _point(spark, database, name, before[name])
         raise
     if not keep_previous:
-        for old in {v for v in before.values() if v and v != version}:
-            if not _still_used(spark, database, old):
-                spark.sql(f"DROP DATABASE IF EXISTS `{old}` CASCADE")
+        _drop_versions(spark, database, {version, *before.values()})
+
+
+def vacuum(spark: SparkSession, database: str) -> None:
+    """Drop all versions that no table of `database` points at; readers of those will fail."""
+    _drop_versions(spark, database, set())
+
+
+def _drop_versions(spark: SparkSession, database: str, keep: set[str | None]) -> None:
+    for old in spark.catalog.listDatabases(f"{database}__v_*"):
+        if old.name not in keep and not _still_used(spark, database, old.name):
+            spark.sql(f"DROP DATABASE IF EXISTS `{old.name}` CASCADE")
 
 
 def _pointer(spark: SparkSession, database: str, name: str) -> str | None:

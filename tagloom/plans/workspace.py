@@ -2,47 +2,47 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
-
-from tagloom.errors import IngestError
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every node sees: `spark.checkpoint.dir` of the session.
-
-    Only a local session may do without; it has one machine, whose own folder serves.
-    """
+    """The folder every node sees: `spark.checkpoint.dir`, or the warehouse where that is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return os.path.join(tempfile.gettempdir(), "tagloom")
-    raise IngestError("set spark.checkpoint.dir to a folder that all nodes share")
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
-@contextmanager
-def work_database(spark: SparkSession, run_id: str) -> Iterator[str]:
-    """A database for the tables of one run in the shared folder; dropped at the end.
+def new_work_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tagloom_work_{new_run_id()}"
+
 
-    What is written here survives the loss of executors, and later steps start
+def store(frame: DataFrame, work: str, name: str) -> DataFrame:
+    """Write a table into a work folder and read it back.
+
+    What is written there survives the loss of executors, and later steps start
     from the written files instead of the sources.
     """
-    name = f"tagloom_work_{run_id}"
-    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{shared_folder(spark)}/{name}'")
+    path = f"{work}/{name}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables of one run in the shared folder; removed at the end."""
+    work = new_work_folder(spark)
     try:
-        yield name
+        yield work
     finally:
-        spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+        path = spark._jvm.org.apache.hadoop.fs.Path(work)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager

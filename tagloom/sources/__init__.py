@@ -1,11 +1,6 @@
 from tagloom.sources.archive import read_archive_records
-from tagloom.sources.splittable import detect_prefix, read_records, stream_records
+from tagloom.sources.heads import Layout, layout
+from tagloom.sources.splittable import read_records
 from tagloom.sources.whole import read_whole_rows
 
-__all__ = [
-    "detect_prefix",
-    "read_archive_records",
-    "read_records",
-    "read_whole_rows",
-    "stream_records",
-]
+__all__ = ["Layout", "layout", "read_archive_records", "read_records", "read_whole_rows"]

@@ -9,9 +9,8 @@ everything after it, runs in the JVM, on as many tasks as there are blocks.
 from __future__ import annotations
 
 import codecs
+import io
 import re
-import zipfile
-import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
@@ -19,11 +18,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.errors import IngestError
-from tagloom.sources.documents import list_files, load_files, open_members
+from tagloom.sources.documents import (
+    BAD_DOCUMENT,
+    chosen_files,
+    encoding_of,
+    fault_of,
+    list_files,
+    open_members,
+)
+from tagloom.sources.heads import CUT, read_head
 from tagloom.sources.splittable import separator
 
 ZIP_GLOB = "*.[zZ][iI][pP]"
 BLOCK_BYTES = 4 * 1024 * 1024
+REREAD = "reread"  # to be read as a whole
 BLOCK_SCHEMA = "source string, source_status string, block bigint, text string"
 
 
@@ -43,21 +51,14 @@ def read_archive_records(
 ) -> DataFrame:
     """(source, source_status, record) of the members matching `member`."""
     check_member(member)
-    sizes = (
-        list_files(spark, paths, ZIP_GLOB)
-        .agg(F.count("*").alias("n"), F.max("length").alias("top"), F.sum("length").alias("total"))
-        .first()
-    )
-    if not sizes.n:
+    if list_files(spark, paths, ZIP_GLOB).isEmpty():
         raise IngestError(f"no .zip file in {paths}")
     sep = separator(prefix)
-    blocks = load_files(spark, paths, ZIP_GLOB).mapInArrow(
+    blocks = chosen_files(spark, paths, ZIP_GLOB).mapInArrow(
         lambda batches: _inflate(batches, member, sep, block_bytes), BLOCK_SCHEMA
     )
-    slots = spark.sparkContext.defaultParallelism
-    if sizes.n < 2 * slots or sizes.top * slots > sizes.total:
-        # few archives, or one that dominates: spread its blocks over the cluster
-        blocks = blocks.hint("rebalance", "source", "block")
+    # archives differ in size: spread the blocks over the cluster
+    blocks = blocks.hint("rebalance", "source", "block")
     return blocks.select(
         "source", "source_status", F.explode_outer(F.split("text", rf"\Q{sep}\E")).alias("record")
     )
@@ -66,22 +67,24 @@ def read_archive_records(
 def _inflate(batches, member: str, sep: str, block_bytes: int) -> Iterator[pa.RecordBatch]:
     """Files in, text blocks out; holds one block at a time."""
     for batch in batches:
-        for source, path, content in zip(*(batch.column(i) for i in range(3))):
-            for name, status, stream in open_members(
-                source.as_py(), path.as_py(), content.as_py(), member
-            ):
+        for source, path in zip(batch.column("source"), batch.column("path")):
+            for name, status, stream in open_members(source.as_py(), path.as_py(), member):
                 if stream is None:
                     yield _block(name, status, 0, None)
                     continue
                 number = 0
                 try:
                     for number, text in enumerate(_cut(stream, sep, block_bytes)):
-                        if number == 0 and not text:
-                            yield _block(name, "bad_document", 0, None)
+                        if text is None:
+                            yield _block(name, REREAD, 0, None)
+                        elif number == 0 and not text:
+                            yield _block(name, BAD_DOCUMENT, 0, None)
                         else:
                             yield _block(name, "ok", number, text)
-                except (zipfile.BadZipFile, zlib.error, EOFError, UnicodeDecodeError):
-                    yield _block(name, "bad_archive", number + 1, None)
+                except Exception as error:  # noqa: BLE001 - raised again unless it is a fault of the file
+                    if (fault := fault_of(error)) is None:
+                        raise
+                    yield _block(name, fault, number + 1, None)
 
 
 def _block(source: str, status: str, number: int, text: str | None) -> pa.RecordBatch:
@@ -96,27 +99,36 @@ def _block(source: str, status: str, number: int, text: str | None) -> pa.Record
     )
 
 
-def _cut(stream: BinaryIO, sep: str, block_bytes: int) -> Iterator[str]:
-    """The text in pieces; all but the first start right behind a separator."""
+def _cut(stream: BinaryIO, sep: str, block_bytes: int) -> Iterator[str | None]:
+    """The text in pieces; all but the first start right behind a separator or with a tag.
+
+    A document whose root has another prefix than `sep` gives None: it is read as a whole.
+    """
     first = stream.read(block_bytes)
-    decoder = codecs.getincrementaldecoder(_encoding(first))()
+    way, prefix = read_head(io.BytesIO(_without_declaration(first)))
+    if first and way == CUT and separator(prefix) != sep:
+        yield None
+        return
+    end_sep = "</" + sep[1:]
+    decoder = codecs.getincrementaldecoder(encoding_of(first))()
     held, in_rows = decoder.decode(first), False
     while data := stream.read(block_bytes):
         at = held.rfind(sep)
         if at >= 0:
             yield held[:at]
             held, in_rows = held[at + len(sep) :], True
-        elif not in_rows and (at := held.rfind("<")) > 0:
-            # a long text before the first row may be cut at any tag
-            yield held[:at]
-            held = held[at:]
+        else:
+            # text before the first row, or after the last one's end, may be cut at any tag
+            end = held.find(">", held.find(end_sep)) if in_rows and end_sep in held else -1 if in_rows else 0
+            at = held.rfind("<")
+            if end >= 0 and at > end:
+                yield held[:at]
+                held, in_rows = held[at:], False
         held += decoder.decode(data)
     yield held + decoder.decode(b"", True)
 
 
-def _encoding(head: bytes) -> str:
-    for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16")):
-        if head.startswith(mark):
-            return name
-    declared = re.match(rb"""<\?xml[^>]*?encoding\s*=\s*["']([\w.-]+)["']""", head)
-    return declared.group(1).decode("ascii") if declared else "utf-8"
+def _without_declaration(first: bytes) -> bytes:
+    """The first bytes as UTF-8; what they declare no longer holds."""
+    text = codecs.decode(first, encoding_of(first), "ignore")
+    return re.sub(r"^\ufeff?\s*<\?xml.*?\?>", "", text, count=1, flags=re.S).encode()

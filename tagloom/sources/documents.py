@@ -1,24 +1,39 @@
 """Opening whole files inside tasks.
 
-Used where Spark has no reader: ZIP members, and documents that cannot be cut
-into records. One task per file. Files up to `INLINE_LIMIT` come through
-Spark's own file system layer as `binaryFile` content; larger ones are opened
-by path, so that no file has to fit in memory.
+Used where Spark has no reader: ZIP members, documents that cannot be cut into
+records, and the first bytes of plain files. One task per file; a file of any
+size is opened by path and read as a stream.
 """
 
 from __future__ import annotations
 
+import codecs
 import fnmatch
-import io
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-INLINE_LIMIT = 256 * 1024 * 1024
+# Status of a source that cannot be read
+BAD_ARCHIVE = "bad_archive"  # not a ZIP file, or damaged
+ENCRYPTED = "encrypted_member"
+UNSUPPORTED = "unsupported_compression"
+MISSING = "member_missing"
+UNKNOWN_ENCODING = "unknown_encoding"
+BAD_DOCUMENT = "bad_document"  # not well formed, or empty
+
+DECLARED = re.compile(rb"""^\s*<\?xml[^>]*?encoding\s*=\s*["']([\w.-]+)["']""")
+MARKS = (
+    (codecs.BOM_UTF8, "utf-8-sig"),
+    (codecs.BOM_UTF32_LE, "utf-32"),
+    (codecs.BOM_UTF32_BE, "utf-32"),
+    (codecs.BOM_UTF16_LE, "utf-16"),
+    (codecs.BOM_UTF16_BE, "utf-16"),
+)
 
 
 def list_files(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
@@ -30,41 +45,31 @@ def list_files(spark: SparkSession, paths: str | list[str], glob: str | None = N
     return files.select(F.col("_metadata.file_path").alias("source"), "path", "length")
 
 
-def load_files(
+def empty_files(spark: SparkSession, paths: str | list[str], glob: str | None, read: list[str]) -> list[str]:
+    """Listed files that are not among those `read`: Spark's scans leave out files of length 0."""
+    plain = lambda name: re.sub("^file:/+", "/", unquote(name))
+    known = {plain(name) for name in read}
+    reader = spark.read.format("binaryFile")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return [name for name in reader.load(paths).inputFiles() if plain(name) not in known]
+
+
+def chosen_files(
     spark: SparkSession,
     paths: str | list[str],
     glob: str | None = None,
-    only: list[str] | DataFrame | None = None,
-    inline_limit: int = INLINE_LIMIT,
+    only: DataFrame | None = None,
 ) -> DataFrame:
-    """(source, path, content); content is NULL for files to be opened by path.
-
-    `only` keeps the files with these source names: a list is applied when files
-    are listed; a frame with a column `source`, for more names than a filter
-    should hold, is joined to the listing, and the files are opened by path.
-    """
-    if isinstance(only, DataFrame):
-        listed = list_files(spark, paths, glob).join(only, "source", "left_semi")
-        return listed.select("source", "path", F.lit(None).cast("binary").alias("content"))
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(paths)
-    source = F.col("_metadata.file_path")
+    """(source, path); `only` keeps the files named in its column `source`."""
+    files = list_files(spark, paths, glob)
     if only is not None:
-        files = files.filter(source.isin(only))
-    # filters on file metadata are applied when files are listed, before any is opened
-    small = files.filter(F.col("_metadata.file_size") <= inline_limit)
-    large = files.filter(F.col("_metadata.file_size") > inline_limit)
-    return small.select(source.alias("source"), "path", "content").unionAll(
-        large.select(source.alias("source"), "path", F.lit(None).cast("binary").alias("content"))
-    )
-
-
-def open_file(path: str, content: bytes | None) -> BinaryIO:
-    """A seekable stream over one row of `load_files`; runs in a task."""
-    if content is not None:
-        return io.BytesIO(content)
+        files = files.join(only, "source", "left_semi")
+    return files.select("source", "path")
+
+
+def open_file(path: str) -> BinaryIO:
+    """A seekable stream over a file; runs in a task."""
     if path.startswith("file:") or "://" not in path:
         return open(re.sub(r"^file:(//)?", "", path), "rb")
     from pyarrow import fs
@@ -73,21 +78,51 @@ def open_file(path: str, content: bytes | None) -> BinaryIO:
     return system.open_input_file(name)
 
 
+def fault_of(error: Exception) -> str | None:
+    """The status an error while reading stands for; None for errors of other kinds."""
+    if isinstance(error, (UnicodeDecodeError, zipfile.BadZipFile, zlib.error, EOFError)):
+        return BAD_ARCHIVE
+    if isinstance(error, LookupError):
+        return UNKNOWN_ENCODING
+    if isinstance(error, NotImplementedError):
+        return UNSUPPORTED
+    if isinstance(error, RuntimeError) and "encrypted" in str(error):
+        return ENCRYPTED
+    return None
+
+
+def encoding_of(head: bytes) -> str:
+    """Name of the encoding that the first bytes of a document tell."""
+    for mark, name in MARKS:
+        if head.startswith(mark):
+            return name
+    declared = DECLARED.match(head)
+    return declared.group(1).decode("ascii") if declared else "utf-8"
+
+
 def open_members(
-    source: str, path: str, content: bytes | None, member: str
+    source: str, path: str, member: str
 ) -> Iterator[tuple[str, str, BinaryIO | None]]:
     """(source, status, stream) of every member of a ZIP file that matches `member`.
 
-    An unreadable archive or a missing member gives one entry without a stream.
+    An unreadable archive or a missing member gives one entry without a stream,
+    and so does each member that cannot be opened.
     """
     try:
-        with open_file(path, content) as raw, zipfile.ZipFile(raw) as archive:
+        with open_file(path) as raw, zipfile.ZipFile(raw) as archive:
             names = archive.namelist()
             names = [member] if member in names else fnmatch.filter(names, member)
             if not names:
-                yield source, "member_missing", None
+                yield source, MISSING, None
             for name in names:
-                with archive.open(name) as stream:
+                try:
+                    stream = archive.open(name)
+                except Exception as error:  # noqa: BLE001 - raised again unless it is a fault of the file
+                    if (fault := fault_of(error)) is None:
+                        raise
+                    yield f"{source}!{name}", fault, None
+                    continue
+                with stream:
                     yield f"{source}!{name}", "ok", stream
     except zipfile.BadZipFile:
-        yield source, "bad_archive", None
+        yield source, BAD_ARCHIVE, None

@@ -40,23 +40,3 @@ def _named(raw: DataFrame) -> DataFrame:
 def read_records(spark: SparkSession, paths: str | list[str], prefix: str = "") -> DataFrame:
     """(source, source_status, record) of UTF-8 XML files."""
     return _named(spark.read.option("lineSep", separator(prefix)).text(paths))
-
-
-def stream_records(spark: SparkSession, path: str, prefix: str = "", **options) -> DataFrame:
-    """`read_records` over the files arriving in a directory."""
-    reader = spark.readStream.option("lineSep", separator(prefix)).options(**options)
-    return _named(reader.text(path))
-
-
-def detect_prefix(spark: SparkSession, paths: str | list[str]) -> str:
-    """Namespace prefix of the root element of the first file that has one element.
-
-    Reads only the first few tags: `take` runs one task over the first split and
-    stops there. Files with another prefix are found by the row checks.
-    """
-    tags = spark.read.option("lineSep", ">").text(paths).take(50)
-    for (text,) in tags:
-        found = re.search(r"<(?:([A-Za-z_][\w.-]*):)?[A-Za-z_][\w.-]*[^<]*$", text or "")
-        if found:
-            return found.group(1) or ""
-    return ""

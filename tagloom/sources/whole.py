@@ -8,8 +8,7 @@ document, in constant memory. The result has one line per row element.
 
 from __future__ import annotations
 
-import zipfile
-import zlib
+import codecs
 from collections.abc import Iterator
 from typing import BinaryIO
 from xml.parsers import expat
@@ -18,7 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tagloom.sources.archive import ZIP_GLOB, check_member
-from tagloom.sources.documents import load_files, open_file, open_members
+from tagloom.sources.documents import (
+    BAD_DOCUMENT,
+    chosen_files,
+    encoding_of,
+    fault_of,
+    open_file,
+    open_members,
+)
 
 ROW_SCHEMA = (
     "source string, status string, tag string, depth int, elements bigint, "
@@ -43,28 +49,27 @@ def read_whole_rows(
     paths: str | list[str],
     children: list[str],
     member: str | None = None,
-    only: list[str] | DataFrame | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of whole documents, in the shape of `tagloom.operators.rows.split_rows`.
 
-    `member` reads ZIP archives; `only` keeps the files with these source names.
+    `member` reads ZIP archives; `only` keeps the files named in its column `source`.
     Child names in `fields` are lower case and limited to `children`.
     """
     wanted = frozenset(c.lower() for c in children)
     if member is not None:
         check_member(member)
-    scan = load_files(spark, paths, ZIP_GLOB if member else None, only)
+    scan = chosen_files(spark, paths, ZIP_GLOB if member else None, only)
     return scan.mapInArrow(lambda batches: _parse(batches, wanted, member), ROW_SCHEMA)
 
 
 def _parse(batches, wanted, member) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for source, path, content in zip(*(batch.column(i) for i in range(3))):
-            args = source.as_py(), path.as_py(), content.as_py()
+        for source, path in zip(batch.column("source").to_pylist(), batch.column("path").to_pylist()):
             if member is not None:
-                opened = open_members(*args, member)
+                opened = open_members(source, path, member)
             else:
-                opened = [(args[0], "ok", open_file(*args[1:]))]
+                opened = [(source, "ok", open_file(path))]
             for name, status, stream in opened:
                 if stream is None:
                     yield _batch([(name, status, None, 0, 0, None)])
@@ -131,21 +136,27 @@ class _Open:
 def _rows(stream: BinaryIO, wanted: frozenset[str]) -> Iterator[tuple]:
     """(status, tag, depth, elements, fields) per row, then one entry for the rest."""
     seen = _Collector(wanted)
-    parser = expat.ParserCreate(namespace_separator="}")
-    parser.buffer_text = True
-    parser.StartElementHandler = seen.start
-    parser.EndElementHandler = seen.end
-    parser.CharacterDataHandler = seen.text
     fault = None
     try:
-        while data := stream.read(READ_BYTES):
-            parser.Parse(data, False)
+        head = stream.read(READ_BYTES)
+        encoding = encoding_of(head)
+        decoder = codecs.getincrementaldecoder(encoding)()
+        parser = expat.ParserCreate("utf-8", namespace_separator="}")
+        parser.buffer_text = True
+        parser.StartElementHandler = seen.start
+        parser.EndElementHandler = seen.end
+        parser.CharacterDataHandler = seen.text
+        data = head
+        while data:
+            parser.Parse(decoder.decode(data).encode(), False)
             yield from seen.done
             seen.done = []
-        parser.Parse(b"", True)
-    except expat.ExpatError:
-        fault = "bad_document"
-    except (zipfile.BadZipFile, zlib.error, EOFError):
-        fault = "bad_archive"
+            data = stream.read(READ_BYTES)
+        parser.Parse(decoder.decode(b"", True).encode(), True)
+    except (expat.ExpatError, UnicodeDecodeError):
+        fault = BAD_DOCUMENT
+    except Exception as error:  # noqa: BLE001 - raised again unless it is a fault of the file
+        if (fault := fault_of(error)) is None:
+            raise
     yield from seen.done
     yield (fault or "outside", None, 0, seen.elements, None)

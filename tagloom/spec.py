@@ -165,6 +165,15 @@ class Registry:
                 seen.setdefault(child.lower(), child)
         return list(seen.values())
 
+    def spellings(self) -> tuple[list[str], list[str]]:
+        """Declared child names: those spelled in one way, and those that differ in case somewhere."""
+        ways: dict[str, set[str]] = {}
+        for spec in self:
+            for child in spec.children:
+                ways.setdefault(child.lower(), set()).add(child)
+        one = [next(iter(w)) for w in ways.values() if len(w) == 1]
+        return one, [name for w in ways.values() if len(w) > 1 for name in sorted(w)]
+
     def listing(self, spark: SparkSession) -> DataFrame:
         """One row per declared column: table, position, column, type, required."""
         rows = [

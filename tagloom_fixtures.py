@@ -54,14 +54,68 @@ def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bad_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every 10th row lacks its name, every 11th has no number as class_id."""
+    """Rows with an undeclared child and, some of them, violations.
+
+    Every 10th lacks its name, every 11th has no number as class_id, every 13th an
+    empty category_id, and every 17th an index past the range.
+    """
     key = F.col("p_partkey")
     columns = _object_columns()
     columns["name"] = F.when(key % 10 != 0, columns["name"])
     columns["class_id"] = F.when(key % 11 == 0, "abc").otherwise(columns["class_id"])
+    columns["category_id"] = F.when(key % 13 == 0, "").otherwise(columns["category_id"].cast("string"))
+    columns["index"] = F.when(key % 17 == 0, "3000000000").otherwise(columns["index"].cast("string"))
+    columns["note"] = F.lit("not declared")
     return _rows(table(spark, sf_dir, "part"), "t_object", columns)
 
 
+def malformed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 10th row holds tags that do not match, in a child nobody declared."""
+    broken = F.replace("value", F.lit("</t_object>"), F.lit("<a><b></a></b></t_object>"))
+    tenth = F.col("value").rlike(r"<object_id>\d*0</object_id>")
+    return objects(spark, sf_dir).select(F.when(tenth, broken).otherwise(F.col("value")).alias("value"))
+
+
+def spelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two tables, each with GUID or guid."""
+    key = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(
+        F.explode(F.array(F.lit("t_a"), F.lit("t_b"))).alias("tag"),
+        F.when(key % 2 == 0, "GUID").otherwise("guid").alias("child"),
+        key.cast("string").alias("key"),
+    )
+    text = "format_string('<%1$s><key>%3$s</key><%2$s>g%3$s</%2$s></%1$s>', tag, child, key)"
+    return rows.select(F.expr(text).alias("value"))
+
+
+def odd_documents(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Folders that hold the objects among them in documents that cannot simply be cut.
+
+    A fourth each: plain, with a prefix, with a copy of every row in a comment, and inside
+    further elements.
+    """
+    rows = objects(spark, sf_dir).withColumn(
+        "k", F.regexp_extract("value", r"<object_id>(\d+)<", 1).cast("bigint") % 4
+    )
+    part = [rows.filter(F.col("k") == k).select("value") for k in range(4)]
+    hidden = F.concat(F.lit("<!-- "), "value", F.lit(" -->"), "value")
+    inside = F.concat(F.lit("<part><list>"), "value", F.lit("</list></part>"))
+    return [
+        write_documents(part[0]),
+        write_documents(prefixed(part[1], "s"), prefix="s"),
+        write_documents(part[2].select(hidden.alias("value"))),
+        write_documents(part[3].select(inside.alias("value"))),
+    ]
+
+
+def unfinished_documents(spark: SparkSession, sf_dir: str) -> str:
+    """The objects in documents whose root has no end tag."""
+    folder = fresh_folder(spark, "xml")
+    ended = spark.read.option("wholetext", True).text(documents(spark, sf_dir, objects))
+    ended.select(F.replace("value", F.lit("</SolutionDataset>"), F.lit("")).alias("value")).write.text(folder)
+    return folder
+
+
 def odd_guid_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GUIDs in braces, upper case, without hyphens, and malformed ones."""
     key = F.col("p_partkey")
@@ -143,7 +197,8 @@ def write_documents(rows: DataFrame, files: int = FILES, prefix: str = "") -> st
 
     def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"value": [opening]})
-        yield from batches
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns, ["value"])
         yield pa.RecordBatch.from_pydict({"value": [closing]})
 
     rows.repartition(files).mapInArrow(wrap, "value string").write.text(folder)
@@ -162,7 +217,7 @@ def zip_documents(spark: SparkSession, folder: str, member: str) -> str:
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 name = f"{base}/{path.rsplit('/', 1)[-1]}.zip"
-                with open_file(path, None) as document, system.open_output_stream(name) as out:
+                with open_file(path) as document, system.open_output_stream(name) as out:
                     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
                         with archive.open(member, "w", force_zip64=True) as inside:
                             shutil.copyfileobj(document, inside, 1 << 20)

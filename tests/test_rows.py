@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagloom import Source, default_registry
 from tagloom.operators.typed import good_rows, violations
 from tagloom.plans.ingest import stage
-from tagloom.plans.workspace import new_run_id, work_database
+from tagloom.plans.workspace import work_folder
 from tests.helpers import document, row, values
 
 REGISTRY = default_registry()
@@ -140,7 +140,7 @@ def _staged(spark, folder_of, kind, cases):
     folder = folder_of(*[d for _, d in documents])
     case_of = {f"d{i}.xml": name for i, (name, _) in enumerate(documents)}
     found = {name: ([], []) for name in cases}
-    with work_database(spark, new_run_id()) as work:
+    with work_folder(spark) as work:
         typed, _ = stage(spark, Source(folder, kind), REGISTRY, work)
         good = typed.filter((F.col("tag") == "t_object") & F.col("good"))
         for line in good.select("source", "t_object.*").collect():
