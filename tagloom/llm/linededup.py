@@ -61,7 +61,8 @@ def keep_bitmaps(
         .groupBy("h", "g", "doc_id")
         .agg(F.collect_list("pos").alias("at"))
     )
-    common = (
+    # written, so that its size is known to the join, which else could not split a hot line
+    common = scratch.keep(
         runs.groupBy("h", "g")
         .agg(F.count("*").alias("docs"), F.min("doc_id").alias("first"))
         .filter(F.col("docs") >= min_docs)
