@@ -11,6 +11,7 @@ in the word for tokens of bounded length, and no merge is ever run on the text.
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,8 +24,9 @@ from pyspark.sql import DataFrame
 
 #: Vocabulary files are small next to an executor's memory; larger ones are refused.
 MOST_VOCABULARY_BYTES = 64 << 20
-#: Words and pairs remembered by a worker; beyond it memory starts anew. No result depends on it.
-MOST_REMEMBERED = 1_000_000
+#: Stretches, words and pairs remembered by a worker, about 100 MB; beyond these numbers memory
+#: starts anew. No result depends on them.
+MOST_STRETCHES, MOST_WORDS, MOST_PAIRS = 300_000, 150_000, 200_000
 
 
 @dataclass
@@ -42,6 +44,7 @@ class Vocabulary:
     rank: list[int] = field(default_factory=list)
     joined: dict[tuple[int, int], int] = field(default_factory=dict)
     usable: list[bool] = field(default_factory=list)
+    encoder: Encoder | None = None
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -70,6 +73,10 @@ class Vocabulary:
             )
         return made
 
+    def text(self, ids) -> str:
+        """What ids decode to: their tokens, joined by a space, as the library does without a decoder."""
+        return " ".join(map(self.tokens.__getitem__, ids))
+
     def compatible(self, left: int, right: int, before: int | None = None) -> bool:
         """Whether no merge crosses between the two, counting merges of a rank under `before`.
 
@@ -123,14 +130,26 @@ class Encoder:
                 word = text.removesuffix(vocabulary.ending) + END if ends else text
                 self.tokens.add_word(word, (i, len(word)))
         self.tokens.make_automaton()
-        #: Whether a stretch of ASCII letters is one word, lower-cased, under this file's rules.
-        letters = "".join(map(chr, [*range(65, 91), *range(97, 123)]))
-        front = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(letters))
-        self.plain = [w for w, _ in front] == [letters.lower()]
+        self.letters = {ord(c): w for c in map(chr, range(0x250)) if c.isalpha() and (w := self._alone(c))}
+        marks = [c for c in ",.;:!?" if self._alone(c) == c]
+        #: Letters that are a word by themselves, whatever their neighbours, then one mark or none.
+        self.plain = re.compile(f"([{''.join(map(chr, self.letters))}]+)([{''.join(marks)}]?)") if self.letters and marks else None
         self.stretches: dict[bytes, bytes] = {}
         self.words: dict[str, list[int]] = {}
         self.tested: dict[tuple[int, int], bool] = {}
 
+    def _alone(self, char: str) -> str | None:
+        """A character in the vocabulary's alphabet, if the split takes it and its double for one word.
+
+        Letters that the normalisation turns into something else than letters are left out,
+        as what follows them might matter.
+        """
+        normal = self.normalizer.normalize_str(char)
+        if char.isalpha() and not normal.isalpha():
+            return None
+        one, two = (self.splitter.pre_tokenize_str(self.normalizer.normalize_str(c)) for c in (char, char * 2))
+        return one[0][0] if len(one) == 1 and [w for w, _ in two] == [one[0][0] * 2] else None
+
     def word(self, word: str) -> list[int]:
         """Ids of one word, given in the vocabulary's alphabet."""
         text = word + END if self.v.ending else word
@@ -152,7 +171,7 @@ class Encoder:
                     continue
             last[at] = token
             size[at] = length
-        if len(tested) > MOST_REMEMBERED:
+        if len(tested) > MOST_PAIRS:
             tested.clear()
         ids, at = [], len(text)
         while at:
@@ -184,7 +203,7 @@ class Encoder:
         for stretch in text.split():
             ids = known.get(stretch)
             if ids is None:
-                if len(known) > MOST_REMEMBERED:
+                if len(known) > MOST_STRETCHES:
                     known.clear()
                 ids = known[stretch] = self._stretch(stretch.decode())
             found.append(ids)
@@ -192,8 +211,11 @@ class Encoder:
 
     def _stretch(self, text: str) -> bytes:
         ids: list[int] = []
-        if self.plain and text.isascii() and text.isalpha():
-            return array("i", self._known_word(text.lower())).tobytes()
+        if self.plain and (found := self.plain.fullmatch(text)):
+            ids += self._known_word(found[1].translate(self.letters))
+            if found[2]:
+                ids += self._known_word(found[2])
+            return array("i", ids).tobytes()
         for piece in self._pieces(text):
             if isinstance(piece, int):
                 ids.append(piece)
@@ -205,37 +227,36 @@ class Encoder:
     def _known_word(self, word: str) -> list[int]:
         known = self.words.get(word)
         if known is None:
-            if len(self.words) > MOST_REMEMBERED:
+            if len(self.words) > MOST_WORDS:
                 self.words.clear()
             known = self.words[word] = self.word(word)
         return known
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
 def _encoder(shipped) -> Encoder:
-    """One encoder for each worker process and vocabulary; workers serve many tasks."""
-    if shipped.value.source_key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[shipped.value.source_key] = Encoder(shipped.value)
-    return _ENCODERS[shipped.value.source_key]
+    """One encoder for each worker process, kept with the broadcast value that its tasks share."""
+    vocabulary = shipped.value
+    if vocabulary.encoder is None:
+        vocabulary.encoder = Encoder(vocabulary)
+    return vocabulary.encoder
 
 
-def _ship(docs: DataFrame, path: str):
+def _ship(docs: DataFrame, path: str, decoding: bool = False):
     vocabulary = Vocabulary.read(path)
-    vocabulary.source_key = hash(vocabulary.source)
+    if decoding and json.loads(vocabulary.source)["decoder"] is not None:
+        raise ValueError("only vocabularies without a decoder can be decoded")
     return docs.sparkSession.sparkContext.broadcast(vocabulary)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
+def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
     """(doc_id, ids array<int>) of every row of `docs` (doc_id, text; others unused).
 
     `path`: a vocabulary file of the tokenizers library, kind BPE, read by the driver and
     sent to the tasks (its size is checked). Ids equal that library's with special tokens
-    in the text recognised and none added. A null text has no ids, like an empty one.
+    in the text recognised and none added. A null text has no ids, like an empty one. With
+    `decoded`, the ids are decoded as `decode` does in the same pass.
     """
-    shipped = _ship(docs, path)
+    shipped = _ship(docs, path, decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shipped)
@@ -244,13 +265,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 ids = [encoder.encode(t.as_py() or b"") for t in part.cast(pa.binary())]
                 ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, len(part)), pa.ListArray.from_arrays(pa.array(ends), values)],
-                    ["doc_id", "ids"],
-                )
+                columns = [batch.column("doc_id").slice(lo, len(part)), pa.ListArray.from_arrays(pa.array(ends), values)]
+                if decoded:
+                    columns.append(pa.array([encoder.v.text(array("i", i)) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][: len(columns)])
 
     columns = docs.select("doc_id", "text")
-    return columns.mapInArrow(run, f"doc_id {columns.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    schema = f"doc_id {columns.schema['doc_id'].dataType.simpleString()}, ids array<int>"
+    return columns.mapInArrow(run, schema + ", decoded string" * decoded)
 
 
 def _parts(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
@@ -270,17 +292,13 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     That is what the library gives for a vocabulary file without a decoder. Null ids give an
     empty text.
     """
-    if json.loads(Vocabulary.read(path).source)["decoder"] is not None:
-        raise ValueError("only vocabularies without a decoder are supported")
-    shipped = _ship(encoded, path)
+    shipped = _ship(encoded, path, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shipped.value.tokens.__getitem__
         for batch in batches:
-            ids = batch.column("ids")
-            for lo in range(0, len(ids), 256):
+            for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
-                texts = [" ".join(map(token, i.values.to_numpy().tolist() if i.is_valid else ())) for i in part.column("ids")]
+                texts = [shipped.value.text(i.values.to_numpy().tolist() if i.is_valid else ()) for i in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, f"{_ddl(encoded)}, decoded string")

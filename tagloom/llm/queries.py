@@ -77,8 +77,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(read_table(spark, sf_dir, "documents"), path)
-    return bpe.decode(ids, path).select(
+    return bpe.encode(read_table(spark, sf_dir, "documents"), path, decoded=True).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

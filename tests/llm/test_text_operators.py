@@ -192,6 +192,7 @@ def test_encoding_equals_the_library_and_decodes_to_its_text(spark):
         ids = library.encode(text or "", add_special_tokens=False).ids
         expected.append((d, ids, library.decode(ids, skip_special_tokens=False)))
     assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    assert sorted(map(tuple, bpe.encode(frame(spark, rows), VOCABULARY, decoded=True).collect()), key=repr) == sorted(expected, key=repr)
     assert bpe.encode(frame(spark, rows).limit(0), VOCABULARY).collect() == []
 
 
