@@ -52,8 +52,7 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): the ids, and a digest of what they decode to."""
     path = public_tokenizers.path(VOCABULARY)
-    found = bpe.decode(bpe.encode(docs, path), path)
-    return found.select(
+    return bpe.encode(docs, path, decoded=True).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
