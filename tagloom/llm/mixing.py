@@ -13,6 +13,7 @@ number of steps is an expression of the posteriors with those numbers as constan
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -146,12 +147,19 @@ def fit(
 
 
 def rate(posteriors: Sequence[Column], steps: Sequence[Sequence[float]], most: float | None = None) -> Column:
-    """The rate after projected steps from 1; a step takes its dot product with the posteriors."""
-    value = F.lit(1.0)
-    for step in steps:
-        moved = value - sum((p * F.lit(s) for p, s in zip(posteriors, step)), F.lit(0.0))
-        value = F.greatest(F.lit(0.0), moved) if most is None else F.least(F.lit(float(most)), F.greatest(F.lit(0.0), moved))
-    return value
+    """The rate after projected steps from 1; a step takes its dot product with the posteriors.
+
+    The steps are a constant array, not constants in the code, so that Spark compiles the
+    same expression once however many steps are tried.
+    """
+    if not steps:
+        return F.lit(1.0)
+
+    def move(value: Column, step: Column) -> Column:
+        moved = value - sum((p * step[k] for k, p in enumerate(posteriors)), F.lit(0.0))
+        return F.least(F.lit(float("inf") if most is None else float(most)), F.greatest(F.lit(0.0), moved))
+
+    return F.aggregate(F.array(*[F.array(*map(F.lit, s)) for s in steps]), F.lit(1.0), move)
 
 
 def solve(
@@ -199,7 +207,7 @@ def solve(
         moves = [[round(float(v), 12) for v in m] for m in (plain, scaled, scaled / 2, scaled / 8)]
         found = tried([[*steps, m] for m in moves])
         best = min(range(len(moves)), key=lambda c: miss(found[c][0]))
-        if not miss(found[best][0]) < miss(now) * (1 - 1e-6):
+        if not miss(found[best][0]) < miss(now) * (1 - 1e-4):
             break
         steps.append(moves[best])
         now, curvature = found[best]
@@ -228,8 +236,13 @@ def mix(
     shares = [weights[d] for d in domains]
     steps = solve(cells, shares, list(domains).index(anchor) if anchor else None, most) if model.fitted else []
     scratch.drop(cells)
-    marked = model.score(docs, "_tokens", "_p")
+    marked = _once(model.score(docs, "_tokens", "_p"))
     unit = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    return marked.withColumn("_rate", F.round(rate([F.col(f"_{n}") for n in names], steps, most), 6)).withColumn(
-        "_copies", (F.floor("_rate") + F.when(unit < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)).cast("int")
-    )
+    marked = _once(marked.withColumn("_rate", F.round(rate([F.col(f"_{n}") for n in names], steps, most), 6)))
+    more = F.when(unit < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
+    return _once(marked.withColumn("_copies", (F.floor("_rate") + more).cast("int")))
+
+
+def _once(frame: DataFrame) -> DataFrame:
+    """A filter above would move below the scores and compute them again for each use; it stops here."""
+    return frame.observe(f"mixed_{uuid.uuid4().hex}", F.count("*").alias("rows"))
