@@ -6,8 +6,7 @@ node that its own prefix differs from in at most `budget` bits; there the node's
 and the visitors' sub-tries are walked together, pair of nodes by pair of nodes, and a
 pair is given up as soon as its differing bits exceed the budget. What a task returns is
 a spanning forest of the links it found, so groups of near copies give as many links as
-members. Distinct fingerprints within a few bits of one centre are limited by the size of
-that Hamming ball, so visitors of one node are, too; they are streamed past the node.
+members. A node with very many visitors is copied, and each copy meets a part of them.
 """
 
 from __future__ import annotations
@@ -26,6 +25,8 @@ from tagloom.llm.shared import Scratch
 
 BITS = 64
 SEED = 42
+#: Visits of a node beyond which its visitors are spread over further tasks.
+PART = 8192
 
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
@@ -75,18 +76,25 @@ def _masks(bits: int, budget: int) -> list[int]:
 def visits(codes: DataFrame, count: int, scratch: Scratch, budget: int = 2, size: int = 2048, stride: int = 8) -> DataFrame:
     """(depth, node, fp): which trie nodes each distinct fingerprint is compared in.
 
-    A fingerprint visits its own node and those of smaller prefix within the budget, so
-    any two fingerprints within it meet in exactly one node. A node of more than `size`
-    own fingerprints is cut `stride` bits deeper, for its visitors as well, until none is.
+    A fingerprint visits its own node and, of the nodes within the budget, those that a hash
+    of both prefixes picks as the meeting place, so any two fingerprints within the budget
+    meet in exactly one node and no node is picked more often than others. A node of more
+    than `size` own fingerprints is cut `stride` bits deeper, for its visitors as well,
+    until none is.
     """
     depth = max(0, math.ceil(math.log2(max(count, 1) / size)))
     fp, done = F.col("fp"), []
+
+    def met(own: Column, node: Column) -> Column:
+        low, high = F.least(own, node), F.greatest(own, node)
+        return node == F.when(F.xxhash64(low, high) % 2 == 0, low).otherwise(high)
+
     moves = F.array(*[F.lit(m).cast("bigint") for m in _masks(depth, budget)])
     open_ = (
         codes.select("fp", F.explode(moves).alias("move"))
         .select(F.lit(depth).alias("depth"), _prefix(fp, depth).bitwiseXOR(F.col("move")).alias("node"), "fp",
                 F.bit_count("move").alias("err"))
-        .filter(F.col("node") <= _prefix(fp, depth))
+        .filter(met(_prefix(fp, depth), F.col("node")))
     )
     while True:
         own = open_.filter("err = 0").groupBy("node").count().filter(F.col("count") > size).select("node")
@@ -108,8 +116,10 @@ def visits(codes: DataFrame, count: int, scratch: Scratch, budget: int = 2, size
                 F.shiftleft("node", step).bitwiseOR(part.bitwiseXOR(F.col("move"))).alias("node"),
                 "fp",
                 (F.col("err") + F.bit_count("move")).alias("err"),
+                (F.col("err") == 0).alias("own"),
             )
-            .filter(F.col("node") <= _prefix(fp, depth))
+            .filter(~F.col("own") | met(_prefix(fp, depth), F.col("node")))
+            .drop("own")
         )
     for frame in done:
         open_ = open_.select("depth", "node", "fp").unionAll(frame)
@@ -150,7 +160,11 @@ def near_pairs(a: np.ndarray, b: np.ndarray, depth: int, budget: int) -> tuple[n
 
 
 def _join_nodes(batches: Iterator[pa.RecordBatch], budget: int, block: int = 8192) -> Iterator[pa.RecordBatch]:
-    """Links from rows sorted by node, a node's own fingerprints first."""
+    """Links from rows sorted by node and part, a node's own fingerprints first.
+
+    Each part of a node has all of its own fingerprints and some of the visitors; the first
+    part joins the own ones with each other.
+    """
     node, own, own_parts, waiting = None, None, [], []
 
     def links(a: np.ndarray, b: np.ndarray, depth: int, within: bool) -> pa.RecordBatch:
@@ -164,7 +178,7 @@ def _join_nodes(batches: Iterator[pa.RecordBatch], budget: int, block: int = 819
         nonlocal own
         if own is None:
             own = np.sort(np.concatenate([np.empty(0, np.uint64), *own_parts]))
-            for k in range(0, len(own), block):
+            for k in range(0, 0 if node[2] else len(own), block):
                 yield links(own[k : k + block], own, node[0], len(own) <= block)
 
     def visited() -> Iterator[pa.RecordBatch]:
@@ -175,16 +189,18 @@ def _join_nodes(batches: Iterator[pa.RecordBatch], budget: int, block: int = 819
         waiting = []
 
     for batch in batches:
-        depth, at, fp, away = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("depth", "node", "fp", "away"))
+        names = ("depth", "node", "part", "away", "fp")
+        *keys, fp = (batch.column(n).to_numpy(zero_copy_only=False) for n in names)
+        depth, at, part, away = keys
         fp = fp.view(np.uint64)
-        cuts = np.flatnonzero((depth[1:] != depth[:-1]) | (at[1:] != at[:-1]) | (away[1:] != away[:-1])) + 1
+        cuts = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
         for lo, hi in zip([0, *cuts], [*cuts, len(fp)]):
             if hi == lo:
                 continue
-            if node != (depth[lo], at[lo]):
+            if node != (depth[lo], at[lo], part[lo]):
                 if node is not None:
                     yield from visited()
-                node, own, own_parts, waiting = (depth[lo], at[lo]), None, [], []
+                node, own, own_parts, waiting = (depth[lo], at[lo], part[lo]), None, [], []
             if not away[lo]:
                 own_parts.append(fp[lo:hi])
                 continue
@@ -208,12 +224,18 @@ def near_duplicates(docs: DataFrame, scratch: Scratch | None = None, shingle: in
     scratch = scratch or Scratch(docs.sparkSession)
     marked = scratch.keep(fingerprints(docs, shingle))
     classes = scratch.keep(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    met = visits(classes.select("fp"), classes.count(), scratch, budget)
     own = F.expr(f"CASE WHEN depth = 0 THEN 0 ELSE shiftrightunsigned(fp, {BITS} - depth) END")
+    met = visits(classes.select("fp"), classes.count(), scratch, budget).withColumn("away", own != F.col("node"))
+    crowded = scratch.keep(
+        met.groupBy("depth", "node").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts")).filter("parts > 1")
+    )
+    parts = F.coalesce("parts", F.lit(1))
+    one = F.array(F.pmod(F.xxhash64("fp"), parts).cast("int"))
     links = (
-        met.withColumn("away", own != F.col("node"))
-        .repartition("depth", "node")
-        .sortWithinPartitions("depth", "node", "away")
+        met.join(crowded, ["depth", "node"], "left")
+        .select("depth", "node", "fp", "away", F.explode(F.when(F.col("away"), one).otherwise(F.sequence(F.lit(0), parts - 1))).alias("part"))
+        .repartition("depth", "node", "part")
+        .sortWithinPartitions("depth", "node", "part", "away")
         .mapInArrow(lambda batches: _join_nodes(batches, budget), "a bigint, b bigint")
     )
     roots = connected_components(links, scratch).toDF("fp", "root")
