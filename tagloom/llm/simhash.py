@@ -26,7 +26,7 @@ from tagloom.llm.shared import Scratch
 BITS = 64
 SEED = 42
 #: Visits of a node beyond which its visitors are spread over further tasks.
-PART = 8192
+PART = 4096
 
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
