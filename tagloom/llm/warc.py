@@ -109,7 +109,7 @@ def _fields(frame: DataFrame) -> DataFrame:
     http = F.substring_index(block.cast("string"), END, 1)
     number = lambda c: F.try_to_number(F.regexp_extract(c, r"^\d{1,15}$", 0), F.lit("999999999999999")).cast("bigint")
     revisit = _field(header, "WARC-Type") == "revisit"
-    id_of = lambda name: number(F.regexp_extract(_field(header, name), r"<urn:pages:(\d+)>", 1))
+    id_of = lambda name: F.regexp_extract(_field(header, name), r"<urn:pages:(-?\d{1,19})>", 1).try_cast("bigint")
     payload = _payload(block)
     return frame.withColumns(
         {

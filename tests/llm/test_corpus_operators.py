@@ -170,6 +170,14 @@ def test_archives_come_back_and_payload_text_is_no_record(spark, tmp_path, split
     assert sorted(found, key=repr) == sorted(expected, key=repr)
 
 
+def test_any_bigint_comes_back_as_page_id(spark, tmp_path):
+    ids = [10**15, -7, 0, 2**63 - 1, -(2**63), 1234567890123456789]
+    pages = [(k, "u", f"page {k}") for k in ids] + [(-9, "u", "page -7"), (10**16, "u", f"page {2**63 - 1}")]
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), f"{tmp_path}/w")
+    found = {(r["page_id"], r["record_type"], r["refers_to"]) for r in warc.read_archives(spark, f"{tmp_path}/w").collect()}
+    assert found == {(k, "response", None) for k in ids} | {(-9, "revisit", -7), (10**16, "revisit", 2**63 - 1)}
+
+
 def test_a_damaged_file_gives_the_records_before_the_damage(spark, tmp_path, scratch):
     path = f"{tmp_path}/w"
     pages = spark.createDataFrame([(k, "u", f"page {k} " * 9) for k in range(40)], "page_id long, url string, html string").coalesce(1)
