@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +131,27 @@ def test_shards_narrow_every_dimension_and_are_written_as_files(spark, tmp_path)
     assert all(len(list(p.glob("*.parquet"))) == 1 for p in (tmp_path / "out").glob("shard=*"))
 
 
+def test_null_and_repeated_ids_are_written_once_each_in_files_of_bounded_size(spark, tmp_path):
+    made = [(None if k % 3 == 0 else k % 7, None if k == 4 else f"text {k % 50}" * 9, f"l{k % 4}", f"s{k % 5}", k % 90, "", 1) for k in range(400)]
+    made += [(None, "", "en", "s", 0, "", 1)] * 300
+    docs = documents(spark, made).drop("slot", "size").repartition(7)
+    found = hilbert.shards(docs, count=3)
+    hilbert.write_shards(docs, found, f"{tmp_path}/out", file_bytes=1000)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert Counter(map(tuple, back.drop("shard").collect())) == Counter(r[:5] for r in made)
+    sizes = {r["row_key"]: r["shard"] for r in found.collect()}
+    once = {k for k, n in Counter(r["row_key"] for r in found.collect()).items() if n == 1}
+    marked = back.withColumn("k", hilbert._row_key(back, hilbert.DIMENSIONS)).collect()
+    assert all(r["shard"] == sizes[r["k"]] for r in marked if r["k"] in once) and once
+    for shard in range(3):
+        files = sorted((tmp_path / "out" / f"shard={shard}").glob("*.parquet"))
+        assert len(files) > 1
+        written = [zlib.crc32((t or "").encode()) for f in files for t in pq.ParquetFile(f).read()["text"].to_pylist()]
+        assert written == [r["text_crc32"] for r in found.filter(F.col("shard") == shard).orderBy("slot").collect()]
+    with pytest.raises(ValueError):
+        hilbert.write_shards(docs.limit(9), found, f"{tmp_path}/other")
+
+
 # --- archives ----------------------------------------------------------------
 
 
