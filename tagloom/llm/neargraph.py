@@ -12,6 +12,8 @@ links and a spanning forest of them, never the pairs. Recall is audited by brute
 Equal vectors of a label are one node with a count. Regions of more than `region_size`
 nodes are first covered by overlapping regions themselves, whose centres lie apart, so a
 dense group is not cut; a pair that meets in several regions counts in the lowest only.
+Regions that stay larger, such as a dense group around one centre, get no graph: they are
+dealt into blocks of half a region and joined block by block, exactly.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from tagloom.llm.shared import Scratch
 log = logging.getLogger(__name__)
 SALT_ROWS = 8192
 SAMPLE_PER_CELL = 32
+#: Entries of a matrix of pairs that are worked on at once.
+SLICE = 1 << 22
 
 
 def usable(vector: Column) -> Column:
@@ -112,8 +116,9 @@ def robust_prune(x: np.ndarray, degree: int = 24, pool: int = 64, alpha: float =
     pool, out = min(pool, n - 1), np.full((n, degree), -1, np.int32)
     if pool < 1:
         return out
-    for lo in range(0, n, 1024):
-        hi = min(n, lo + 1024)
+    step = max(1, min(1024, 2 * SLICE // n))
+    for lo in range(0, n, step):
+        hi = min(n, lo + step)
         close = x[lo:hi] @ x.T
         close[np.arange(hi - lo), np.arange(lo, hi)] = -np.inf
         near = np.argpartition(-close, pool - 1, axis=1)[:, :pool]
@@ -186,19 +191,69 @@ def range_search(
             ids, close, done = pad(ids, 0), pad(close, -np.inf), pad(done, True)
         ids[active], close[active], done[active] = (np.take_along_axis(a, top, 1) for a in (all_ids, all_close, all_done))
     expanded = np.zeros_like(found)
-    while len(pending := np.argwhere(found & ~expanded)):
-        for k in range(0, len(pending), 1 << 14):
-            q, v = pending[k : k + (1 << 14)].T
-            expanded[q, v] = True
-            onward = adjacency[v]
-            q2, v2 = np.repeat(q, onward.shape[1]), onward.ravel()
-            new = (v2 >= 0) & ~seen[q2, v2]
-            if new.any():
-                pairs = np.unique(q2[new] * np.int64(n) + v2[new])
-                visit(pairs // n, pairs % n)
+    for part in _slices(nq, n):
+        while len(pending := np.argwhere(found[part] & ~expanded[part])):
+            for k in range(0, len(pending), 1 << 14):
+                q, v = pending[k : k + (1 << 14)].T
+                q = q + part.start
+                expanded[q, v] = True
+                onward = adjacency[v]
+                q2, v2 = np.repeat(q, onward.shape[1]), onward.ravel()
+                new = (v2 >= 0) & ~seen[q2, v2]
+                if new.any():
+                    pairs = np.unique(q2[new] * np.int64(n) + v2[new])
+                    visit(pairs // n, pairs % n)
     return found
 
 
+def _slices(rows: int, width: int) -> Iterator[slice]:
+    """Runs of the rows of a matrix, of at most SLICE entries or one row."""
+    step = max(1, SLICE // max(width, 1))
+    return (slice(lo, min(rows, lo + step)) for lo in range(0, rows, step))
+
+
+def _lower(regions: pd.Series, here: int) -> tuple[np.ndarray, np.ndarray]:
+    """The regions of each row that are below `here`, padded, and where there is one."""
+    lists = [[r for r in held if r < here] for held in regions]
+    width = max(map(len, lists), default=0)
+    ids, real = np.zeros((len(lists), width), np.int64), np.zeros((len(lists), width), bool)
+    for i, held in enumerate(lists):
+        ids[i, : len(held)], real[i, : len(held)] = held, True
+    return ids, real
+
+
+def _met_below(lower: tuple[np.ndarray, np.ndarray], q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Of each pair (q[i], v[j]), whether a lower region has both."""
+    ids, real = lower
+    met = np.zeros((len(q), len(v)), bool)
+    for a in range(ids.shape[1]):
+        for b in range(ids.shape[1]):
+            met |= (ids[q, a][:, None] == ids[v, b]) & real[q, a][:, None] & real[v, b]
+    return met
+
+
+def _join_blocks(x: np.ndarray, copies: np.ndarray, lower: tuple, q: np.ndarray, v: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(links of each row, forest a, b) by all pairs of the rows q and v; these are equal or have no row in common."""
+    links, a, b = np.zeros(len(x), np.int64), q[:0], v[:0]
+    same = np.array_equal(q, v)
+    for part in _slices(len(q), len(v)):
+        near = x[q[part]] @ x[v].T >= least
+        near &= ~_met_below(lower, q[part], v) & (q[part][:, None] != v)
+        links[q[part]] += near @ copies[v]
+        if not same:
+            links[v] += copies[q[part]] @ near
+        i, j = np.nonzero(near)
+        if len(i):
+            a, b = forest(np.concatenate([a, q[part][i]]), np.concatenate([b, v[j]]))
+    return links, a, b
+
+
+def _linked(nodes: np.ndarray, links: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    size = max(len(nodes), len(a))
+    pad = lambda s: pd.Series(s, dtype="Int64").reindex(range(size))
+    return pd.DataFrame({"node": pad(nodes), "links": pad(links), "a": pad(a), "b": pad(b)})
+
+
 def _links(nodes: DataFrame, scratch: Scratch, least: float, beam: int, cell_size: int, region_size: int, block: int) -> tuple[DataFrame, DataFrame]:
     """(node, links) and links of a forest (a, b). nodes: node, region0, vec, copies."""
     apart = 0.85
@@ -206,6 +261,13 @@ def _links(nodes: DataFrame, scratch: Scratch, least: float, beam: int, cell_siz
     region = F.xxhash64("home", "cell")
     wide = scratch.keep(wide.withColumn("region", region).drop("cell", "home"))
     regions = wide.groupBy("node").agg(F.sort_array(F.collect_set("region")).alias("regions"))
+    counts = scratch.keep(wide.groupBy("region").count())
+    dense = counts.filter(F.col("count") > region_size)
+    linked = "node bigint, links bigint, a bigint, b bigint"
+    blockwise = None
+    if not dense.isEmpty():
+        blockwise = _dense_links(wide.join(dense, "region").join(regions, "node"), least, max(1, region_size // 2), linked)
+        wide = wide.join(dense, "region", "left_anti")
     cells = cover(wide.select("node", "region", "vec"), "region", cell_size, apart, scratch)
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
@@ -221,7 +283,7 @@ def _links(nodes: DataFrame, scratch: Scratch, least: float, beam: int, cell_siz
     graph = lists.groupBy("region", "node").agg(
         F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.max("medoid").alias("medoid")
     )
-    sizes = wide.groupBy("region").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    sizes = counts.select("region", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     whole = (
         wide.join(graph, ["region", "node"]).join(regions, "node").join(sizes, "region")
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -240,23 +302,41 @@ def _links(nodes: DataFrame, scratch: Scratch, least: float, beam: int, cell_siz
             adjacency[i, : len(near)] = np.searchsorted(ids, near)
         found = range_search(x, adjacency, np.flatnonzero(rows["medoid"].to_numpy()), queries, least, beam)
         found[np.arange(len(queries)), queries] = False
-        here, held = rows["region"].iloc[0], rows["regions"].map(np.asarray).to_list()
-        if any(len(h) > 1 for h in held):
-            for q, v in np.argwhere(found):
-                both = np.intersect1d(held[queries[q]], held[v])
-                found[q, v] = both[0] == here
-        links = found @ rows["copies"].to_numpy()
-        q, v = np.nonzero(found)
-        a, b = forest(ids[queries[q]], ids[v]) if len(q) else (ids[:0], ids[:0])
-        size = max(len(queries), len(a))
-        pad = lambda s: pd.Series(s, dtype="Int64").reindex(range(size))
-        return pd.DataFrame({"node": pad(ids[queries]), "links": pad(links), "a": pad(a), "b": pad(b)})
-
-    met = scratch.keep(whole.groupBy("region", "block").applyInPandas(search, "node bigint, links bigint, a bigint, b bigint"))
+        lower, copies = _lower(rows["regions"], rows["region"].iloc[0]), rows["copies"].to_numpy()
+        links, a, b = np.zeros(len(queries), np.int64), ids[:0], ids[:0]
+        for part in _slices(len(queries), len(ids)):
+            near = found[part] & ~_met_below(lower, queries[part], np.arange(len(ids)))
+            links[part] = near @ copies
+            q, v = np.nonzero(near)
+            if len(q):
+                a, b = forest(np.concatenate([a, ids[queries[part][q]]]), np.concatenate([b, ids[v]]))
+        return _linked(ids[queries], links, a, b)
+
+    met = whole.groupBy("region", "block").applyInPandas(search, linked)
+    met = scratch.keep(met if blockwise is None else met.unionAll(blockwise))
     counted = met.filter("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
     return counted, met.filter("a IS NOT NULL").select("a", "b")
 
 
+def _dense_links(rows: DataFrame, least: float, block: int, linked: str) -> DataFrame:
+    """Links of regions (region, node, vec, copies, count, regions) by all pairs, a task for each pair of blocks of about `block` rows."""
+    dealt = rows.withColumn("parts", F.ceil(F.col("count") / block).cast("int")).withColumn(
+        "own", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("parts")).cast("int")
+    )
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns(
+        {"low": F.least("own", "other"), "high": F.greatest("own", "other")}
+    )
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, own = rows["node"].to_numpy(), rows["own"].to_numpy()
+        q, v = (np.flatnonzero(own == rows[end].iloc[0]) for end in ("low", "high"))
+        lower = _lower(rows["regions"], rows["region"].iloc[0])
+        links, a, b = _join_blocks(_unit(rows["vec"]), rows["copies"].to_numpy(), lower, q, v, least)
+        return _linked(ids, links, ids[a], ids[b])
+
+    return pairs.groupBy("region", "low", "high").applyInPandas(join, linked)
+
+
 def audit(nodes: DataFrame, counted: DataFrame, least: float, queries: int = 256) -> float:
     """Share of the links of about `queries` nodes, chosen by a hash, that the search found.
 

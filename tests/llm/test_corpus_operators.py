@@ -277,6 +277,22 @@ def test_links_and_components_equal_brute_force(spark, sizes):
     assert neargraph.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_a_dense_group_larger_than_a_region_is_joined_in_blocks_of_bounded_size(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centre, other = rng.normal(size=(2, 8))
+    rows = [(k, (centre + 0.12 * rng.normal(size=8)).tolist(), 0) for k in range(300)]
+    rows += [(k, (other + 0.3 * rng.normal(size=8)).tolist(), 0) for k in range(300, 400)]
+    rows += [(k + 1000, e, label) for k, e, label in rows[:5]]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    asked, block_join = [], neargraph._dense_links
+    monkeypatch.setattr(neargraph, "_dense_links", lambda rows, least, block, linked: asked.append(block) or block_join(rows, least, block, linked))
+    found = neargraph.near_duplicates(frame, cell_size=24, region_size=60, block=40)
+    met = sorted(map(tuple, found.collect()))
+    expected = plain_links(rows, 0.93)
+    assert [r[0] for r in met] == [r[0] for r in expected] and met[:300] == expected[:300]
+    assert all(f[1] <= e[1] for f, e in zip(met, expected)) and asked and set(asked) == {30}
+
+
 def test_pruning_keeps_the_closest_and_spreads_the_rest():
     x = np.random.default_rng(0).normal(size=(300, 8))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
