@@ -89,19 +89,21 @@ def cover(nodes: DataFrame, group: str, size: int, apart: float, scratch: Scratc
 
     def assign(rows: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
         if not len(rows):
-            return pd.DataFrame({"node": pd.Series(dtype="int64"), "cell": pd.Series(dtype="int32")})
+            return pd.DataFrame({group: [], "node": pd.Series(dtype="int64"), "cell": pd.Series(dtype="int32")})
         if not len(near):
-            return pd.DataFrame({"node": rows["node"], "cell": 0})
+            return pd.DataFrame({group: rows[group], "node": rows["node"], "cell": 0})
         close = _unit(rows["vec"]) @ np.stack(near["centre"].map(np.asarray).to_numpy()).T
         best = np.argsort(-close, axis=1, kind="stable")[:, :overlap]
-        return pd.DataFrame({"node": np.repeat(rows["node"].to_numpy(), best.shape[1]), "cell": best.ravel().astype(np.int32)})
+        return pd.DataFrame(
+            {group: rows[group].iloc[0], "node": np.repeat(rows["node"].to_numpy(), best.shape[1]), "cell": best.ravel().astype(np.int32)}
+        )
 
     assigned = (
         salted.select(group, "salt", "node", "vec").groupBy(group, "salt")
-        .cogroup(centres.groupBy(group, "salt")).applyInPandas(assign, "node bigint, cell int")
+        .cogroup(centres.groupBy(group, "salt")).applyInPandas(assign, f"{group} {kind}, node bigint, cell int")
     )
     return small.select(*nodes.columns, F.lit(0).alias("cell")).unionAll(
-        large.join(assigned, "node").select(*nodes.columns, "cell")
+        large.join(assigned, [group, "node"]).select(*nodes.columns, "cell")
     )
 
 
@@ -338,7 +340,8 @@ def _dense_links(rows: DataFrame, least: float, block: int, linked: str) -> Data
 
 
 def audit(nodes: DataFrame, counted: DataFrame, least: float, queries: int = 256) -> float:
-    """Share of the links of about `queries` nodes, chosen by a hash, that the search found.
+    """Share of the links of about `queries` nodes, chosen by a hash, that the search found; the
+    mean share of a node where that is less, as one large group else decides the figure.
 
     The chosen nodes are compared with all nodes of their label, in blocks; what is
     broadcast is the chosen vectors, a bounded number.
@@ -358,8 +361,9 @@ def audit(nodes: DataFrame, counted: DataFrame, least: float, queries: int = 256
                 yield pd.DataFrame({"node": ids, "true": near @ rows["copies"].to_numpy()})
 
     true = nodes.mapInPandas(compare, "node bigint, true bigint").groupBy("node").agg(F.sum("true").alias("true"))
-    row = true.join(counted, "node", "left").agg(F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("links", F.lit(0)))).alias("f")).first()
-    return 1.0 if not row["t"] else row["f"] / row["t"]
+    held = true.filter(F.col("true") > 0).join(counted, "node", "left").withColumn("found", F.least(F.col("true"), F.coalesce("links", F.lit(0))))
+    row = held.agg((F.sum("found") / F.sum("true")).alias("links"), F.avg(F.col("found") / F.col("true")).alias("nodes")).first()
+    return 1.0 if row["links"] is None else min(row["links"], row["nodes"])
 
 
 def near_duplicates(

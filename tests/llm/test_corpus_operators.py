@@ -293,6 +293,18 @@ def test_a_dense_group_larger_than_a_region_is_joined_in_blocks_of_bounded_size(
     assert all(f[1] <= e[1] for f, e in zip(met, expected)) and asked and set(asked) == {30}
 
 
+def test_a_node_of_two_groups_takes_only_the_cells_of_each_and_small_groups_weigh_in_the_audit(spark, scratch):
+    x = np.random.default_rng(3).normal(size=(90, 6))
+    rows = [(k, g, x[k].tolist()) for g, lo, hi in ((1, 0, 60), (2, 30, 90)) for k in range(lo, hi)]
+    nodes = spark.createDataFrame(rows, "node long, region long, vec array<double>")
+    cells = Counter((r["node"], r["region"]) for r in neargraph.cover(nodes, "region", 10, 0.85, scratch).collect())
+    assert set(cells) == {(k, g) for k, g, _ in rows} and set(cells.values()) == {2}
+    held = [(k, 0, [1.0, 0.0], 1) for k in range(60)] + [(100 + k, 1 + k // 2, [0.0, 1.0], 1) for k in range(60)]
+    frame = spark.createDataFrame(held, "node long, home long, vec array<double>, copies long")
+    counted = spark.createDataFrame([(k, 59 if k < 60 else 0) for k, *_ in held], "node long, links long")
+    assert neargraph.audit(frame, counted.filter("node < 60"), 0.93, queries=10_000) == pytest.approx(0.5)
+
+
 def test_pruning_keeps_the_closest_and_spreads_the_rest():
     x = np.random.default_rng(0).normal(size=(300, 8))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
