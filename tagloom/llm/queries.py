@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagloom.llm import bpe, hilbert, linededup, mixing, neargraph, quality, simhash, toxicity, urls, warc
+from tagloom.llm import (
+    bpe, fillmiddle, hardnegatives, hilbert, linededup, mixing, neargraph, quality, simhash, tokenrecords, toxicity, urls,
+    warc,
+)
 from tagloom.llm.shared import Scratch, read_table
 
 VOCABULARY = "word_bpe_49k.json"
+RECORD_VOCABULARY, END_ID = "byte_bpe_50k.json", 2
 URL_RULES = (
     urls.UrlRule("net/", "block"),
     urls.UrlRule("example.net/en/", "allow"),
@@ -97,10 +101,37 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.expr("vec_id % 7 = 0"), F.expr("(label + 1) % 10")).otherwise(F.col("label"))
+    vectors = read_table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hardnegatives.hard_negatives(vectors, F.expr("vec_id % 50 = 0"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fillmiddle.fill_in_middle(docs).withColumn("again", fillmiddle.restored(F.col("output"), F.col("form")))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("again", 256).alias("restored_sha256"),
+    )
+
+
+def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    path = f"{scratch.root}/records"
+    vocabulary = public_tokenizers.path(RECORD_VOCABULARY)
+    tokenrecords.write_records(read_table(spark, sf_dir, "documents"), path, vocabulary, END_ID, scratch=scratch)
+    found = tokenrecords.read_records(tokenrecords.read_index(spark, path), path, packed=True)
+    return found.select(
+        "doc_id", "start", F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     dealt = (
         op1_url_filter, op2_simhash, op3_sharding, op4_warc, op5_quality,
-        op6_embedding_dedup, op7_mixing, op8_toxicity, op9_bpe, op10_line_dedup,
+        op6_embedding_dedup, op7_mixing, op8_toxicity, op9_bpe, op10_line_dedup, op11_hard_negatives,
+        op12_fill_in_middle, op13_token_records,
     )
     return {f.__name__: f for f in dealt}
 
@@ -222,5 +253,49 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = leader THEN '
 FROM led"""
 
 
+OP11_SQL = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v, row_number() OVER () AS r
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id, b.r, a.label = b.label AS same,
+           CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM rows a JOIN rows b ON a.r <> b.r WHERE a.vec_id % 50 = 0
+), positives AS (
+    SELECT anchor, anchor_id, r AS positive, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, r) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, positive ORDER BY score DESC, vec_id, r) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON p.anchor = s.anchor
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+OP12_SQL = r"""
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+           regexp_extract_all(coalesce(text, ''), '[ \t\n\x0B\f\r]*[^ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+') AS u FROM documents
+), drawn AS (
+    SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS c2,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                     OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+                WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM units
+), cut AS (
+    SELECT *, array_to_string(u[1:least(c1, c2)], '') AS p, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+           array_to_string(u[greatest(c1, c2) + 1:], '') AS s FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM cut"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op4_warc": OP4_SQL, "op5_quality": OP5_SQL, "op10_line_dedup": OP10_SQL}
+    return {
+        "op1_url_filter": OP1_SQL, "op4_warc": OP4_SQL, "op5_quality": OP5_SQL, "op10_line_dedup": OP10_SQL,
+        "op11_hard_negatives": OP11_SQL, "op12_fill_in_middle": OP12_SQL,
+    }

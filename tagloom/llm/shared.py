@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: ASCII white space: the bytes 20 and 09 to 0D.
@@ -20,6 +22,21 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def ddl(frame: DataFrame) -> str:
+    """The schema of a frame as text; back ticks in names are doubled."""
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in frame.schema)
+
+
+def text_parts(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, slice) of texts, in slices of about `most` bytes or a single text."""
+    lo = size = 0
+    for k in range(len(texts)):
+        size += len(texts[k].as_buffer() or b"")
+        if size >= most or k + 1 == len(texts):
+            yield lo, texts.slice(lo, k + 1 - lo)
+            lo, size = k + 1, 0
+
+
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; the warehouse where that is unset, since all nodes see it too."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
