@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tagloom.operators.rows import OK, OUTSIDE, STATES_TO_REREAD
+from tagloom.operators.outline import DONE
+from tagloom.operators.rows import MALFORMED, OK, OUTSIDE, STATES_TO_REREAD
 from tagloom.operators.typed import violations
 from tagloom.spec import Registry
 
@@ -19,15 +20,10 @@ def count_rows(typed: DataFrame) -> DataFrame:
     each task before it shuffles, so a source or table with very many rows is one
     line per task.
     """
-    starts, ends = F.col("loose.starts"), F.col("loose.ends")
     return typed.groupBy("source", "tag", "known", "status", "good").agg(
         F.count("*").alias("n"),
         F.sum("depth").alias("depth"),
         F.sum("elements").alias("elements"),
-        F.sum(F.size(starts)).alias("starts"),
-        F.sum(F.size(ends)).alias("ends"),
-        F.min(F.array_min(F.concat(starts, ends))).alias("first_name"),
-        F.max(F.array_max(F.concat(starts, ends))).alias("last_name"),
         F.max("loose.else").alias("other_text"),
     )
 
@@ -90,34 +86,45 @@ def findings(counted: DataFrame, typed: DataFrame, registry: Registry) -> DataFr
     return rows.unionByName(documents).unionByName(broken_rules)
 
 
-def sources_to_reread(counted: DataFrame) -> DataFrame:
-    """Sources that could not be cut into rows safely, or may not be well formed.
+def sources_to_reread(counted: DataFrame, outlined: DataFrame) -> DataFrame:
+    """(source, unbound) of sources that could not be cut into rows safely, or may not be well formed.
 
-    Safe are those without a doubtful state whose tags add up, and where nothing but one
-    root element stands outside rows, or where one row is the root.
+    Safe are those without a doubtful state whose tags add up, where one element is
+    around all rows, or one row is the root, and the root declares all prefixes that are used.
     """
     unsafe = F.col("status").isin(*STATES_TO_REREAD) | F.coalesce("other_text", F.lit(False))
-    names = F.coalesce(F.col("first_name") == F.col("last_name"), F.lit(False))
-    root = (F.col("starts") == 1) & (F.col("ends") == 1) & names
-    row_is_root = (F.col("starts") == 0) & (F.col("ends") == 0) & (F.col("rows") == 1)
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    one_root = (F.array_join("tags", " ") == DONE) & F.col("enclosed")
+    row_is_root = (F.size("tags") == 0) & (F.col("rows") == 1)
     return (
         counted.groupBy("source")
         .agg(
             F.max(unsafe).alias("unsafe"),
             F.sum("depth").alias("depth"),
-            total("starts"),
-            total("ends"),
-            F.min("first_name").alias("first_name"),
-            F.max("last_name").alias("last_name"),
             F.coalesce(F.sum(F.when(F.col("tag").isNotNull(), F.col("n"))), F.lit(0)).alias("rows"),
             F.max(F.col("tag").isNull() & ~F.col("status").isin(OK, OUTSIDE, *STATES_TO_REREAD)).alias("lost"),
         )
-        .filter(~F.col("lost") & (F.col("unsafe") | (F.col("depth") != 0) | ~(root | row_is_root)))
-        .select("source")
+        .join(outlined, "source", "left")
+        .filter(
+            ~F.col("lost")
+            & (F.col("unsafe") | (F.col("depth") != 0) | ~F.coalesce(one_root | row_is_root, F.lit(False)) | (F.size("unbound") > 0))
+        )
+        .select("source", F.when(~F.col("scoped"), F.col("unbound")).alias("unbound"))
     )
 
 
+def refuse_unbound(typed: DataFrame, unbound: DataFrame) -> DataFrame:
+    """`typed` with rows that use prefixes nobody declares, named by source in `unbound`, as malformed."""
+    names = unbound.filter(F.size("unbound") > 0).select("source", F.col("unbound").alias("_unbound"))
+    bad = F.coalesce(F.arrays_overlap("foreign", "_unbound"), F.lit(False))
+    return typed.join(names, "source", "left").select(
+        *[
+            F.when(bad, MALFORMED).otherwise(F.col("status")).alias("status") if c == "status"
+            else (F.col("good") & ~bad).alias("good") if c == "good" else F.col(c)
+            for c in typed.columns
+        ]
+    )
+
+
 def broken_sources(typed: DataFrame) -> DataFrame:
     """Sources that are damaged as a whole."""
     return damages(typed).select("source")

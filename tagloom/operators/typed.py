@@ -3,8 +3,9 @@
 There are two ways: `type_plain` for the mass of simple rows without a violation,
 `type_rows` for all others. A typed row has, per table, a struct of its values (NULL for rows of other
 tables), and for a bad row also the texts the values came from, from which its
-violations are told. Columns besides these: source, status, tag, known, depth, elements,
-loose, good, row_xml (bad rows only).
+violations are told. Columns besides these: source, split and at (the place in the source; null where it was read
+as a whole), status, tag, known, depth, elements, loose, foreign, good, row_xml (bad rows, and those with foreign
+prefixes).
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ VIOLATION = "struct<rule:string,column:string,value:string>"
 
 
 def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> DataFrame:
-    """(source, source_status, tag, done, elements, record, one struct per table).
+    """(source, split, at, source_status, tag, done, elements, record, one struct per table).
 
     Types the plain records without a violation; `done` is true for them. For the
     others it is false, and `record` keeps the text for `split_rows` and
@@ -34,6 +35,8 @@ def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> Data
     record, tag = F.col("record"), F.col("tag")
     tagged = records.select(
         "source",
+        "split",
+        "at",
         "source_status",
         "record",
         F.when(is_plain(record, registry, prefix), plain_tag(record)).alias("tag"),
@@ -61,6 +64,8 @@ def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> Data
     judged = valued.withColumn("done", tag.isNotNull() & done)
     return judged.select(
         "source",
+        "split",
+        "at",
         "source_status",
         "tag",
         "done",
@@ -87,7 +92,7 @@ def plain_rows(typed_plain: DataFrame, like: DataFrame, registry: Registry) -> D
         "known": registry.is_known(F.col("tag")),
         "good": F.lit(True),
     }
-    kept = {"source", "tag", "elements", *registry.names()}
+    kept = {"source", "split", "at", "tag", "elements", *registry.names()}
     return typed_plain.filter("done").select(
         *[
             F.col(c.name)
@@ -133,16 +138,21 @@ def type_rows(rows: DataFrame, registry: Registry) -> DataFrame:
     )
     bad = ~F.col("good")
     row_xml = F.to_json("fields") if whole else F.col("row_xml")
+    absent = {"split": "bigint", "at": "bigint", "loose": LOOSE, "foreign": "array<string>"}
+    own = {c: (F.lit(None).cast(kind) if whole else F.col(c)).alias(c) for c, kind in absent.items()}
     return judged.select(
         "source",
+        own["split"],
+        own["at"],
         "status",
         "tag",
         "known",
         "depth",
         F.col("elements").cast("bigint").alias("elements"),
-        (F.lit(None).cast(LOOSE) if whole else F.col("loose")).alias("loose"),
+        own["loose"],
+        own["foreign"],
         "good",
-        F.when(bad, row_xml).alias("row_xml"),
+        F.when(bad | own["foreign"].isNotNull(), row_xml).alias("row_xml"),
         *registry.names(),
         *[F.when(bad, F.col(_raw_name(s))).alias(_raw_name(s)) for s in registry],
     )

@@ -8,12 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.errors import IngestError
+from tagloom.operators.outline import outlines
 from tagloom.operators.quality import (
     ERROR,
     broken_sources,
     count_rows,
     damages,
     findings,
+    refuse_unbound,
     sources_to_reread,
 )
 from tagloom.operators.rows import split_rows
@@ -123,7 +125,7 @@ def stage(
     with small_methods(spark):
         for number, (prefix, records) in enumerate(source.records(spark, found).items()):
             first = store(type_plain(records, registry, prefix), work, f"first{number}")
-            others = first.filter(~F.col("done")).select("source", "source_status", "record")
+            others = first.filter(~F.col("done")).select("source", "split", "at", "source_status", "record")
             rows = split_rows(others, registry, prefix, decoded=source.kind == ZIP)
             second = store(type_rows(rows, registry), work, f"second{number}")
             parts.append(plain_rows(first, second, registry).unionAll(second))
@@ -163,25 +165,27 @@ def heal(
     """Read sources that cannot be cut into rows again, as whole documents.
 
     Where that reading finds the document well formed it replaces the first one;
-    where it does not, the rows found by cutting stay, each judged by itself, and the
-    document is reported.
+    where it does not, the rows found by cutting stay, each judged by itself and by the
+    prefixes its document declares, and the document is reported.
     """
     spark = typed.sparkSession
     cut = [path for files in found.cut.values() for path in files]
-    unsafe = sources_to_reread(counted) if cut else _names(spark, [])
-    if source.kind == ZIP:  # the file a member is in
-        unsafe = unsafe.select(F.regexp_replace("source", "![^!]*$", "").alias("source")).distinct()
-    elif found.whole:  # read as a whole already
-        read = typed.filter("loose IS NULL AND tag IS NULL").select("source")
-        unsafe = unsafe.join(read, "source", "left_anti")
-    if unsafe.isEmpty():
+    if not cut:
         return typed, counted
+    unsafe = sources_to_reread(counted, outlines(typed))
+    if found.whole or found.empty:  # not cut
+        unsafe = unsafe.join(typed.filter("split IS NULL AND tag IS NULL").select("source"), "source", "left_anti")
     unsafe = store(unsafe, work, "unsafe")
-    again = store(source.whole_rows(spark, registry, cut, unsafe), work, "again")
+    if unsafe.isEmpty():
+        return typed, counted
+    files = unsafe
+    if source.kind == ZIP:  # the file a member is in
+        files = unsafe.select(F.regexp_replace("source", "![^!]*$", "").alias("source")).distinct()
+    again = store(source.whole_rows(spark, registry, cut, files), work, "again")
     whole = again.select("source").distinct().join(broken_sources(again), "source", "left_anti")
     healed = store(whole, work, "healed")
     typed = (
-        typed.join(healed, "source", "left_anti")
+        refuse_unbound(typed.join(healed, "source", "left_anti"), unsafe)
         .unionByName(again.join(healed, "source", "left_semi"))
         .unionByName(_newly_damaged(again, typed))
     )

@@ -49,7 +49,7 @@ def read_archive_records(
     prefix: str = "",
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """(source, source_status, record) of the members matching `member`."""
+    """(source, split, at, source_status, record) of the members matching `member`."""
     check_member(member)
     if list_files(spark, paths, ZIP_GLOB).isEmpty():
         raise IngestError(f"no .zip file in {paths}")
@@ -59,8 +59,9 @@ def read_archive_records(
     )
     # archives differ in size: spread the blocks over the cluster
     blocks = blocks.hint("rebalance", "source", "block")
-    return blocks.select(
-        "source", "source_status", F.explode_outer(F.split("text", rf"\Q{sep}\E")).alias("record")
+    records = F.posexplode_outer(F.split("text", rf"\Q{sep}\E")).alias("at", "record")
+    return blocks.select("source", F.col("block").alias("split"), "source_status", records).select(
+        "source", "split", F.col("at").cast("bigint").alias("at"), "source_status", "record"
     )
 
 

@@ -32,11 +32,13 @@ def separator(prefix: str = "") -> str:
 def _named(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"),
         F.lit("ok").alias("source_status"),
         F.col("value").alias("record"),
     )
 
 
 def read_records(spark: SparkSession, paths: str | list[str], prefix: str = "") -> DataFrame:
-    """(source, source_status, record) of UTF-8 XML files."""
+    """(source, split, at, source_status, record) of UTF-8 XML files; `split` and `at` order a file's records."""
     return _named(spark.read.option("lineSep", separator(prefix)).text(paths))
