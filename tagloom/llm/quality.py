@@ -19,7 +19,7 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagloom.llm.shared import BLANKS
+from tagloom.llm.shared import BLANKS, ddl
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 3
@@ -97,8 +97,8 @@ FURTHER = (
 RULES = BASE + FURTHER
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[Text]:
-    for value in batch.column("text"):
+def _texts(column: pa.Array) -> Iterator[Text]:
+    for value in column:
         yield Text(value.as_py())
 
 
@@ -118,7 +118,7 @@ def rule_order(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             masks, costs = [], []
-            for text in _texts(batch):
+            for text in _texts(batch.column("text")):
                 mask, cost = 0, []
                 for k, rule in enumerate(rules):
                     fresh = Text(text.text)
@@ -157,36 +157,36 @@ def judge(
     measures: Sequence[str] = (),
     base: Sequence[Rule] = BASE,
     sample_rows: int = 2000,
+    prefix: str = "",
 ) -> DataFrame:
     """(all columns of `docs`, *measures bigint, base_failed, kept) for each row.
 
-    Needs doc_id and text; columns of `docs` named like a result are replaced. Rules run in
-    the order `rule_order` finds, until one rejects. `kept`: no rule rejects. `base_failed`:
-    a rule of `base` rejects; null where another rule ended the cascade before that was
-    known and the measures do not tell. With `measures` given, those and `base_failed` are
-    known for every row. A null text counts as an empty one, which has no words and fails.
+    Needs doc_id and text; columns of `docs` named like a result are replaced. `prefix`: what the names
+    of the results begin with. Rules run in the order `rule_order` finds, until one rejects. `kept`: no rule rejects. `base_failed`:
+    a rule of `base` rejects; known for every row if `measures` are given, else null for rows that are
+    not kept, as the cascade ends with the first rule that rejects. A null text counts as an empty one, which has no words and fails.
     """
     ordered = rule_order(docs, rules, sample_rows)
-    inner = [c for c in docs.columns if c not in {*measures, "base_failed", "kept"}]
-    names = {rule.name for rule in base}
+    results = [prefix + m for m in (*measures, "base_failed", "kept")]
+    inner = [c for c in docs.columns if c not in results]
+    place = inner.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text in _texts(batch):
+            for text in _texts(batch.column(place)):
                 known = [getattr(text, m) for m in measures]
                 failed = any(rule.rejects(text) for rule in base) if measures else None
                 rejecting = next((rule for rule in ordered if rule.rejects(text)), None) if not failed else base[0]
                 if not measures:
-                    failed = False if rejecting is None else True if rejecting.name in names else None
+                    failed = False if rejecting is None else None
                 rows.append([*known, failed, rejecting is None])
             columns = zip(*rows) if rows else [()] * (len(measures) + 2)
             kinds = [pa.int64()] * len(measures) + [pa.bool_()] * 2
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in inner), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                [*inner, *measures, "base_failed", "kept"],
+                [*batch.columns, *(pa.array(c, k) for c, k in zip(columns, kinds))], [*inner, *results]
             )
 
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*inner).schema]
-    schema += [f"{m} bigint" for m in measures] + ["base_failed boolean", "kept boolean"]
-    return docs.select(*inner).mapInArrow(run, ", ".join(schema))
+    own = docs.select(*[docs[f"`{c}`"] for c in inner])
+    kinds = [*["bigint"] * len(measures), "boolean", "boolean"]
+    return own.mapInArrow(run, ", ".join([ddl(own), *(f"`{r}` {k}" for r, k in zip(results, kinds))]))

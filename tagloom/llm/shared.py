@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -37,6 +37,13 @@ def text_parts(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.A
             lo, size = k + 1, 0
 
 
+def unused(columns: Iterable[str], prefix: str = "_") -> str:
+    """The prefix, lengthened until no column begins with it, in whatever case."""
+    while any(c.lower().startswith(prefix.lower()) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def shared_folder(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; the warehouse where that is unset, since all nodes see it too."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(

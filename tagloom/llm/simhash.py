@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tagloom.llm.components import connected_components, forest
-from tagloom.llm.shared import Scratch
+from tagloom.llm.shared import Scratch, unused
 
 BITS = 64
 SEED = 42
@@ -253,7 +253,8 @@ def one_of_each(docs: DataFrame, scratch: Scratch | None = None, shingle: int =
     Rows that repeat that id and text give one row. Rows without an id cannot be named, so
     they all stay.
     """
+    own = unused(docs.columns)
     found = near_duplicates(docs, scratch, shingle, budget)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("_kept")).withColumn("_kept", F.xxhash64("text"))
-    return rows.dropDuplicates(["doc_id", "_kept"]).drop("_kept").unionAll(docs.filter("doc_id IS NULL"))
+    kept = found.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(f"{own}id")).distinct()
+    rows = docs.join(kept, F.col("doc_id") == F.col(f"{own}id")).withColumn(f"{own}id", F.xxhash64("text"))
+    return rows.dropDuplicates(["doc_id", f"{own}id"]).drop(f"{own}id").unionAll(docs.filter("doc_id IS NULL"))
