@@ -18,6 +18,8 @@ MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 #: Rows of a table of repeated payloads, of about 60 bytes, up to which it is broadcast.
 MOST_BROADCAST_ROWS = 100_000
+#: C0 and C1 controls (the next-line character among them), and the separators of lines and paragraphs.
+CONTROLS = r"[\x00-\x1F\x7F-\x9F\u2028\u2029]"
 BASE32_DIGITS = ("0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
@@ -28,6 +30,12 @@ def digest(payload: Column) -> Column:
     return F.translate(F.upper(F.concat(*parts)), *BASE32_DIGITS)
 
 
+def printable(text: Column) -> Column:
+    """The text with control characters and line ends of any kind percent-encoded."""
+    each = F.transform(F.split(text, ""), lambda c: F.when(c.rlike(CONTROLS), F.regexp_replace(F.hex(F.encode(c, "utf-8")), "(..)", "%$1")).otherwise(c))
+    return F.when(text.rlike(CONTROLS), F.array_join(each, "")).otherwise(text)
+
+
 def first_copies(pages: DataFrame) -> DataFrame:
     """(digest, response) of each payload that several rows have: the largest page_id."""
     return (
@@ -43,7 +51,7 @@ def write_archives(
 
     Of rows with equal payloads of at least `min_bytes` bytes, that of the largest page_id is a
     response, and so are rows that repeat that id; the others are revisits of it, without
-    payload. A null html is an empty payload. Line ends in urls are percent-encoded; a page
+    payload. A null html is an empty payload. Controls and line ends of any kind in urls are percent-encoded; a page
     without url is named by its id. A row without page_id gets an empty id.
     """
     spark = pages.sparkSession
@@ -57,7 +65,7 @@ def write_archives(
     known = F.col("size") >= min_bytes
     revisit = F.coalesce(known & F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response")), F.lit(False))
     name = lambda c: F.concat(F.lit("<urn:pages:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
-    url = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), "\r", "%0D"), "\n", "%0A")
+    url = printable(F.coalesce("url", F.lit("")))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size"), F.lit(END)
     )
@@ -87,7 +95,7 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _field(header: Column, name: str) -> Column:
-    return F.nullif(F.regexp_extract(header, rf"(?im)^{name}:[ \t]*(.*?)[ \t]*\r?$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(header, rf"(?imd)^{name}:[ \t]*(.*?)[ \t]*\r?$", 1), F.lit(""))
 
 
 def _record(piece: Column) -> dict[str, Column]:
@@ -182,16 +190,22 @@ def reachable(found: DataFrame, scratch: Scratch) -> DataFrame:
     return found.join(entered, ["file", "run"]).filter(F.col("offset") >= F.col("entry")).drop("entry", "run")
 
 
-def read_archives(spark: SparkSession, path: str, scratch: Scratch | None = None) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, scratch: Scratch | None = None, strict: bool = False) -> DataFrame:
     """(file, offset, page_id, record_type, refers_to, payload_bytes, payload_digest) of every record.
 
     Digest and length are those of the payload as read; a revisit has none and tells those
     of the record it refers to. Version lines inside payloads start no records. A damaged
-    file gives the records before the damage; `chain_ends` tells where chains end.
+    file gives the records before the damage; `chain_ends` tells where chains end. If `strict`, a
+    file whose chain does not end with the file is an error.
     """
     scratch = scratch or Scratch(spark)
     found = candidates(spark, path, scratch)
     records = scratch.keep(reachable(found, scratch))
+    if strict:
+        whole = chain_ends(records).filter("complete").select("file")
+        broken = found.select("file").distinct().join(whole, "file", "left_anti").limit(3).collect()
+        if broken:
+            raise ValueError(f"records do not reach the end of {', '.join(r['file'] for r in broken)}")
     split = records.filter("payload_digest IS NULL AND succ IS NOT NULL")
     out = ["file", "offset", *RECORD]
     if split.isEmpty():
