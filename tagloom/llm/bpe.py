@@ -14,7 +14,7 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 import ahocorasick
 import numpy as np
@@ -22,6 +22,8 @@ import pyarrow as pa
 import tokenizers
 from pyspark.sql import DataFrame
 
+from tagloom.llm.shared import ddl, text_parts
+
 #: Vocabulary files are small next to an executor's memory; larger ones are refused.
 MOST_VOCABULARY_BYTES = 64 << 20
 #: Stretches, words and pairs remembered by a worker, about 100 MB; beyond these numbers memory
@@ -44,7 +46,6 @@ class Vocabulary:
     rank: list[int] = field(default_factory=list)
     joined: dict[tuple[int, int], int] = field(default_factory=dict)
     usable: list[bool] = field(default_factory=list)
-    encoder: Encoder | None = None
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -233,19 +234,25 @@ class Encoder:
         return known
 
 
-def _encoder(shipped) -> Encoder:
-    """One encoder for each worker process, kept with the broadcast value that its tasks share."""
-    vocabulary = shipped.value
-    if vocabulary.encoder is None:
-        vocabulary.encoder = Encoder(vocabulary)
-    return vocabulary.encoder
-
-
 def _ship(docs: DataFrame, path: str, decoding: bool = False):
+    """The tables of a vocabulary as plain lists and dictionaries, which workers need no package to load."""
     vocabulary = Vocabulary.read(path)
     if decoding and json.loads(vocabulary.source)["decoder"] is not None:
         raise ValueError("only vocabularies without a decoder can be decoded")
-    return docs.sparkSession.sparkContext.broadcast(vocabulary)
+    return docs.sparkSession.sparkContext.broadcast({f.name: getattr(vocabulary, f.name) for f in fields(vocabulary)})
+
+
+def _vocabulary(shipped) -> Vocabulary:
+    tables = shipped.value
+    return Vocabulary(**{name: table for name, table in tables.items() if name != "encoder"})
+
+
+def _encoder(shipped) -> Encoder:
+    """One encoder for each worker process, kept with the broadcast value that its tasks share."""
+    tables = shipped.value
+    if "encoder" not in tables:
+        tables["encoder"] = Encoder(_vocabulary(shipped))
+    return tables["encoder"]
 
 
 def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
@@ -261,7 +268,7 @@ def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shipped)
         for batch in batches:
-            for lo, part in _parts(batch):
+            for lo, part in text_parts(batch.column("text")):
                 ids = [encoder.encode(t.as_py() or b"") for t in part.cast(pa.binary())]
                 ends = np.cumsum([0, *(len(i) // 4 for i in ids)], dtype=np.int32)
                 values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(ids))])
@@ -275,17 +282,6 @@ def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
     return columns.mapInArrow(run, schema + ", decoded string" * decoded)
 
 
-def _parts(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
-    """Slices of the texts of about `most` bytes or a single text."""
-    texts = batch.column("text")
-    lo = size = 0
-    for k in range(len(texts)):
-        size += len(texts[k].as_buffer() or b"")
-        if size >= most or k + 1 == len(texts):
-            yield lo, texts.slice(lo, k + 1 - lo)
-            lo, size = k + 1, 0
-
-
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """`encoded` (any columns, ids array<int>) with the column `decoded`: the tokens joined by a space.
 
@@ -295,14 +291,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     shipped = _ship(encoded, path, True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(shipped)
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
-                texts = [shipped.value.text(i.values.to_numpy().tolist() if i.is_valid else ()) for i in part.column("ids")]
+                texts = [vocabulary.text(i.values.to_numpy().tolist() if i.is_valid else ()) for i in part.column("ids")]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, "decoded"])
 
-    return encoded.mapInArrow(run, f"{_ddl(encoded)}, decoded string")
-
+    return encoded.mapInArrow(run, f"{ddl(encoded)}, decoded string")
 
-def _ddl(frame: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
