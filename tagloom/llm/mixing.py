@@ -14,13 +14,14 @@ from __future__ import annotations
 
 import math
 import uuid
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagloom.llm.shared import Scratch
+from tagloom.llm.shared import Scratch, unused
 
 #: Domains of the labelled table, as conditions on its columns.
 DOMAINS = {"good": "quality = 1 AND toxic = 0", "junk": "quality = 0", "toxic": "quality = 1 AND toxic = 1"}
@@ -68,27 +69,29 @@ class Classifier:
         so that each is computed once.
         """
         k = range(len(self.domains))
-        out = docs.withColumn("_words", words(F.col("text"))).withColumn(tokens, n_tokens(F.col("_words")))
+        own = unused([*docs.columns, tokens, prefix])
+        found, marked = f"{own}words", f"{own}marks"
+        out = docs.withColumn(found, words(F.col("text"))).withColumn(tokens, n_tokens(F.col(found)))
         if not self.fitted:
-            return out.drop("_words").withColumns({f"{prefix}{i}": F.lit(float(i == 0)) for i in k})
+            return out.drop(found).withColumns({f"{prefix}{i}": F.lit(float(i == 0)) for i in k})
         known = F.array(*map(F.lit, self.weights)).cast("array<string>")
-        marks = F.concat(F.array_intersect("_words", known), F.array_intersect(_coarse(F.col("text")), known))
-        out = out.withColumn("_marks", marks).drop("_words")
-        scores = {f"_s{i}": self._score(i) for i in k}
-        out = out.withColumns(scores).drop("_marks")
+        marks = F.concat(F.array_intersect(found, known), F.array_intersect(_coarse(F.col("text")), known))
+        out = out.withColumn(marked, marks).drop(found)
+        scores = {f"{own}s{i}": self._score(i, marked) for i in k}
+        out = out.withColumns(scores).drop(marked)
         most = F.greatest(*map(F.col, scores))
         out = out.withColumns({s: F.exp(F.col(s) - most) for s in scores})
         total = sum((F.col(s) for s in scores), F.lit(0.0))
-        out = out.withColumns({f"{prefix}{i}": F.round(F.col(f"_s{i}") / total, 6) for i in k})
+        out = out.withColumns({f"{prefix}{i}": F.round(F.col(f"{own}s{i}") / total, 6) for i in k})
         return out.drop(*scores)
 
-    def _score(self, k: int) -> Column:
+    def _score(self, k: int, marks: str) -> Column:
         if not self.weights:
             return F.lit(self.base[k])
         table = F.map_from_arrays(
             F.array(*map(F.lit, self.weights)), F.array(*[F.lit(w[k]) for w in self.weights.values()])
         )
-        return F.aggregate("_marks", F.lit(self.base[k]), lambda total, mark: total + F.element_at(table, mark))
+        return F.aggregate(marks, F.lit(self.base[k]), lambda total, mark: total + F.element_at(table, mark))
 
 
 def fit(
@@ -211,36 +214,50 @@ def solve(
             break
         steps.append(moves[best])
         now, curvature = found[best]
+    off = float(np.max(np.abs(now - targets) / scale))
+    if off > tolerance:
+        warnings.warn(f"after {len(steps)} steps a domain is {off:.2%} of its tokens off its target", stacklevel=2)
     return steps
 
 
 def mix(
     docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], domains: Mapping[str, str] = DOMAINS,
     anchor: str | None = None, most: float | None = None, scratch: Scratch | None = None, seed: int = 7,
-    **fitting,
+    keep: Sequence[str] | None = None, prefix: str = "_", **fitting,
 ) -> DataFrame:
-    """(all columns of `docs`, _tokens, _p0.._pk posteriors, _rate, _copies) for each row.
+    """(columns of `docs`, _tokens, _p0.._pk posteriors, _rate, _copies) for each row.
 
     `_rate` is a nonnegative number; `_copies` is its whole part, plus one with the
     probability of the rest, drawn from a hash of doc_id: the same in every run. `most`
     bounds the rate. Rows without words weigh nothing and get the rate of their posteriors.
     Without labelled rows of two domains nothing can be told apart, and all rates are 1.
+    `keep`: the columns of `docs` that come back, by default all; `prefix`: what the names of the results
+    begin with; columns of `docs` that have such a name are replaced.
+
+    Texts are scored once: scores are written with what comes back, and the rates are found
+    and given on that table. A warning tells when the targets are not met.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    model = fit(docs, labels, domains, **fitting)
-    names = [f"p{k}" for k in range(len(domains))]
-    cells = scratch.keep(
-        model.score(docs.select("text"))
-        .groupBy(*names).agg(F.sum("tokens").alias("tokens"))
-    )
-    shares = [weights[d] for d in domains]
-    steps = solve(cells, shares, list(domains).index(anchor) if anchor else None, most) if model.fitted else []
-    scratch.drop(cells)
-    marked = _once(model.score(docs, "_tokens", "_p"))
+    model = fit(docs.select("doc_id", "text"), labels, domains, **fitting)
+    names = [f"{prefix}p{k}" for k in range(len(domains))]
+    made = [f"{prefix}tokens", *names, f"{prefix}rate", f"{prefix}copies"]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    needed = dict.fromkeys([*kept, "doc_id", "text"])
+    scored = model.score(docs.select(*[f"`{c}`" for c in needed]), made[0], f"{prefix}p")
+    draw = f"{unused(kept, prefix + 'u')}nit"
     unit = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    marked = _once(marked.withColumn("_rate", F.round(rate([F.col(f"_{n}") for n in names], steps, most), 6)))
-    more = F.when(unit < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
-    return _once(marked.withColumn("_copies", (F.floor("_rate") + more).cast("int")))
+    scored = scratch.keep(_once(scored).select(*[f"`{c}`" for c in kept], made[0], *names, unit.alias(draw)))
+    steps = []
+    if model.fitted:
+        cells = scratch.keep(
+            scored.groupBy(*[F.col(n).alias(f"p{k}") for k, n in enumerate(names)]).agg(F.sum(made[0]).alias("tokens"))
+        )
+        steps = solve(cells, [weights[d] for d in domains], list(domains).index(anchor) if anchor else None, most)
+        scratch.drop(cells)
+    rated = _once(scored.withColumn(made[-2], F.round(rate([F.col(n) for n in names], steps, most), 6)))
+    whole = F.floor(made[-2])
+    more = F.when(F.col(draw) < F.col(made[-2]) - whole, 1).otherwise(0)
+    return _once(rated.withColumn(made[-1], (whole + more).cast("int")).drop(draw))
 
 
 def _once(frame: DataFrame) -> DataFrame:

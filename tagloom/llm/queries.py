@@ -44,7 +44,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     path = f"{scratch.root}/archives"
     warc.write_archives(read_table(spark, sf_dir, "pages"), path, scratch=scratch)
-    return warc.read_archives(spark, path, scratch).select(
+    return warc.read_archives(spark, path, scratch, strict=True).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
@@ -62,7 +62,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token shares of the mix: nine tenths good, the rest toxic and junk, within the tokens there are."""
     docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     weights = {"good": 0.9, "junk": 0.04, "toxic": 0.06}
-    found = mixing.mix(docs.select("doc_id", "text", "source"), labels, weights)
+    found = mixing.mix(docs, labels, weights, keep=["doc_id", "source"])
     posteriors = [F.col(f"_p{k}").alias(f"p_{name}") for k, name in enumerate(mixing.DOMAINS)]
     return found.select(
         "doc_id", "source", F.col("_tokens").alias("n_tokens"), *posteriors,
