@@ -13,21 +13,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.llm import bpe, linededup, mixing, quality, simhash
 from tagloom.llm.queries import VOCABULARY
-from tagloom.llm.shared import Scratch, read_table
+from tagloom.llm.shared import Scratch, read_table, unused
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality.judge(docs).filter("kept").select(*docs.columns)
+    own = unused(docs.columns)
+    return quality.judge(docs, prefix=own).filter(f"{own}kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten or more documents leave every document; documents stay."""
-    found = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs, min_docs=10, keep_first=False))
-    text = linededup.kept_text(F.col("text"), F.col("_keep"))
-    changed = F.when(F.col("_keep").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("bigint"))
+    keep = f"{unused(docs.columns)}keep"
+    found = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs, min_docs=10, keep_first=False), keep)
+    text = linededup.kept_text(F.col("text"), F.col(keep))
+    changed = F.when(F.col(keep).isNull(), F.col("n_chars")).otherwise(F.length(text).cast("bigint"))
     return found.withColumns({"text": text, "n_chars": changed}).select(*docs.columns)
 
 
@@ -45,8 +47,9 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = mixing.mix(
         docs, read_table(spark, sf_dir, "labels"), {"clean": 0.97, "toxic": 0.03},
         domains={"clean": "toxic = 0", "toxic": "toxic = 1"}, anchor="clean", most=1.0,
+        prefix=(own := unused(docs.columns)),
     )
-    return found.filter("_copies > 0").select(*docs.columns)
+    return found.filter(f"{own}copies > 0").select(*docs.columns)
 
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
