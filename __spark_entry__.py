@@ -168,6 +168,12 @@ def healed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, Source(fx.odd_documents(spark, sf_dir)), "t_object")
 
 
+def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects from archives of several documents each, chosen by a pattern."""
+    folder = fx.shared_archives(spark, sf_dir, fx.objects)
+    return read_table(spark, Source(folder, "zip", "part-*.xml"), "t_object")
+
+
 def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected rows whose tags do not match."""
     database = _loaded(spark, sf_dir, fx.malformed_objects, mode="quarantine")
@@ -433,6 +439,7 @@ def queries() -> dict[str, Query]:
         "element_profile": element_profile,
         "element_profile_zip": partial(element_profile, source=_zip),
         "healed_documents": healed_documents,
+        "zip_members": zip_members,
         "malformed_rows": malformed_rows,
         "damaged_documents": damaged_documents,
         "spelled_children": spelled_children,
@@ -564,6 +571,7 @@ def oracle_sql() -> dict[str, str]:
         "element_profile": _ELEMENTS,
         "element_profile_zip": _ELEMENTS,
         "healed_documents": _OBJECT,
+        "zip_members": _OBJECT,
         "malformed_rows": """SELECT p_partkey AS object_id, 'malformed_row' AS rule
             FROM part WHERE p_partkey % 10 = 0""",
         "damaged_documents": _OBJECT,

@@ -178,10 +178,7 @@ def heal(
     unsafe = store(unsafe, work, "unsafe")
     if unsafe.isEmpty():
         return typed, counted
-    files = unsafe
-    if source.kind == ZIP:  # the file a member is in
-        files = unsafe.select(F.regexp_replace("source", "![^!]*$", "").alias("source")).distinct()
-    again = store(source.whole_rows(spark, registry, cut, files), work, "again")
+    again = store(source.whole_rows(spark, registry, cut, unsafe), work, "again")
     whole = again.select("source").distinct().join(broken_sources(again), "source", "left_anti")
     healed = store(whole, work, "healed")
     typed = (
@@ -218,7 +215,8 @@ def ingest(
 
     strict: any violation or damaged document fails the load and leaves the
     tables as they were. quarantine: violating rows go to ``<table>__rejects``.
-    Both record what they found in ``ingest_events``.
+    Both record what they found in ``ingest_events``. All tables change at once, and of
+    loads of a database at the same time only the first to end is published.
     """
     registry = registry or default_registry()
     _check_mode(mode)
@@ -226,20 +224,22 @@ def ingest(
     if not overwrite:
         sink.refuse_existing(spark, database, registry)
     run_id = new_run_id()
-    version = sink.version_name(database, run_id)
     sink.create_database(spark, database)
+    seen = sink.current(spark, database)
+    load = sink.new_load(seen)
     with work_folder(spark) as work:
         typed, counted = stage(spark, source, registry, work)
         events = record_events(spark, database, run_id, findings(counted, typed, registry))
         if mode == STRICT:
             raise_on_errors(events)
-        sink.create_version(spark, database, version)
         try:
-            names = _write_version(typed, version, registry, mode, max_records_per_file)
-            sink.publish(spark, database, version, names, keep_previous)
+            names = _write_load(typed, database, load, registry, mode, max_records_per_file)
+            sink.publish(spark, database, names, load, seen)
         except Exception:
-            spark.sql(f"DROP DATABASE IF EXISTS `{version}` CASCADE")
+            sink.discard(spark, database, load)
             raise
+    if not keep_previous:
+        sink.drop_loads(spark, database, {load, seen.load})
     return rows_by_table(spark, events, registry)
 
 
@@ -260,15 +260,15 @@ def raise_on_errors(events: DataFrame) -> None:
         raise IngestError("\n".join(["the load was refused:", *lines]))
 
 
-def _write_version(
-    typed: DataFrame, version: str, registry: Registry, mode: str, max_records: int | None
+def _write_load(
+    typed: DataFrame, database: str, load: str, registry: Registry, mode: str, max_records: int | None
 ) -> list[str]:
     names = []
     for spec in registry:
-        sink.write_table(good_rows(typed, spec), version, spec.name, max_records)
+        sink.write_table(good_rows(typed, spec), database, spec.name, load, max_records)
         names.append(spec.name)
         if mode == QUARANTINE:
             rejects = f"{spec.name}__rejects"
-            sink.write_table(rejected_rows(typed, spec, registry), version, rejects, max_records)
+            sink.write_table(rejected_rows(typed, spec, registry), database, rejects, load, max_records)
             names.append(rejects)
     return names

@@ -1,6 +1,6 @@
 """XML inside ZIP archives.
 
-A deflate stream can only be read from its start, so an archive is inflated by
+A deflate stream can only be read from its start, so a member is inflated by
 one task. That task does nothing else: it cuts the text into blocks of a few
 megabytes at row starts and passes them on. Splitting blocks into records, and
 everything after it, runs in the JVM, on as many tasks as there are blocks.
@@ -14,25 +14,17 @@ import re
 from collections.abc import Iterator
 from typing import BinaryIO
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.errors import IngestError
-from tagloom.sources.documents import (
-    BAD_DOCUMENT,
-    chosen_files,
-    encoding_of,
-    fault_of,
-    list_files,
-    open_members,
-)
+from tagloom.sources.documents import BAD_DOCUMENT, encoding_of, list_files
 from tagloom.sources.heads import CUT, read_head
+from tagloom.sources.members import read_members
 from tagloom.sources.splittable import separator
 
 ZIP_GLOB = "*.[zZ][iI][pP]"
 BLOCK_BYTES = 4 * 1024 * 1024
 REREAD = "reread"  # to be read as a whole
-BLOCK_SCHEMA = "source string, source_status string, block bigint, text string"
 
 
 def check_member(member: str) -> None:
@@ -51,13 +43,12 @@ def read_archive_records(
 ) -> DataFrame:
     """(source, split, at, source_status, record) of the members matching `member`."""
     check_member(member)
-    if list_files(spark, paths, ZIP_GLOB).isEmpty():
+    archives = [(r.source, r.path) for r in list_files(spark, paths, ZIP_GLOB).collect()]
+    if not archives:
         raise IngestError(f"no .zip file in {paths}")
     sep = separator(prefix)
-    blocks = chosen_files(spark, paths, ZIP_GLOB).mapInArrow(
-        lambda batches: _inflate(batches, member, sep, block_bytes), BLOCK_SCHEMA
-    )
-    # archives differ in size: spread the blocks over the cluster
+    blocks = read_members(spark, archives, member, sep, block_bytes)
+    # members differ in size: spread the blocks over the cluster
     blocks = blocks.hint("rebalance", "source", "block")
     records = F.posexplode_outer(F.split("text", rf"\Q{sep}\E")).alias("at", "record")
     return blocks.select("source", F.col("block").alias("split"), "source_status", records).select(
@@ -65,39 +56,15 @@ def read_archive_records(
     )
 
 
-def _inflate(batches, member: str, sep: str, block_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Files in, text blocks out; holds one block at a time."""
-    for batch in batches:
-        for source, path in zip(batch.column("source"), batch.column("path")):
-            for name, status, stream in open_members(source.as_py(), path.as_py(), member):
-                if stream is None:
-                    yield _block(name, status, 0, None)
-                    continue
-                number = 0
-                try:
-                    for number, text in enumerate(_cut(stream, sep, block_bytes)):
-                        if text is None:
-                            yield _block(name, REREAD, 0, None)
-                        elif number == 0 and not text:
-                            yield _block(name, BAD_DOCUMENT, 0, None)
-                        else:
-                            yield _block(name, "ok", number, text)
-                except Exception as error:  # noqa: BLE001 - raised again unless it is a fault of the file
-                    if (fault := fault_of(error)) is None:
-                        raise
-                    yield _block(name, fault, number + 1, None)
-
-
-def _block(source: str, status: str, number: int, text: str | None) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([source]),
-            pa.array([status]),
-            pa.array([number], pa.int64()),
-            pa.array([text], pa.string()),
-        ],
-        ["source", "source_status", "block", "text"],
-    )
+def text_blocks(stream: BinaryIO, sep: str, block_bytes: int) -> Iterator[tuple[str, str | None]]:
+    """(status, text) of the blocks of a document; an empty one is a fault."""
+    for number, text in enumerate(_cut(stream, sep, block_bytes)):
+        if text is None:
+            yield REREAD, None
+        elif number == 0 and not text:
+            yield BAD_DOCUMENT, None
+        else:
+            yield "ok", text
 
 
 def _cut(stream: BinaryIO, sep: str, block_bytes: int) -> Iterator[str | None]:

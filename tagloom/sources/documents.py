@@ -8,11 +8,9 @@ size is opened by path and read as a stream.
 from __future__ import annotations
 
 import codecs
-import fnmatch
 import re
 import zipfile
 import zlib
-from collections.abc import Iterator
 from typing import BinaryIO
 from urllib.parse import quote, unquote
 
@@ -98,31 +96,3 @@ def encoding_of(head: bytes) -> str:
             return name
     declared = DECLARED.match(head)
     return declared.group(1).decode("ascii") if declared else "utf-8"
-
-
-def open_members(
-    source: str, path: str, member: str
-) -> Iterator[tuple[str, str, BinaryIO | None]]:
-    """(source, status, stream) of every member of a ZIP file that matches `member`.
-
-    An unreadable archive or a missing member gives one entry without a stream,
-    and so does each member that cannot be opened.
-    """
-    try:
-        with open_file(path) as raw, zipfile.ZipFile(raw) as archive:
-            names = archive.namelist()
-            names = [member] if member in names else fnmatch.filter(names, member)
-            if not names:
-                yield source, MISSING, None
-            for name in names:
-                try:
-                    stream = archive.open(name)
-                except Exception as error:  # noqa: BLE001 - raised again unless it is a fault of the file
-                    if (fault := fault_of(error)) is None:
-                        raise
-                    yield f"{source}!{name}", fault, None
-                    continue
-                with stream:
-                    yield f"{source}!{name}", "ok", stream
-    except zipfile.BadZipFile:
-        yield source, BAD_ARCHIVE, None

@@ -2,19 +2,21 @@
 
 A row inside a row, or a row start inside a comment or a CDATA section, cannot
 be told apart without reading the document from its start. Such documents are
-rare in this format; they are read here with a streaming parser, one task per
-document, in constant memory. The result has one line per row element.
+rare in this format; they are read here with a streaming parser, a document by
+one task, in constant memory. The result has one line per row element.
 """
 
 from __future__ import annotations
 
 import codecs
+import zipfile
 from collections.abc import Iterator
+from contextlib import ExitStack
 from typing import BinaryIO
 from xml.parsers import expat
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.sources.archive import ZIP_GLOB, check_member
 from tagloom.sources.documents import (
@@ -22,8 +24,8 @@ from tagloom.sources.documents import (
     chosen_files,
     encoding_of,
     fault_of,
+    list_files,
     open_file,
-    open_members,
 )
 
 ROW_SCHEMA = (
@@ -53,30 +55,33 @@ def read_whole_rows(
 ) -> DataFrame:
     """Rows of whole documents, in the shape of `tagloom.operators.rows.split_rows`.
 
-    `member` reads ZIP archives; `only` keeps the files named in its column `source`.
+    `only` keeps the documents named in its column `source`; with `member`, which reads ZIP
+    archives, it has to be given, and names members as `archive!member`.
     Child names in `fields` are lower case and limited to `children`.
     """
     wanted = frozenset(c.lower() for c in children)
-    if member is not None:
-        check_member(member)
-    scan = chosen_files(spark, paths, ZIP_GLOB if member else None, only)
-    return scan.mapInArrow(lambda batches: _parse(batches, wanted, member), ROW_SCHEMA)
-
-
-def _parse(batches, wanted, member) -> Iterator[pa.RecordBatch]:
+    if member is None:
+        scan = chosen_files(spark, paths, only=only).withColumn("member", F.lit(None).cast("string"))
+        return scan.mapInArrow(lambda batches: _parse(batches, wanted), ROW_SCHEMA)
+    check_member(member)
+    # the documents of an archive are spread over tasks, too
+    archive, name = (F.regexp_extract("source", r"(?is)^(.*?\.zip)!(.*)$", k) for k in (1, 2))
+    wanted_members = only.select(archive.alias("archive"), "source", name.alias("member"))
+    files = list_files(spark, paths, ZIP_GLOB).select(F.col("source").alias("archive"), "path")
+    scan = files.join(wanted_members, "archive").select("source", "path", "member").hint("rebalance", "source")
+    return scan.mapInArrow(lambda batches: _parse(batches, wanted), ROW_SCHEMA)
+
+
+def _parse(batches, wanted) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for source, path in zip(batch.column("source").to_pylist(), batch.column("path").to_pylist()):
-            if member is not None:
-                opened = open_members(source, path, member)
-            else:
-                opened = [(source, "ok", open_file(path))]
-            for name, status, stream in opened:
-                if stream is None:
-                    yield _batch([(name, status, None, 0, 0, None)])
-                    continue
+        for source, path, member in zip(*(batch.column(c).to_pylist() for c in ("source", "path", "member"))):
+            with ExitStack() as closing:
+                stream = closing.enter_context(open_file(path))
+                if member is not None:
+                    stream = closing.enter_context(zipfile.ZipFile(stream).open(member))
                 buffer = []
                 for row in _rows(stream, wanted):
-                    buffer.append((name, *row))
+                    buffer.append((source, *row))
                     if len(buffer) >= BATCH_ROWS:
                         yield _batch(buffer)
                         buffer = []

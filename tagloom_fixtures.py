@@ -14,7 +14,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tagloom.plans.workspace import shared_folder
@@ -227,6 +227,32 @@ def zip_documents(spark: SparkSession, folder: str, member: str) -> str:
     return target
 
 
+def shared_archives(spark: SparkSession, sf_dir: str, make: Callable, archives: int = 2) -> str:
+    """Folder of a few ZIP files, each with several of the documents as members and one that is no document."""
+    folder, target = documents(spark, sf_dir, make), re.sub("^file:(//)?", "", fresh_folder(spark, "zip"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(target)
+        system.create_dir(base)
+        paths = [p for batch in batches for p in batch.column("path").to_pylist()]
+        name = f"{base}/{TaskContext.get().partitionId()}.zip"  # a repeated task replaces its own
+        with system.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("readme.txt", "no document")
+            for path in paths:
+                with open_file(path) as document:
+                    with archive.open(f"{path.rsplit('/', 1)[-1]}.xml", "w", force_zip64=True) as inside:
+                        shutil.copyfileobj(document, inside, 1 << 20)
+        yield pa.RecordBatch.from_pydict({"path": [name]})
+
+    def write() -> str:
+        list_files(spark, folder, "*.txt").select("path").coalesce(1).repartition(archives).mapInArrow(pack, "path string").count()
+        return target
+
+    return cached(spark, sf_dir, f"{make.__name__}/shared/{archives}", write)
+
+
 _made: dict[tuple[str, str, str], str] = {}
 
 

@@ -48,32 +48,88 @@ def test_load_overwrite_and_failure(spark, write, database):
         ("missing_column", "name", None)
     ]
     assert rejected[0].row_xml.startswith("<t_object>")
-    versions = f"{database}__v_*"
-    assert len(spark.catalog.listDatabases(versions)) == 2
+    def loads():
+        return sink._loads(spark, database, next(t for t in sink._tables(spark, database) if t.startswith("t_object__") and "rejects" not in t))
+
+    assert len(loads()) == 2
     ingest(spark, Source(good), database, overwrite=True)
-    assert len(spark.catalog.listDatabases(versions)) == 2  # of three loads, the last two
+    assert len(loads()) == 2  # of three loads, the last two
     sink.vacuum(spark, database)
-    assert len(spark.catalog.listDatabases(versions)) == 2  # the rejects are still in the second
+    assert loads() == {sink.current(spark, database).load}
     assert _rows(spark, database) == [values()]
-    for kept in spark.catalog.listDatabases(versions):
-        spark.sql(f"DROP DATABASE {kept.name} CASCADE")
+    assert spark.table(f"{database}.t_object__rejects").count() == 0  # this load had none
     assert not list(Path(shared_folder(spark)).glob("tagloom_work_*/first0"))
 
 
-def test_failed_switch_is_undone(spark, write, database, monkeypatch):
+def test_a_failed_load_leaves_nothing(spark, write, database, monkeypatch):
     ingest(spark, Source(write(document(row()))), database)
-    point, calls = sink._point, []
+    written = sink.write_table
 
-    def fail_at_second(*args):
-        calls.append(args)
-        if len(calls) == 2:
+    def fail_at_third(table, database, name, *rest):
+        if name == "t_key":
             raise RuntimeError("lost")
-        point(*args)
+        written(table, database, name, *rest)
 
-    monkeypatch.setattr(sink, "_point", fail_at_second)
+    monkeypatch.setattr(sink, "write_table", fail_at_third)
     with pytest.raises(RuntimeError, match="lost"):
         ingest(spark, Source(write(document(row(name="b")))), database, overwrite=True)
     assert _rows(spark, database) == [values()]
+    assert all(sink._loads(spark, database, t) == {sink.current(spark, database).load} for t in sink._tables(spark, database))
+
+
+def test_all_tables_change_at_once(spark, write, database, monkeypatch):
+    """Whatever a reader asks between the steps of a load, all tables are of one load."""
+    prop = "<t_property>" + "".join(f"<{f.source}>{{0}}</{f.source}>" for f in default_registry()["t_property"].fields) + "</t_property>"
+    one, two = (write(document(row(object_id=str(k)), prop.format(k))) for k in (1, 2))
+    ingest(spark, Source(one), database)
+    both = f"SELECT (SELECT max(object_id) FROM {database}.t_object) AS o, (SELECT max(property_id) FROM {database}.t_property) AS p"
+    seen, show = [], sink._show
+
+    def look():
+        seen.append(tuple(spark.sql(both).first()))
+
+    monkeypatch.setattr(sink, "_show", lambda *args: (show(*args), look()))
+    committed = sink.commit
+    monkeypatch.setattr(sink, "commit", lambda *args: (look(), committed(*args), look()))
+    pinned = sink.read_version(spark, database)
+    ingest(spark, Source(two), database, overwrite=True)
+    assert seen == [(1, 1)] * 4 + [(2, 2)]
+    assert pinned["t_object"].first().object_id == pinned["t_property"].first().property_id == 1
+    # one query looks the current load up once
+    joined = spark.sql(f"SELECT count(*) FROM {database}.t_object JOIN {database}.t_property ON object_id = property_id")
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedSubquery" in plan
+
+
+def test_of_two_loads_at_once_one_is_refused(spark, write, database, monkeypatch):
+    ingest(spark, Source(write(document(row()))), database)
+    late, publish = write(document(row(name="late"))), sink.publish
+
+    def overtaken(*args):
+        monkeypatch.setattr(sink, "publish", publish)
+        ingest(spark, Source(write(document(row(name="first")))), database, overwrite=True)
+        publish(*args)
+
+    monkeypatch.setattr(sink, "publish", overtaken)
+    with pytest.raises(IngestError, match="another load"):
+        ingest(spark, Source(late), database, overwrite=True)
+    assert _rows(spark, database) == [values(name="first")]
+    seen = sink.current(spark, database)
+    sink.commit(spark, database, seen, sink.new_load(seen))
+    with pytest.raises(IngestError, match="another load"):
+        sink.commit(spark, database, seen, sink.new_load(seen))
+
+
+def test_a_table_with_other_columns(spark, write, database):
+    folder = write(document("<t_band><a>1</a><b>x</b></t_band>"))
+    first = Registry.of(TableSpec("t_band", (Field("a", INTEGER),)))
+    second = Registry.of(TableSpec("t_band", (Field("a", INTEGER), Field("b", VARCHAR))))
+    ingest(spark, Source(folder), database, registry=first)
+    ingest(spark, Source(folder), database, registry=second, overwrite=True)
+    assert _rows(spark, database, "t_band") == [(1, "x")]
+    ingest(spark, Source(folder), database, registry=first, overwrite=True)
+    assert _rows(spark, database, "t_band") == [(1,)]
 
 
 def test_damaged_documents_are_refused(spark, write, database):
