@@ -30,7 +30,9 @@ from tagloom import (  # noqa: E402
     read_table,
 )
 from tagloom.functions import convert as cv, identity  # noqa: E402
+from tagloom.operators.places import unknown_runs  # noqa: E402
 from tagloom.plans.events import read_events  # noqa: E402
+from tagloom.plans.ingest import typed_rows  # noqa: E402
 from tagloom.plans.profile import totals, unknown_tables  # noqa: E402
 from tagloom.spec import BIGINT, INTEGER, VARCHAR  # noqa: E402
 
@@ -183,6 +185,29 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fault_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each rejected row begins at the byte and the line that its reject names."""
+    folder, database = _text(spark, sf_dir, fx.malformed_objects), _database(spark)
+    ingest(spark, folder, database, mode="quarantine")
+    texts = spark.read.text(folder.paths, wholetext=True).select(
+        F.col("_metadata.file_path").alias("source"), F.col("value").cast("binary").alias("bytes")
+    )
+    before = F.substring("bytes", F.lit(1), F.col("offset").cast("int")).cast("string")
+    there = F.substring("bytes", F.col("offset").cast("int") + 1, F.octet_length("row_xml")).cast("string")
+    row_end = F.substring_index(F.col("row_xml"), "</t_object>", 1)
+    return spark.table(f"{database}.t_object__rejects").join(texts, "source").select(
+        F.regexp_extract("row_xml", r"<object_id>(\d+)<", 1).cast("bigint").alias("object_id"),
+        there.startswith(row_end).alias("at_byte"),
+        (F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))) + 1 == F.col("line")).alias("at_line"),
+    )
+
+
+def unknown_table_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs and rows of tables nobody knows, over documents that alternate between two of them."""
+    typed = typed_rows(spark, Source(fx.alternating_documents(spark, sf_dir)))
+    return unknown_runs(typed).groupBy("tag").agg(F.sum("runs").alias("runs"), F.sum("rows").alias("rows"))
+
+
 def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of documents without an end: refused in strict mode, loaded and reported otherwise."""
     source, database = Source(fx.unfinished_documents(spark, sf_dir)), _database(spark)
@@ -440,6 +465,8 @@ def queries() -> dict[str, Query]:
         "element_profile_zip": partial(element_profile, source=_zip),
         "healed_documents": healed_documents,
         "zip_members": zip_members,
+        "fault_places": fault_places,
+        "unknown_table_runs": unknown_table_runs,
         "malformed_rows": malformed_rows,
         "damaged_documents": damaged_documents,
         "spelled_children": spelled_children,
@@ -572,8 +599,15 @@ def oracle_sql() -> dict[str, str]:
         "element_profile_zip": _ELEMENTS,
         "healed_documents": _OBJECT,
         "zip_members": _OBJECT,
+        "fault_places": """SELECT p_partkey AS object_id, true AS at_byte, true AS at_line
+            FROM part WHERE p_partkey % 10 IN (0, 3, 5)""",
+        "unknown_table_runs": """
+            WITH rows AS (SELECT s_suppkey % 8 AS file, s_suppkey AS k,
+                          CASE WHEN s_suppkey % 5 < 2 THEN 't_band' ELSE 't_zone' END AS tag FROM supplier)
+            SELECT tag, CAST(count(CASE WHEN earlier IS DISTINCT FROM tag THEN 1 END) AS BIGINT) AS runs, count(*) AS "rows"
+            FROM (SELECT *, lag(tag) OVER (PARTITION BY file ORDER BY k) AS earlier FROM rows) GROUP BY tag""",
         "malformed_rows": """SELECT p_partkey AS object_id, 'malformed_row' AS rule
-            FROM part WHERE p_partkey % 10 = 0""",
+            FROM part WHERE p_partkey % 10 IN (0, 3, 5)""",
         "damaged_documents": _OBJECT,
         "spelled_children": """
             SELECT 't_a' AS table_name, s_suppkey AS "key", 'g' || s_suppkey AS guid FROM supplier

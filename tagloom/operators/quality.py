@@ -9,7 +9,6 @@ from tagloom.operators.rows import MALFORMED, OK, OUTSIDE, STATES_TO_REREAD
 from tagloom.operators.typed import violations
 from tagloom.spec import Registry
 
-FINDING_COLUMNS = ("level", "source", "table_name", "rule", "column_name", "occurrences", "sample")
 INFO, WARNING, ERROR = "INFO", "WARNING", "ERROR"
 
 
@@ -28,62 +27,48 @@ def count_rows(typed: DataFrame) -> DataFrame:
     )
 
 
-def findings(counted: DataFrame, typed: DataFrame, registry: Registry) -> DataFrame:
-    """Rows loaded, unknown tables, violations and damaged sources.
+def findings(counted: DataFrame, faults: DataFrame, registry: Registry) -> DataFrame:
+    """(level, source, table_name, rule, column_name, occurrences, sample, offset, line) of all that was found.
 
-    `counted` is the stored result of `count_rows`; of `typed` only bad rows are read.
+    Rows loaded, unknown tables, violations and damaged sources. `counted` is the stored result of
+    `count_rows`, `faults` that of `tagloom.operators.places.located`. `offset` and `line` are those of the first occurrence.
     """
+    none = {
+        "table_name": "string", "column_name": "string", "sample": "string", "offset": "bigint", "line": "bigint",
+    }
+    columns = ("level", "source", "table_name", "rule", "column_name", "occurrences", "sample", "offset", "line")
+
+    def shaped(frame: DataFrame, level) -> DataFrame:
+        frame = frame.withColumn("level", level)
+        return frame.select(*[F.col(c) if c in frame.columns else F.lit(None).cast(none[c]).alias(c) for c in columns])
+
     is_row = F.col("tag").isNotNull()
     rows = (
         counted.filter(is_row & F.col("good"))
-        .groupBy("source", "tag", "known")
-        .agg(F.sum("n").alias("occurrences"))
-        .select(
-            F.when(F.col("known"), INFO).otherwise(WARNING).alias("level"),
-            "source",
-            F.col("tag").alias("table_name"),
-            F.when(F.col("known"), "rows_loaded").otherwise("unknown_table").alias("rule"),
-            F.lit(None).cast("string").alias("column_name"),
-            "occurrences",
-            F.lit(None).cast("string").alias("sample"),
-        )
-    )
-    damaged = (
-        counted.filter(~is_row & ~F.col("status").isin(OK, OUTSIDE))
-        .groupBy("source", F.col("status").alias("rule"))
+        .groupBy("source", F.col("tag").alias("table_name"), "known")
         .agg(F.sum("n").alias("occurrences"))
+        .withColumn("rule", F.when(F.col("known"), "rows_loaded").otherwise("unknown_table"))
     )
+    first = [F.min("offset").alias("offset"), F.min("line").alias("line")]
+    damaged = faults.filter(~is_row).groupBy("source", F.col("status").alias("rule")).agg(F.count("*").alias("occurrences"), *first)
     unbalanced = (
         counted.groupBy("source")
         .agg(F.sum("depth").cast("bigint").alias("depth"))
         .filter(F.col("depth") != 0)
         .select("source", F.lit("unbalanced_document").alias("rule"), F.abs("depth").alias("occurrences"))
     )
-    documents = damaged.unionByName(unbalanced).select(
-        F.lit(ERROR).alias("level"),
-        "source",
-        F.lit(None).cast("string").alias("table_name"),
-        "rule",
-        F.lit(None).cast("string").alias("column_name"),
-        "occurrences",
-        F.lit(None).cast("string").alias("sample"),
-    )
     broken_rules = (
-        typed.filter(~F.col("good"))
-        .select("source", "tag", F.explode(violations(registry)).alias("v"))
-        .groupBy("source", F.col("tag").alias("table_name"), "v.rule", "v.column")
-        .agg(F.count("*").alias("occurrences"), F.min("v.value").alias("sample"))
-        .select(
-            F.lit(ERROR).alias("level"),
-            "source",
-            "table_name",
-            "rule",
-            F.col("column").alias("column_name"),
-            "occurrences",
-            "sample",
-        )
+        faults.filter(is_row)
+        .select("source", F.col("tag").alias("table_name"), "offset", "line", F.explode(violations(registry)).alias("v"))
+        .groupBy("source", "table_name", "v.rule", F.col("v.column").alias("column_name"))
+        .agg(F.count("*").alias("occurrences"), F.min("v.value").alias("sample"), *first)
+    )
+    return (
+        shaped(rows, F.when(F.col("known"), INFO).otherwise(WARNING))
+        .unionByName(shaped(damaged, F.lit(ERROR)))
+        .unionByName(shaped(unbalanced, F.lit(ERROR)))
+        .unionByName(shaped(broken_rules, F.lit(ERROR)))
     )
-    return rows.unionByName(documents).unionByName(broken_rules)
 
 
 def sources_to_reread(counted: DataFrame, outlined: DataFrame) -> DataFrame:

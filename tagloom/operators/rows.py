@@ -41,6 +41,15 @@ def _occurrences(text: Column, part: str) -> Column:
     return ((F.octet_length(text) - F.octet_length(rest)) / len(part)).cast("int")
 
 
+def row_bytes(record: Column, prefix: str) -> Column:
+    """Bytes of a row's record and of the separator that was before it."""
+    return F.octet_length(record) + len(f"<{prefix}:t_" if prefix else "<t_")
+
+
+def line_ends(text: Column) -> Column:
+    return _occurrences(text, "\n")
+
+
 def _starts(text: Column) -> Column:
     """Start tags and empty-element tags; `text` holds no comments or CDATA."""
     return _occurrences(text, "<") - _occurrences(text, "</") - _occurrences(text, "<!")
@@ -54,7 +63,7 @@ def _depth(text: Column) -> Column:
 def split_rows(
     records: DataFrame, registry: Registry, prefix: str = "", decoded: bool = False
 ) -> DataFrame:
-    """(source, split, at, status, tag, depth, elements, row_xml, loose, foreign) of every record.
+    """(source, split, at, bytes, ends, status, tag, depth, elements, row_xml, loose, foreign) of every record.
 
     `depth` is the number of elements the record leaves open; over a complete
     document it adds up to 0. `elements` counts the elements of the record. `row_xml` is
@@ -143,6 +152,8 @@ def split_rows(
         "source",
         "split",
         "at",
+        F.when(outside, F.octet_length(record)).otherwise(row_bytes(record, prefix)).alias("bytes"),
+        line_ends(record).alias("ends"),
         "status",
         F.when(~outside, F.concat(F.lit("t_"), name)).alias("tag"),
         # the separator took the start tag of the row with it

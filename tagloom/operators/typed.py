@@ -5,7 +5,7 @@ There are two ways: `type_plain` for the mass of simple rows without a violation
 tables), and for a bad row also the texts the values came from, from which its
 violations are told. Columns besides these: source, split and at (the place in the source; null where it was read
 as a whole), status, tag, known, depth, elements, loose, foreign, good, row_xml (bad rows, and those with foreign
-prefixes).
+prefixes), bytes and ends (of the record: its length, with the separator before it, and its line ends), offset and line (of documents read as a whole).
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tagloom.functions.convert import strip
 from tagloom.operators.plain import is_plain, plain_child, plain_elements, plain_tag
-from tagloom.operators.rows import LOOSE, MALFORMED, OK
+from tagloom.operators.rows import LOOSE, MALFORMED, OK, line_ends, row_bytes
 from tagloom.spec import Field, Registry, TableSpec
 
 CORRUPT = "_corrupt_record"
@@ -25,7 +25,7 @@ VIOLATION = "struct<rule:string,column:string,value:string>"
 
 
 def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> DataFrame:
-    """(source, split, at, source_status, tag, done, elements, record, one struct per table).
+    """(source, split, at, source_status, tag, done, elements, bytes, ends, record, one struct per table).
 
     Types the plain records without a violation; `done` is true for them. For the
     others it is false, and `record` keeps the text for `split_rows` and
@@ -70,6 +70,8 @@ def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> Data
         "tag",
         "done",
         F.when(F.col("done"), plain_elements(record)).alias("elements"),
+        F.when(F.col("done"), row_bytes(record, prefix)).alias("bytes"),
+        F.when(F.col("done"), line_ends(record)).alias("ends"),
         F.when(~F.col("done"), record).alias("record"),
         *[F.when(F.col("done"), F.col(name)).alias(name) for name in registry.names()],
     )
@@ -92,7 +94,7 @@ def plain_rows(typed_plain: DataFrame, like: DataFrame, registry: Registry) -> D
         "known": registry.is_known(F.col("tag")),
         "good": F.lit(True),
     }
-    kept = {"source", "split", "at", "tag", "elements", *registry.names()}
+    kept = {"source", "split", "at", "bytes", "ends", "tag", "elements", *registry.names()}
     return typed_plain.filter("done").select(
         *[
             F.col(c.name)
@@ -138,12 +140,17 @@ def type_rows(rows: DataFrame, registry: Registry) -> DataFrame:
     )
     bad = ~F.col("good")
     row_xml = F.to_json("fields") if whole else F.col("row_xml")
-    absent = {"split": "bigint", "at": "bigint", "loose": LOOSE, "foreign": "array<string>"}
-    own = {c: (F.lit(None).cast(kind) if whole else F.col(c)).alias(c) for c, kind in absent.items()}
+    cut = {"split": "bigint", "bytes": "int", "ends": "int", "loose": LOOSE, "foreign": "array<string>"}
+    own = {c: (F.lit(None).cast(kind) if whole else F.col(c)).alias(c) for c, kind in cut.items()}
+    own |= {c: (F.col(c) if whole else F.lit(None).cast("bigint")).alias(c) for c in ("offset", "line")}
     return judged.select(
         "source",
         own["split"],
-        own["at"],
+        "at",
+        own["bytes"],
+        own["ends"],
+        own["offset"],
+        own["line"],
         "status",
         "tag",
         "known",
@@ -258,7 +265,7 @@ def good_rows(typed: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def rejected_rows(typed: DataFrame, spec: TableSpec, registry: Registry) -> DataFrame:
-    """(source, violations, row_xml) of the rows `good_rows` leaves out."""
+    """(source, violations, row_xml, offset, line) of the rows `good_rows` leaves out; the last two as `typed` has them."""
     return typed.filter((F.col("tag") == spec.name) & ~F.col("good")).select(
-        "source", violations(registry).alias("violations"), "row_xml"
+        "source", violations(registry).alias("violations"), "row_xml", "offset", "line"
     )

@@ -10,7 +10,7 @@ from tagloom.spec import Registry
 EVENTS = "ingest_events"
 _COLUMNS = (
     "created timestamp, level string, source string, table_name string, rule string, "
-    "column_name string, occurrences bigint, sample string, run_id string"
+    "column_name string, occurrences bigint, sample string, offset bigint, line bigint, run_id string"
 )
 
 
@@ -32,6 +32,8 @@ def record_events(spark: SparkSession, database: str, run_id: str, findings: Dat
         "column_name",
         F.col("occurrences").cast("bigint").alias("occurrences"),
         "sample",
+        "offset",
+        "line",
     )
     replace_partition(events, f"`{database}`.`{EVENTS}`", {"run_id": run_id})
     return read_events(spark, database).filter(F.col("run_id") == run_id)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagloom.errors import IngestError
 from tagloom.operators.outline import outlines
+from tagloom.operators.places import is_faulty, located
 from tagloom.operators.quality import (
     ERROR,
     broken_sources,
@@ -105,12 +106,18 @@ def read_table(
     """
     _check_mode(mode)
     only = Registry.of((registry or default_registry())[name])
-    typed, counted = stage(spark, source, only, new_work_folder(spark))
+    work = new_work_folder(spark)
+    typed, counted = stage(spark, source, only, work)
     if mode == STRICT:
-        raise_on_errors(findings(counted, typed, only))
+        raise_on_errors(findings(counted, faults(typed, counted, work), only))
     return good_rows(typed, only[name])
 
 
+def typed_rows(spark: SparkSession, source: Source, registry: Registry | None = None) -> DataFrame:
+    """The typed rows of all tables, good and bad, known and unknown, as `tagloom.operators.typed` describes them."""
+    return stage(spark, source, registry or default_registry(), new_work_folder(spark))[0]
+
+
 def stage(
     spark: SparkSession, source: Source, registry: Registry, work: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -137,6 +144,13 @@ def stage(
     return heal(typed, counted, source, found, registry, work)
 
 
+def faults(typed: DataFrame, counted: DataFrame, work: str) -> DataFrame:
+    """The faulty lines of `typed` with their places; looked for only where the counts tell of some."""
+    if counted.filter(is_faulty()).isEmpty():
+        return typed.limit(0)
+    return store(located(typed), work, "faults")
+
+
 def _names(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "source string")
 
@@ -150,6 +164,7 @@ def _unread(spark: SparkSession, sources: list[str], registry: Registry) -> Data
         F.lit(0).alias("depth"),
         F.lit(0).cast("bigint").alias("elements"),
         F.lit(None).cast("map<string,string>").alias("fields"),
+        *[F.lit(None).cast("bigint").alias(c) for c in ("at", "offset", "line")],
     )
     return type_rows(lines, registry)
 
@@ -229,11 +244,12 @@ def ingest(
     load = sink.new_load(seen)
     with work_folder(spark) as work:
         typed, counted = stage(spark, source, registry, work)
-        events = record_events(spark, database, run_id, findings(counted, typed, registry))
+        bad = faults(typed, counted, work)
+        events = record_events(spark, database, run_id, findings(counted, bad, registry))
         if mode == STRICT:
             raise_on_errors(events)
         try:
-            names = _write_load(typed, database, load, registry, mode, max_records_per_file)
+            names = _write_load(typed, bad, database, load, registry, mode, max_records_per_file)
             sink.publish(spark, database, names, load, seen)
         except Exception:
             sink.discard(spark, database, load)
@@ -253,6 +269,7 @@ def raise_on_errors(events: DataFrame) -> None:
             + (f" in {e.column_name}" if e.column_name else "")
             + f", {e.occurrences} times"
             + (f", e.g. {e.sample!r}" if e.sample is not None else "")
+            + (f", first at line {e.line}, byte {e.offset}" if e.line is not None else "")
             for e in shown
         ]
         if (total := errors.count()) > len(lines):
@@ -261,7 +278,7 @@ def raise_on_errors(events: DataFrame) -> None:
 
 
 def _write_load(
-    typed: DataFrame, database: str, load: str, registry: Registry, mode: str, max_records: int | None
+    typed: DataFrame, bad: DataFrame, database: str, load: str, registry: Registry, mode: str, max_records: int | None
 ) -> list[str]:
     names = []
     for spec in registry:
@@ -269,6 +286,6 @@ def _write_load(
         names.append(spec.name)
         if mode == QUARANTINE:
             rejects = f"{spec.name}__rejects"
-            sink.write_table(rejected_rows(typed, spec, registry), database, rejects, load, max_records)
+            sink.write_table(rejected_rows(bad, spec, registry), database, rejects, load, max_records)
             names.append(rejects)
     return names

@@ -30,7 +30,7 @@ from tagloom.sources.documents import (
 
 ROW_SCHEMA = (
     "source string, status string, tag string, depth int, elements bigint, "
-    "fields map<string,string>"
+    "fields map<string,string>, at bigint, offset bigint, line bigint"
 )
 _ARROW_SCHEMA = pa.schema(
     [
@@ -40,6 +40,9 @@ _ARROW_SCHEMA = pa.schema(
         ("depth", pa.int32()),
         ("elements", pa.int64()),
         ("fields", pa.map_(pa.string(), pa.string())),
+        ("at", pa.int64()),
+        ("offset", pa.int64()),
+        ("line", pa.int64()),
     ]
 )
 BATCH_ROWS = 10_000
@@ -80,8 +83,8 @@ def _parse(batches, wanted) -> Iterator[pa.RecordBatch]:
                 if member is not None:
                     stream = closing.enter_context(zipfile.ZipFile(stream).open(member))
                 buffer = []
-                for row in _rows(stream, wanted):
-                    buffer.append((source, *row))
+                for at, (*row, place) in enumerate(_rows(stream, wanted)):
+                    buffer.append((source, *row, at, *place))
                     if len(buffer) >= BATCH_ROWS:
                         yield _batch(buffer)
                         buffer = []
@@ -98,8 +101,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 class _Collector:
     """Expat callbacks that gather the child texts of every open row."""
 
-    def __init__(self, wanted: frozenset[str]) -> None:
-        self.wanted = wanted
+    def __init__(self, wanted: frozenset[str], parser, skipped: int) -> None:
+        self.wanted, self.parser, self.skipped = wanted, parser, skipped
         self.path: list[_Open] = []
         self.done: list[tuple] = []
         self.elements = 0  # elements closed since the last row was handed out
@@ -107,7 +110,13 @@ class _Collector:
     def start(self, name: str, _attributes) -> None:
         if self.path:
             self.path[-1].leading = False
-        self.path.append(_Open(name.rsplit("}", 1)[-1]))
+        self.path.append(opened := _Open(name.rsplit("}", 1)[-1]))
+        if opened.fields is not None:
+            opened.place = self.place()
+
+    def place(self) -> tuple[int, int]:
+        """Byte offset and line of what the parser is at."""
+        return self.parser.CurrentByteIndex + self.skipped, self.parser.CurrentLineNumber
 
     def text(self, data: str) -> None:
         if self.path and self.path[-1].leading:
@@ -117,7 +126,7 @@ class _Collector:
         closed = self.path.pop()
         self.elements += 1
         if closed.fields is not None:
-            self.done.append(("ok", closed.name, 0, self.elements, list(closed.fields.items())))
+            self.done.append(("ok", closed.name, 0, self.elements, list(closed.fields.items()), closed.place))
             self.elements = 0
         parent = self.path[-1] if self.path else None
         if parent is not None and parent.fields is not None:
@@ -129,7 +138,7 @@ class _Collector:
 class _Open:
     """An element that is not closed yet; only text before its first child counts."""
 
-    __slots__ = ("name", "text", "leading", "fields")
+    __slots__ = ("name", "text", "leading", "fields", "place")
 
     def __init__(self, name: str) -> None:
         self.name = name
@@ -139,14 +148,14 @@ class _Open:
 
 
 def _rows(stream: BinaryIO, wanted: frozenset[str]) -> Iterator[tuple]:
-    """(status, tag, depth, elements, fields) per row, then one entry for the rest."""
-    seen = _Collector(wanted)
-    fault = None
+    """(status, tag, depth, elements, fields, (offset, line)) per row, then one entry for the rest."""
+    seen, parser, fault, place = None, None, None, (None, None)
     try:
         head = stream.read(READ_BYTES)
         encoding = encoding_of(head)
         decoder = codecs.getincrementaldecoder(encoding)()
         parser = expat.ParserCreate("utf-8", namespace_separator="}")
+        seen = _Collector(wanted, parser, len(codecs.BOM_UTF8) if head.startswith(codecs.BOM_UTF8) else 0)
         parser.buffer_text = True
         parser.StartElementHandler = seen.start
         parser.EndElementHandler = seen.end
@@ -158,10 +167,12 @@ def _rows(stream: BinaryIO, wanted: frozenset[str]) -> Iterator[tuple]:
             seen.done = []
             data = stream.read(READ_BYTES)
         parser.Parse(decoder.decode(b"", True).encode(), True)
-    except (expat.ExpatError, UnicodeDecodeError):
+    except expat.ExpatError:
+        fault, place = BAD_DOCUMENT, (parser.ErrorByteIndex + seen.skipped, parser.ErrorLineNumber)
+    except UnicodeDecodeError:
         fault = BAD_DOCUMENT
     except Exception as error:  # noqa: BLE001 - raised again unless it is a fault of the file
         if (fault := fault_of(error)) is None:
             raise
-    yield from seen.done
-    yield (fault or "outside", None, 0, seen.elements, None)
+    yield from seen.done if seen else ()
+    yield (fault or "outside", None, 0, seen.elements if seen else 0, None, place)

@@ -16,6 +16,7 @@ from tagloom.plans.ingest import (
     TEXT,
     ZIP,
     Source,
+    faults,
     raise_on_errors,
     stage,
 )
@@ -27,7 +28,8 @@ from tagloom.spec import Registry, default_registry
 STREAM, BATCH = "stream_id", "batch_id"
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 _REJECT_COLUMNS = (
-    "source string, violations array<struct<rule:string,column:string,value:string>>, row_xml string"
+    "source string, violations array<struct<rule:string,column:string,value:string>>, row_xml string, "
+    "offset bigint, line bigint"
 )
 
 
@@ -101,14 +103,15 @@ def _load_batch(
     part = {STREAM: stream_id, BATCH: batch_id}
     with work_folder(spark) as work:
         typed, counted = stage(spark, source, registry, work)
-        found = findings(counted, typed, registry)
+        bad = faults(typed, counted, work)
+        found = findings(counted, bad, registry)
         events = record_events(spark, database, f"stream-{stream_id}-{batch_id}", found)
         if mode == STRICT:
             raise_on_errors(events)
         for spec in registry:
             table = f"`{database}`.`{spec.name}"
             replace_partition(good_rows(typed, spec), f"{table}`", part)
-            replace_partition(rejected_rows(typed, spec, registry), f"{table}__rejects`", part)
+            replace_partition(rejected_rows(bad, spec, registry), f"{table}__rejects`", part)
 
 
 def _create_tables(spark: SparkSession, database: str, registry: Registry) -> None:

@@ -70,10 +70,17 @@ def bad_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def malformed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every 10th row holds tags that do not match, in a child nobody declared."""
-    broken = F.replace("value", F.lit("</t_object>"), F.lit("<a><b></a></b></t_object>"))
-    tenth = F.col("value").rlike(r"<object_id>\d*0</object_id>")
-    return objects(spark, sf_dir).select(F.when(tenth, broken).otherwise(F.col("value")).alias("value"))
+    """Three of ten rows are not well formed.
+
+    A child nobody declared holds tags that do not match, or has a prefix nobody declared, or there is a
+    comment with two hyphens in it.
+    """
+    faults = {0: "<a><b></a></b>", 3: "<!-- a -- b -->", 5: "<q:a/>"}
+    value = F.col("value")
+    for digit, fault in faults.items():
+        broken = F.replace("value", F.lit("</t_object>"), F.lit(f"{fault}</t_object>"))
+        value = F.when(F.col("value").rlike(rf"<object_id>\d*{digit}</object_id>"), broken).otherwise(value)
+    return objects(spark, sf_dir).select(value.alias("value"))
 
 
 def spelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +115,31 @@ def odd_documents(spark: SparkSession, sf_dir: str) -> list[str]:
     ]
 
 
+def alternating_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Suppliers in order of their keys, as rows of two unknown tables by turns; documents by key modulo FILES.
+
+    Objects are between them.
+    """
+
+    def text() -> str:
+        folder = fresh_folder(spark, "xml")
+        key = F.col("s_suppkey")
+        tag = F.when(key % 5 < 2, "t_band").otherwise("t_zone")
+        row = F.concat(F.lit("<"), tag, F.lit("><id>"), key, F.lit("</id></"), tag, F.lit(">"))
+        known = F.concat(F.lit("<t_key><key_id>"), key, F.lit("</key_id></t_key>"))
+        both = F.concat(row, F.lit("\n"), F.when(key % 3 == 0, known).otherwise(""))
+        rows = table(spark, sf_dir, "supplier").select((key % FILES).alias("file"), key.alias("at"), both.alias("value"))
+        ends = rows.select("file").distinct().select(
+            "file", F.explode(F.array(F.struct(F.lit(-1).cast("bigint").alias("at"), F.lit("<SolutionDataset>").alias("value")),
+                                      F.struct(F.lit(1 << 60).alias("at"), F.lit("</SolutionDataset>").alias("value")))).alias("e")
+        ).select("file", "e.at", "e.value")
+        whole = rows.withColumn("at", F.col("at").cast("bigint")).unionByName(ends)
+        whole.repartition(FILES, "file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(folder)
+        return folder
+
+    return cached(spark, sf_dir, "alternating", text)
+
+
 def unfinished_documents(spark: SparkSession, sf_dir: str) -> str:
     """The objects in documents whose root has no end tag."""
     folder = fresh_folder(spark, "xml")
