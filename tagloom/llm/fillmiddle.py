@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagloom.llm.shared import ddl, text_parts
+from tagloom.llm.shared import ddl, quoted, text_parts
 
 UNIT_END = b"\xff"
 RESULTS = ("n", "form", "prefix_chars", "middle_chars", "output")
@@ -108,7 +108,7 @@ def fill_in_middle(
     that repeat an id and a text get the same output. An empty table gives an empty one.
     """
     inner = [c for c in docs.columns if c not in RESULTS]
-    rows = docs.select(F.coalesce(F.col("text"), F.lit("")), *draws(F.col("doc_id"), seed), *[docs[f"`{c}`"] for c in inner])
+    rows = docs.select(F.coalesce(F.col("text"), F.lit("")), *draws(F.col("doc_id"), seed), *[docs[quoted(c)] for c in inner])
     rows = rows.toDF(*[f"c{k}" for k in range(len(rows.columns))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +118,7 @@ def fill_in_middle(
                 made = rearrange(texts.cast(pa.binary()), part.columns[1:5], fim_percent, spm_percent, marks)
                 yield pa.RecordBatch.from_arrays([*part.columns[5:], *made], [*inner, *RESULTS])
 
-    schema = [ddl(docs.select(*[docs[f"`{c}`"] for c in inner]))] if inner else []
+    schema = [ddl(docs.select(*[docs[quoted(c)] for c in inner]))] if inner else []
     return rows.mapInArrow(run, ", ".join([*schema, "n bigint, form string, prefix_chars bigint, middle_chars bigint, output string"]))
 
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagloom.llm.shared import Scratch, unused
+from tagloom.llm.shared import Scratch, quoted, unused
 
 #: Domains of the labelled table, as conditions on its columns.
 DOMAINS = {"good": "quality = 1 AND toxic = 0", "junk": "quality = 0", "toxic": "quality = 1 AND toxic = 1"}
@@ -243,10 +243,10 @@ def mix(
     made = [f"{prefix}tokens", *names, f"{prefix}rate", f"{prefix}copies"]
     kept = [c for c in (docs.columns if keep is None else keep) if c not in made]
     needed = dict.fromkeys([*kept, "doc_id", "text"])
-    scored = model.score(docs.select(*[f"`{c}`" for c in needed]), made[0], f"{prefix}p")
+    scored = model.score(docs.select(*map(quoted, needed)), made[0], f"{prefix}p")
     draw = f"{unused(kept, prefix + 'u')}nit"
     unit = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    scored = scratch.keep(_once(scored).select(*[f"`{c}`" for c in kept], made[0], *names, unit.alias(draw)))
+    scored = scratch.keep(_once(scored).select(*map(quoted, kept), made[0], *names, unit.alias(draw)))
     steps = []
     if model.fitted:
         cells = scratch.keep(

@@ -19,7 +19,7 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tagloom.llm.shared import BLANKS, ddl
+from tagloom.llm.shared import BLANKS, ddl, quoted
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 3
@@ -187,6 +187,6 @@ def judge(
                 [*batch.columns, *(pa.array(c, k) for c, k in zip(columns, kinds))], [*inner, *results]
             )
 
-    own = docs.select(*[docs[f"`{c}`"] for c in inner])
+    own = docs.select(*[docs[quoted(c)] for c in inner])
     kinds = [*["bigint"] * len(measures), "boolean", "boolean"]
-    return own.mapInArrow(run, ", ".join([ddl(own), *(f"`{r}` {k}" for r, k in zip(results, kinds))]))
+    return own.mapInArrow(run, ", ".join([ddl(own), *(f"{quoted(r)} {k}" for r, k in zip(results, kinds))]))

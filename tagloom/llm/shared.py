@@ -24,7 +24,12 @@ def ascii_lower(text: Column) -> Column:
 
 def ddl(frame: DataFrame) -> str:
     """The schema of a frame as text; back ticks in names are doubled."""
-    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in frame.schema)
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in frame.schema)
+
+
+def quoted(name: str) -> str:
+    """A column's name for Spark, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def text_parts(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:

@@ -192,6 +192,17 @@ def test_archives_come_back_and_payload_text_is_no_record(spark, tmp_path, split
     assert sorted(found, key=repr) == sorted(expected, key=repr)
 
 
+def test_urls_with_line_ends_of_any_kind_harm_no_record(spark, tmp_path):
+    breaks = ["\r", "\n", "\x0b", "\x0c", "\x85", "\u2028", "\u2029", "\x00", "\x7f"]
+    pages = [(k, f"http://a/{c}Content-Length: 5{c}x", f"<p>{k}</p>") for k, c in enumerate(breaks)]
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), f"{tmp_path}/w")
+    found = warc.read_archives(spark, f"{tmp_path}/w", strict=True).orderBy("page_id").collect()
+    digests = [base64.b32encode(hashlib.sha1(h.encode()).digest()).decode() for _, _, h in pages]
+    assert [(r["page_id"], r["payload_bytes"], r["payload_digest"]) for r in found] == [(k, 8, d) for k, d in enumerate(digests)]
+    text = b"".join(p.read_bytes() for p in (tmp_path / "w").glob("part*")).decode()
+    assert "/%E2%80%A8Content-Length" in text and "/%C2%85Content-Length" in text and "/%0AContent-Length" in text
+
+
 def test_any_bigint_comes_back_as_page_id(spark, tmp_path):
     ids = [10**15, -7, 0, 2**63 - 1, -(2**63), 1234567890123456789]
     pages = [(k, "u", f"page {k}") for k in ids] + [(-9, "u", "page -7"), (10**16, "u", f"page {2**63 - 1}")]
@@ -213,6 +224,8 @@ def test_a_damaged_file_gives_the_records_before_the_damage(spark, tmp_path, scr
     found = warc.read_archives(spark, path, scratch)
     assert {r["page_id"] for r in found.collect()} >= set(range(20))
     assert not {r["page_id"] for r in found.collect()} & set(range(21, 40))
+    with pytest.raises(ValueError, match="do not reach the end"):
+        warc.read_archives(spark, path, strict=True)
     ends = warc.chain_ends(warc.reachable(warc.candidates(spark, path, scratch), scratch)).collect()
     assert [r["complete"] for r in ends] == [False]
 

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
@@ -74,3 +75,24 @@ def test_stages_take_an_empty_table(spark, tmp_path):
     for name, stage in pipeline.STAGES:
         docs = stage(spark, docs, sf)
         assert docs.collect() == [], name
+
+
+def test_stages_leave_columns_of_any_name_alone(spark, tmp_path):
+    sf = str(tmp_path)
+    corpus(spark, sf)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = (
+        "kept base_failed mask _kept _keep _id _hash _text_hash text_hash h g at pos key line word bits fp node depth part first root component_id "
+        "_words _marks _s0 _p0 _p1 p0 p1 k marks mark tokens _tokens _rate rate _copies copies _unit unit ids n_tokens __kept"
+    ).split()
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(n) for n in names])
+    for k, (name, stage) in enumerate(pipeline.STAGES):
+        out = stage(spark, docs, sf)
+        if k + 1 < len(pipeline.STAGES):
+            assert out.columns == docs.columns, name
+            out.write.parquet(f"{sf}/wide{k}")
+            docs = spark.read.parquet(f"{sf}/wide{k}")
+            wrong = [n for n in names if docs.filter(F.col(n) != F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).limit(1).collect()] if k == 3 else []
+            assert not wrong, name
+        else:
+            assert out.count() == docs.count()

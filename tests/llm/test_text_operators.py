@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -84,21 +88,20 @@ def test_the_rule_with_more_rejections_per_second_comes_first(spark):
 
 
 def plain_lines(rows, min_docs, keep_first):
+    """A key in so many documents, told apart by their ids, loses its lines in every row; a row without id is no document."""
     blanks, lower = " \t\n\x0b\x0c\r", str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     key = lambda line: line.strip(blanks).translate(lower)
-    where = {}
-    for d, text in rows:
+    documents, first = {}, {}
+    for d, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for p, line in enumerate((text or "").split("\n")):
-            if key(line) and d is not None:
-                where.setdefault(key(line), set()).add((d, p))
-    gone = set()
-    for at in where.values():
-        if len({d for d, _ in at}) >= min_docs:
-            gone |= at - ({min(at)} if keep_first else set())
+            if key(line):
+                documents.setdefault(key(line), set()).update({d} - {None})
+                first.setdefault(key(line), (d, text, p))
+    gone = {k for k, ids in documents.items() if len(ids) >= min_docs}
     out = []
     for d, text in rows:
         lines = (text or "").split("\n")
-        kept = [x for p, x in enumerate(lines) if (d, p) not in gone]
+        kept = [x for p, x in enumerate(lines) if key(x) not in gone or keep_first and first[key(x)] == (d, text, p)]
         out.append((d, len(lines) - len(kept), "\n".join(kept) if len(kept) < len(lines) else text))
     return sorted(out, key=repr)
 
@@ -108,16 +111,27 @@ def test_line_bitmaps_equal_brute_force(spark, min_docs, keep_first):
     rng = random.Random(min_docs)
     pool = ["The End", " the end\t", "É", "é", "", " ", "x", "y", "z\r", "\x0bZ", "only"] + [f"l{k}" for k in range(40)]
     rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.choice([1, 3, 150])))) for k in range(30)]
-    rows += [(100, None), (101, ""), (102, "x"), (102, "x"), (None, "x\ny")]
-    docs = frame(spark, rows)
-    bitmaps = linededup.keep_bitmaps(docs.select("doc_id", "text", "ids"), min_docs=min_docs, keep_first=keep_first)
-    found = linededup.apply_bitmaps(docs.drop("_keep"), bitmaps)
-    text, keep = F.col("text"), F.col("_keep")
+    rows += [(100, None), (101, ""), (102, "x"), (102, "x"), (None, "x\ny"), (None, None)]
+    if not keep_first:  # rows that share an id and differ
+        rows += [(5, "rare one\nrare two\nx"), (5, "x\nown 5"), (5, None), (None, "rare two\nthe END")]
+    docs = frame(spark, rows, "doc_id long, text string, n_words string, ids int, _keep int, _id long, text_hash int, h int, _hash int")
+    bitmaps = linededup.keep_bitmaps(docs, min_docs=min_docs, keep_first=keep_first)
+    found = linededup.apply_bitmaps(docs, bitmaps, "mine")
+    text, keep = F.col("text"), F.col("mine")
     out = found.select("doc_id", linededup.dropped_lines(text, keep), linededup.kept_text(text, keep))
     assert sorted(map(tuple, out.collect()), key=repr) == plain_lines(rows, min_docs, keep_first)
+    assert found.columns == [*docs.columns, "mine"]
     assert linededup.keep_bitmaps(docs.limit(0)).collect() == []
 
 
+def test_rows_decide_for_themselves_not_for_their_ids(spark):
+    rows = [(k, "Common line\nown") for k in range(10, 30)] + [(5, "rare one\nrare two"), (5, "common LINE\nown 5"), (None, " common line\t\nmine")]
+    docs = frame(spark, rows)
+    found = linededup.apply_bitmaps(docs, linededup.keep_bitmaps(docs, min_docs=10, keep_first=False))
+    out = found.filter("doc_id = 5 OR doc_id IS NULL").select("doc_id", linededup.kept_text(F.col("text"), F.col("_keep")))
+    assert sorted(map(tuple, out.collect()), key=repr) == [(5, "own 5"), (5, "rare one\nrare two"), (None, "mine")]
+
+
 # --- mixing ------------------------------------------------------------------
 
 
@@ -196,6 +210,24 @@ def test_encoding_equals_the_library_and_decodes_to_its_text(spark):
     assert bpe.encode(frame(spark, rows).limit(0), VOCABULARY).collect() == []
 
 
+def test_workers_need_no_package(tmp_path):
+    """Encoding from a folder and an environment in which workers cannot import the library."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+from tagloom.llm import bpe
+docs = spark.createDataFrame([(1, "hello world")], "doc_id long, text string")
+seen = docs.mapInArrow(lambda batches: (b for b in batches if __import__("importlib").util.find_spec("tagloom") is None), "doc_id long, text string")
+print("ids", bpe.encode(seen, {VOCABULARY!r}, decoded=True).first().ids)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    ids = Tokenizer.from_file(VOCABULARY).encode("hello world", add_special_tokens=False).ids
+    assert f"ids {ids}" in out.stdout, out.stderr[-2000:]
+
+
 def test_every_reachable_token_encodes_to_itself():
     vocabulary = bpe.Vocabulary.read(VOCABULARY)
     encoder = bpe.Encoder(vocabulary)
