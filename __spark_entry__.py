@@ -30,10 +30,8 @@ from tagloom import (  # noqa: E402
     read_table,
 )
 from tagloom.functions import convert as cv, identity  # noqa: E402
-from tagloom.operators.places import unknown_runs  # noqa: E402
 from tagloom.plans.events import read_events  # noqa: E402
-from tagloom.plans.ingest import typed_rows  # noqa: E402
-from tagloom.plans.profile import totals, unknown_tables  # noqa: E402
+from tagloom.plans.profile import runs_of_unknown_tables, totals, unknown_tables  # noqa: E402
 from tagloom.spec import BIGINT, INTEGER, VARCHAR  # noqa: E402
 
 try:
@@ -204,8 +202,8 @@ def fault_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unknown_table_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs and rows of tables nobody knows, over documents that alternate between two of them."""
-    typed = typed_rows(spark, Source(fx.alternating_documents(spark, sf_dir)))
-    return unknown_runs(typed).groupBy("tag").agg(F.sum("runs").alias("runs"), F.sum("rows").alias("rows"))
+    found = runs_of_unknown_tables(spark, Source(fx.alternating_documents(spark, sf_dir)))
+    return found.groupBy("tag").agg(F.sum("runs").alias("runs"), F.sum("rows").alias("rows"))
 
 
 def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

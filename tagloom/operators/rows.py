@@ -63,7 +63,7 @@ def _depth(text: Column) -> Column:
 def split_rows(
     records: DataFrame, registry: Registry, prefix: str = "", decoded: bool = False
 ) -> DataFrame:
-    """(source, split, at, bytes, ends, status, tag, depth, elements, row_xml, loose, foreign) of every record.
+    """(source, split, at, bytes, ends, status, plain, tag, depth, elements, row_xml, loose, foreign) of every record.
 
     `depth` is the number of elements the record leaves open; over a complete
     document it adds up to 0. `elements` counts the elements of the record. `row_xml` is
@@ -155,6 +155,7 @@ def split_rows(
         F.when(outside, F.octet_length(record)).otherwise(row_bytes(record, prefix)).alias("bytes"),
         line_ends(record).alias("ends"),
         "status",
+        "plain",
         F.when(~outside, F.concat(F.lit("t_"), name)).alias("tag"),
         # the separator took the start tag of the row with it
         F.when(plain, 0).otherwise(_depth(bare) + row_start).alias("depth"),

@@ -165,6 +165,21 @@ def type_rows(rows: DataFrame, registry: Registry) -> DataFrame:
     )
 
 
+def untyped_rows(rows: DataFrame, registry: Registry) -> DataFrame:
+    """What counts and outlines need of `type_rows`, with no values: whether rows are sound, of which table, and what is around them."""
+    tag, whole = F.col("tag"), "fields" in rows.columns
+    if not whole:
+        parsed = F.when(tag.isNotNull() & (F.col("status") == OK) & ~F.col("plain"), _children(rows, registry))
+        broken = F.coalesce(parsed.getField(CORRUPT).isNotNull(), F.lit(False))
+        rows = rows.withColumn("status", F.when(broken, MALFORMED).otherwise(F.col("status")))
+    cut = {"split": "bigint", "loose": LOOSE, "foreign": "array<string>"}
+    own = {c: (F.lit(None).cast(kind) if whole else F.col(c)).alias(c) for c, kind in cut.items()}
+    return rows.select(
+        "source", own["split"], "at", "status", "tag", (tag.isNotNull() & registry.is_known(tag)).alias("known"), "depth",
+        F.col("elements").cast("bigint").alias("elements"), own["loose"], own["foreign"], (tag.isNull() | (F.col("status") == OK)).alias("good"),
+    )
+
+
 def _children(rows: DataFrame, registry: Registry) -> Column:
     """Texts of the declared children as a struct, absent ones NULL.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -26,6 +27,7 @@ from tagloom.operators.typed import (
     rejected_rows,
     type_plain,
     type_rows,
+    untyped_rows,
 )
 from tagloom.plans import sink
 from tagloom.plans.events import record_events, rows_by_table
@@ -87,8 +89,7 @@ class Source:
     def whole_rows(
         self, spark: SparkSession, registry: Registry, paths: list[str], only: DataFrame | None = None
     ) -> DataFrame:
-        member = self.member if self.kind == ZIP else None
-        return type_rows(read_whole_rows(spark, paths, registry.children(), member, only), registry)
+        return read_whole_rows(spark, paths, registry.children(), self.member if self.kind == ZIP else None, only)
 
 
 def read_table(
@@ -113,11 +114,6 @@ def read_table(
     return good_rows(typed, only[name])
 
 
-def typed_rows(spark: SparkSession, source: Source, registry: Registry | None = None) -> DataFrame:
-    """The typed rows of all tables, good and bad, known and unknown, as `tagloom.operators.typed` describes them."""
-    return stage(spark, source, registry or default_registry(), new_work_folder(spark))[0]
-
-
 def stage(
     spark: SparkSession, source: Source, registry: Registry, work: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -137,11 +133,33 @@ def stage(
             second = store(type_rows(rows, registry), work, f"second{number}")
             parts.append(plain_rows(first, second, registry).unionAll(second))
         if found.whole:
-            parts.append(store(source.whole_rows(spark, registry, found.whole), work, "whole"))
-    empty = _unread(spark, found.empty, registry)
-    typed = reduce(DataFrame.unionByName, [*parts, empty]) if parts else empty
-    counted = store(count_rows(typed), work, "counted")
-    return heal(typed, counted, source, found, registry, work)
+            parts.append(store(type_rows(source.whole_rows(spark, registry, found.whole), registry), work, "whole"))
+    return _judged(spark, parts, source, found, registry, work, type_rows)
+
+
+def survey(spark: SparkSession, source: Source, registry: Registry, work: str) -> tuple[DataFrame, DataFrame]:
+    """`tagloom.operators.typed.untyped_rows` of all records and their counts, written to the work folder.
+
+    The source is scanned once, and no value is typed or written.
+    """
+    found = source.layout(spark)
+    parts = []
+    with small_methods(spark):
+        for number, (prefix, records) in enumerate(source.records(spark, found).items()):
+            rows = split_rows(records, registry, prefix, decoded=source.kind == ZIP)
+            parts.append(store(untyped_rows(rows, registry), work, f"rows{number}"))
+        if found.whole:
+            parts.append(store(untyped_rows(source.whole_rows(spark, registry, found.whole), registry), work, "whole"))
+    return _judged(spark, parts, source, found, registry, work, untyped_rows)
+
+
+def _judged(
+    spark: SparkSession, parts: list[DataFrame], source: Source, found: Layout, registry: Registry, work: str, shape: Callable
+) -> tuple[DataFrame, DataFrame]:
+    empty = _unread(spark, found.empty, registry, shape)
+    rows = reduce(DataFrame.unionByName, [*parts, empty]) if parts else empty
+    counted = store(count_rows(rows), work, "counted")
+    return heal(rows, counted, source, found, registry, work, shape)
 
 
 def faults(typed: DataFrame, counted: DataFrame, work: str) -> DataFrame:
@@ -155,7 +173,7 @@ def _names(spark: SparkSession, names: list[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "source string")
 
 
-def _unread(spark: SparkSession, sources: list[str], registry: Registry) -> DataFrame:
+def _unread(spark: SparkSession, sources: list[str], registry: Registry, shape: Callable) -> DataFrame:
     """Lines that report documents without content."""
     lines = _names(spark, sources).select(
         "source",
@@ -166,7 +184,7 @@ def _unread(spark: SparkSession, sources: list[str], registry: Registry) -> Data
         F.lit(None).cast("map<string,string>").alias("fields"),
         *[F.lit(None).cast("bigint").alias(c) for c in ("at", "offset", "line")],
     )
-    return type_rows(lines, registry)
+    return shape(lines, registry)
 
 
 def heal(
@@ -176,6 +194,7 @@ def heal(
     found: Layout,
     registry: Registry,
     work: str,
+    shape: Callable = type_rows,
 ) -> tuple[DataFrame, DataFrame]:
     """Read sources that cannot be cut into rows again, as whole documents.
 
@@ -193,7 +212,7 @@ def heal(
     unsafe = store(unsafe, work, "unsafe")
     if unsafe.isEmpty():
         return typed, counted
-    again = store(source.whole_rows(spark, registry, cut, unsafe), work, "again")
+    again = store(shape(source.whole_rows(spark, registry, cut, unsafe), registry), work, "again")
     whole = again.select("source").distinct().join(broken_sources(again), "source", "left_anti")
     healed = store(whole, work, "healed")
     typed = (

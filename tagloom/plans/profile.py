@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tagloom.operators.places import unknown_runs
 from tagloom.operators.rows import OK, OUTSIDE
-from tagloom.plans.ingest import Source, stage
+from tagloom.plans.ingest import Source, survey
 from tagloom.plans.workspace import new_work_folder
 from tagloom.spec import Registry, default_registry
 
@@ -15,11 +16,11 @@ def profile(spark: SparkSession, source: Source, registry: Registry | None = Non
 
     `tag` is NULL for what stands outside rows. `elements` counts every element
     at any depth; over all lines of a source it is the total of the document. `faults`
-    counts rows and documents that are not well formed. The documents are staged as for a
-    load, so doubtful ones are read as a whole; the result reads the counts from the shared folder.
+    counts rows and documents that are not well formed. Doubtful documents are read as a whole,
+    as for a load; no values are typed. The result reads counts from the shared folder.
     """
     registry = registry or default_registry()
-    _, counted = stage(spark, source, registry, new_work_folder(spark))
+    _, counted = survey(spark, source, registry, new_work_folder(spark))
     fault = ~F.col("status").isin(OK, OUTSIDE)
     return (
         counted.groupBy("source", "tag")
@@ -47,3 +48,9 @@ def unknown_tables(profiled: DataFrame) -> DataFrame:
     return profiled.filter(F.col("tag").isNotNull() & ~F.col("known")).select(
         "source", "tag", "rows"
     )
+
+
+def runs_of_unknown_tables(spark: SparkSession, source: Source, registry: Registry | None = None) -> DataFrame:
+    """(source, tag, runs, rows) of tables that are not known; equal rows in a row are one run."""
+    rows, _ = survey(spark, source, registry or default_registry(), new_work_folder(spark))
+    return unknown_runs(rows)
