@@ -8,6 +8,7 @@ from tagloom.errors import IngestError
 from tagloom.plans.ingest import Source, ingest, read_table
 from tagloom.plans.profile import profile
 from tagloom.spec import Field, Registry, TableSpec, default_registry
+from tagloom.streaming.compact import compact
 from tagloom.streaming.ingest import ingest_stream
 
 __all__ = [
@@ -16,6 +17,7 @@ __all__ = [
     "Registry",
     "Source",
     "TableSpec",
+    "compact",
     "default_registry",
     "ingest",
     "ingest_stream",

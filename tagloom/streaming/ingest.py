@@ -24,8 +24,8 @@ from tagloom.plans.sink import create_database, replace_partition
 from tagloom.plans.workspace import new_run_id, work_folder
 from tagloom.sources.archive import ZIP_GLOB
 from tagloom.spec import Registry, default_registry
+from tagloom.streaming.compact import BATCH, STREAM, finish
 
-STREAM, BATCH = "stream_id", "batch_id"
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 _REJECT_COLUMNS = (
     "source string, violations array<struct<rule:string,column:string,value:string>>, row_xml string, "
@@ -52,10 +52,12 @@ def ingest_stream(
     own files just as `ingest` does. Tables are partitioned by stream and micro-batch, and a
     repeated batch replaces its own partition, so every file is loaded once even where a
     batch fails half way. The name of a stream is kept in its checkpoint: other streams
-    into the same database, and this one with a new checkpoint, add to its rows.
+    into the same database, and this one with a new checkpoint, add to its rows. `compact` merges
+    the partitions of old batches.
     """
     registry = registry or default_registry()
     _create_tables(spark, database, registry)
+    finish(spark, database)
     stream_id = _stream_id(spark, checkpoint)
     reader = spark.readStream.format("binaryFile").schema(_FILES)
     if max_files_per_trigger:
