@@ -41,12 +41,14 @@ from tagloom.plans.workspace import (
 from tagloom.sources import Layout, layout, read_archive_records, read_records, read_whole_rows
 from tagloom.sources.archive import ZIP_GLOB
 from tagloom.sources.documents import BAD_DOCUMENT, empty_files, list_files
-from tagloom.spec import Registry, TableSpec, default_registry
+from tagloom.sources.heads import UTF8
+from tagloom.spec import Registry, default_registry
 
 # Fixed value: the document inside an archive.
 DEFAULT_MEMBER = "SolutionDataset.xml"
 
 TEXT, ZIP, WHOLE = "text", "zip", "whole"
+DECODED = "decoded"  # in place of an encoding: text of archives
 STRICT, QUARANTINE = "strict", "quarantine"
 
 
@@ -77,14 +79,14 @@ class Source:
         read = [r.source for r in list_files(spark, paths, glob).select("source").collect()]
         empty = empty_files(spark, paths, glob, read)
         if self.kind == ZIP:
-            return Layout(cut={self.prefix or "": paths}, empty=empty)
+            return Layout(cut={(self.prefix or "", DECODED): paths}, empty=empty)
         return Layout(whole=paths, empty=empty)
 
-    def records(self, spark: SparkSession, found: Layout) -> dict[str, DataFrame]:
-        """The records of the files that are cut, by prefix."""
+    def records(self, spark: SparkSession, found: Layout) -> dict[tuple[str, str], DataFrame]:
+        """The records of the files that are cut, by prefix and encoding."""
         if self.kind == ZIP:
-            return {p: read_archive_records(spark, f, self.member, p) for p, f in found.cut.items()}
-        return {p: read_records(spark, files, p) for p, files in found.cut.items()}
+            return {k: read_archive_records(spark, f, self.member, k[0]) for k, f in found.cut.items()}
+        return {(p, e): read_records(spark, files, p, e) for (p, e), files in found.cut.items()}
 
     def whole_rows(
         self, spark: SparkSession, registry: Registry, paths: list[str], only: DataFrame | None = None
@@ -126,10 +128,10 @@ def stage(
     found = source.layout(spark)
     parts = []
     with small_methods(spark):
-        for number, (prefix, records) in enumerate(source.records(spark, found).items()):
+        for number, ((prefix, encoding), records) in enumerate(source.records(spark, found).items()):
             first = store(type_plain(records, registry, prefix), work, f"first{number}")
             others = first.filter(~F.col("done")).select("source", "split", "at", "source_status", "record")
-            rows = split_rows(others, registry, prefix, decoded=source.kind == ZIP)
+            rows = split_rows(others, registry, prefix, decoded=encoding != UTF8)
             second = store(type_rows(rows, registry), work, f"second{number}")
             parts.append(plain_rows(first, second, registry).unionAll(second))
         if found.whole:
@@ -145,8 +147,8 @@ def survey(spark: SparkSession, source: Source, registry: Registry, work: str) -
     found = source.layout(spark)
     parts = []
     with small_methods(spark):
-        for number, (prefix, records) in enumerate(source.records(spark, found).items()):
-            rows = split_rows(records, registry, prefix, decoded=source.kind == ZIP)
+        for number, ((prefix, encoding), records) in enumerate(source.records(spark, found).items()):
+            rows = split_rows(records, registry, prefix, decoded=encoding != UTF8)
             parts.append(store(untyped_rows(rows, registry), work, f"rows{number}"))
         if found.whole:
             parts.append(store(untyped_rows(source.whole_rows(spark, registry, found.whole), registry), work, "whole"))

@@ -73,7 +73,7 @@ def _cut(stream: BinaryIO, sep: str, block_bytes: int) -> Iterator[str | None]:
     A document whose root has another prefix than `sep` gives None: it is read as a whole.
     """
     first = stream.read(block_bytes)
-    way, prefix = read_head(io.BytesIO(_without_declaration(first)))
+    way, prefix, _ = read_head(io.BytesIO(_without_declaration(first)))
     if first and way == CUT and separator(prefix) != sep:
         yield None
         return

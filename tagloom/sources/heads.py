@@ -7,6 +7,7 @@ Spark lists files.
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,11 +24,20 @@ ROOT = re.compile(rb"<(?:([A-Za-z_][\w.-]*):)?[A-Za-z_\x80-\xff][^\s/>:]*[\s/>]"
 ASCII_BASED = ("utf-8", "utf8", "utf-8-sig", "us-ascii", "ascii")
 
 
+#: Encodings of one byte a character that agree with ASCII, by their names in Python.
+SINGLE_BYTE = {
+    *(f"iso8859-{k}" for k in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 13, 14, 15, 16)),
+    *(f"cp125{k}" for k in range(9)),
+    *("koi8-r", "koi8-u", "mac-roman", "cp437", "cp850", "cp852", "cp866"),
+}
+UTF8 = "utf-8"
+
+
 @dataclass
 class Layout:
-    """Files by the way they are read: cut at row starts, by prefix; as a whole; not at all."""
+    """Files by the way they are read: cut at row starts, by prefix and encoding; as a whole; not at all."""
 
-    cut: dict[str, list[str]] = field(default_factory=dict)
+    cut: dict[tuple[str, str], list[str]] = field(default_factory=dict)
     whole: list[str] = field(default_factory=list)
     empty: list[str] = field(default_factory=list)
 
@@ -35,11 +45,12 @@ class Layout:
 def layout(spark: SparkSession, paths: str | list[str], prefix: str | None = None) -> Layout:
     """How to read the files of `paths`; a given `prefix` is taken for all of them."""
     found = Layout()
-    heads = list_files(spark, paths).mapInArrow(_heads, "source string, path string, way string, prefix string").collect()
+    heads = list_files(spark, paths).mapInArrow(_heads, "source string, path string, way string, prefix string, encoding string").collect()
     found.empty = empty_files(spark, paths, None, [h.source for h in heads])
     for head in heads:
         if head.way == CUT:
-            found.cut.setdefault(head.prefix if prefix is None else prefix, []).append(head.path)
+            key = (head.prefix if prefix is None else prefix, head.encoding)
+            found.cut.setdefault(key, []).append(head.path)
         else:
             found.whole.append(head.path)
     return found
@@ -51,17 +62,30 @@ def _heads(batches) -> Iterator[pa.RecordBatch]:
         for path in batch.column("path").to_pylist():
             with open_file(path) as stream:
                 ways.append(read_head(stream))
+        told = [pa.array(column, pa.string()) for column in (zip(*ways) if ways else [()] * 3)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("source"), batch.column("path"), pa.array([w for w, _ in ways], pa.string()), pa.array([p for _, p in ways], pa.string())],
-            ["source", "path", "way", "prefix"],
+            [batch.column("source"), batch.column("path"), *told], ["source", "path", "way", "prefix", "encoding"]
         )
 
 
-def read_head(stream: BinaryIO) -> tuple[str, str]:
-    """(way, prefix of the root). Whole: other encodings, a DOCTYPE, or no root in sight."""
+def cuttable(encoding: str) -> str | None:
+    """The name of an encoding in which files can be cut at bytes, or None."""
+    if encoding.lower() in ASCII_BASED:
+        return UTF8
+    try:
+        name = codecs.lookup(encoding).name
+    except LookupError:
+        return None
+    return name if name in SINGLE_BYTE else None
+
+
+def read_head(stream: BinaryIO) -> tuple[str, str, str]:
+    """(way, prefix of the root, encoding). Whole: wide or unknown encodings, a DOCTYPE, or no root in sight."""
     held = stream.read(READ_BYTES)
-    if encoding_of(held).lower() not in ASCII_BASED or b"\x00" in held[:4]:
-        return WHOLE, ""
+    encoding = cuttable(encoding_of(held))
+    whole = WHOLE, "", ""
+    if encoding is None or b"\x00" in held[:4]:
+        return whole
     at = 3 if held.startswith(b"\xef\xbb\xbf") else 0
     while True:
         at = re.compile(rb"\s*").match(held, at).end()
@@ -71,13 +95,13 @@ def read_head(stream: BinaryIO) -> tuple[str, str]:
         elif held.startswith(b"<!--", at):
             end = held.find(b"-->", at)
         elif root := ROOT.match(held, at):
-            return CUT, (root.group(1) or b"").decode("ascii")
+            return CUT, (root.group(1) or b"").decode("ascii"), encoding
         elif len(held) - at > 9 and not (held[at : at + 1] == b"<" and re.match(rb"<[^\s/>]*\Z", held[at:])):
-            return WHOLE, ""
+            return whole
         if end is not None and end >= 0:
             at = held.index(b">", end) + 1
             continue
         data = stream.read(READ_BYTES)
         if not data:
-            return WHOLE, ""
+            return whole
         held, at = held[at:] + data, 0

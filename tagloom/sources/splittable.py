@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tagloom.errors import IngestError
+from tagloom.sources.heads import UTF8
 
 PREFIX_SHAPE = re.compile(r"^[A-Za-z_][\w.-]*$")
 
@@ -29,16 +30,25 @@ def separator(prefix: str = "") -> str:
     return f"<{prefix}:t_" if prefix else "<t_"
 
 
-def _named(raw: DataFrame) -> DataFrame:
+def decoded(value: Column, encoding: str) -> Column:
+    """Text of bytes in an encoding of one byte a character; a byte that stands for nothing becomes U+0001, which XML forbids."""
+    upper = bytes(range(0x80, 0x100))
+    table = "".join(bytes([b]).decode(encoding, "replace").replace("\ufffd", "\x01") for b in upper)
+    return F.translate(F.decode(value.cast("binary"), "ISO-8859-1"), upper.decode("latin-1"), table)
+
+
+def read_records(spark: SparkSession, paths: str | list[str], prefix: str = "", encoding: str = UTF8) -> DataFrame:
+    """(source, split, at, source_status, record) of XML files; `split` and `at` order a file's records.
+
+    The separator is ASCII, so files in encodings of one byte a character are cut like those in UTF-8, and their
+    records are decoded in the JVM.
+    """
+    raw = spark.read.option("lineSep", separator(prefix)).text(paths)
+    value = F.col("value")
     return raw.select(
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("at"),
         F.lit("ok").alias("source_status"),
-        F.col("value").alias("record"),
+        (value if encoding == UTF8 else decoded(value, encoding)).alias("record"),
     )
-
-
-def read_records(spark: SparkSession, paths: str | list[str], prefix: str = "") -> DataFrame:
-    """(source, split, at, source_status, record) of UTF-8 XML files; `split` and `at` order a file's records."""
-    return _named(spark.read.option("lineSep", separator(prefix)).text(paths))

@@ -150,3 +150,25 @@ def test_rows_with_unbound_prefixes_are_rejected_alone(spark, write, database):
     rejects = spark.table(f"{database}.t_object__rejects").select("violations.rule", "row_xml").collect()
     assert sorted(r.rule for r in rejects) == [["malformed_row"]] * 2
     assert all(r.row_xml.startswith("<t_object>") for r in rejects)
+
+
+@pytest.mark.parametrize("encoding", ["iso-8859-1", "windows-1252", "koi8-r"])
+def test_encodings_of_one_byte_are_cut(spark, write, monkeypatch, encoding):
+    def refuse(*_args, **_kwargs):
+        raise AssertionError("read as a whole")
+
+    monkeypatch.setattr("tagloom.plans.ingest.read_whole_rows", refuse)
+    name = {"iso-8859-1": "ñ ß ½", "windows-1252": "€ ‰ “ÿ”", "koi8-r": "Ж я ═"}[encoding]
+    text = document("<w>", *[row(name=f"{name}{k}") for k in range(20)], "</w>", head=f'<?xml version="1.0" encoding="{encoding}"?>\n')
+    folder = write(text.encode(encoding), document(row()))
+    with splits_of(spark, 700):
+        assert _rows_of(spark, Source(folder)) == sorted([values(name=f"{name}{k}") for k in range(20)] + [values()], key=repr)
+
+
+def test_a_byte_that_stands_for_nothing_is_refused(spark, write):
+    head = '<?xml version="1.0" encoding="windows-1252"?>\n'
+    data = document(row(name="a"), row(name="bad!"), head=head).encode("cp1252").replace(b"bad!", b"\x81")
+    for kind in ("text", "whole"):
+        with pytest.raises(IngestError):
+            read_table(spark, Source(write(data), kind), "t_object")
+    assert [r.name for r in read_table(spark, Source(write(data)), "t_object", mode="quarantine").collect()] == ["a"]
