@@ -174,6 +174,16 @@ def zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, Source(folder, "zip", "part-*.xml"), "t_object")
 
 
+def document_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is said of archives that cannot be read, each in its way, and the rows of the others."""
+    source, database = Source(fx.faulty_archives(spark, sf_dir, MEMBER), "zip", MEMBER), _database(spark)
+    ingest(spark, source, database, mode="quarantine")
+    events = read_events(spark, database)
+    faults = events.filter("level = 'ERROR'").groupBy("rule").agg(F.count_distinct("source").alias("n"))
+    loaded = events.filter("rule = 'rows_loaded'").groupBy("rule").agg(F.sum("occurrences").alias("n"))
+    return faults.unionAll(loaded)
+
+
 def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected rows whose tags do not match."""
     database = _loaded(spark, sf_dir, fx.malformed_objects, mode="quarantine")
@@ -464,6 +474,7 @@ def queries() -> dict[str, Query]:
         "healed_documents": healed_documents,
         "zip_members": zip_members,
         "fault_places": fault_places,
+        "document_statuses": document_statuses,
         "unknown_table_runs": unknown_table_runs,
         "malformed_rows": malformed_rows,
         "damaged_documents": damaged_documents,
@@ -597,6 +608,11 @@ def oracle_sql() -> dict[str, str]:
         "element_profile_zip": _ELEMENTS,
         "healed_documents": _OBJECT,
         "zip_members": _OBJECT,
+        "document_statuses": """SELECT 'rows_loaded' AS rule, count(*) AS n FROM part WHERE p_partkey % 8 IN (0, 7)
+            UNION ALL SELECT CASE p_partkey % 8 WHEN 1 THEN 'encrypted_member' WHEN 2 THEN 'unsupported_compression'
+                WHEN 3 THEN 'member_missing' WHEN 4 THEN 'bad_archive' WHEN 5 THEN 'bad_document'
+                ELSE 'unknown_encoding' END, count(DISTINCT p_partkey % 8)
+            FROM part WHERE p_partkey % 8 NOT IN (0, 7) GROUP BY 1""",
         "fault_places": """SELECT p_partkey AS object_id, true AS at_byte, true AS at_line
             FROM part WHERE p_partkey % 10 IN (0, 3, 5)""",
         "unknown_table_runs": """

@@ -6,6 +6,7 @@ with the tables. Every document mixes all the given row elements.
 
 from __future__ import annotations
 
+import io
 import re
 import shutil
 import sys
@@ -115,6 +116,58 @@ def odd_documents(spark: SparkSession, sf_dir: str) -> list[str]:
     ]
 
 
+def numbered_documents(rows: DataFrame) -> str:
+    """Documents by the column `file`, with the rows in `value` in order of `at`; the folder has one folder for each."""
+    folder = fresh_folder(rows.sparkSession, "xml")
+    end = lambda at, tag: F.struct(F.lit(at).cast("bigint").alias("at"), F.lit(tag).alias("value"))
+    ends = F.explode(F.array(end(-1, "<SolutionDataset>"), end(1 << 60, "</SolutionDataset>"))).alias("e")
+    whole = rows.unionByName(rows.select("file").distinct().select("file", ends).select("file", "e.at", "e.value"))
+    ordered = whole.repartition(FILES, "file").sortWithinPartitions("file", "at")
+    ordered.select("file", "value").write.partitionBy("file").text(folder)
+    return folder
+
+
+def faulty_archives(spark: SparkSession, sf_dir: str, member: str) -> str:
+    """The objects by key modulo FILES in as many archives, of which all but the first and the last have a fault of their own."""
+    key = F.regexp_extract("value", r"<object_id>(\d+)<", 1).cast("bigint")
+    target = re.sub("^file:(//)?", "", fresh_folder(spark, "zip"))
+
+    def archive(k: int, text: bytes) -> bytes:
+        if k == 5:
+            text = b""
+        elif k == 6:
+            text = b'<?xml version="1.0" encoding="klingon"?>' + text
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as packed:
+            packed.writestr("Other.xml" if k == 3 else member, text)
+        data = bytearray(out.getvalue())
+        # flags and method stand in the local header and in the directory
+        for mark, flags in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):
+            at = data.index(mark) + flags
+            data[at] |= k == 1
+            data[at + 2] = 97 if k == 2 else data[at + 2]
+        return bytes(data[: len(data) // 2] if k == 4 else data)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(target)
+        system.create_dir(base)
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                k = int(re.search(r"/file=(\d+)/", path)[1])
+                with open_file(path) as document, system.open_output_stream(f"{base}/{k}.zip") as out:
+                    out.write(archive(k, document.read()))
+                yield pa.RecordBatch.from_pydict({"path": [f"{base}/{k}.zip"]})
+
+    def write() -> str:
+        rows = objects(spark, sf_dir).select((key % FILES).alias("file"), key.alias("at"), "value")
+        list_files(spark, numbered_documents(rows), "*.txt").select("path").mapInArrow(pack, "path string").count()
+        return target
+
+    return cached(spark, sf_dir, f"faulty/{member}", write)
+
+
 def alternating_documents(spark: SparkSession, sf_dir: str) -> str:
     """Suppliers in order of their keys, as rows of two unknown tables by turns; documents by key modulo FILES.
 
@@ -122,20 +175,14 @@ def alternating_documents(spark: SparkSession, sf_dir: str) -> str:
     """
 
     def text() -> str:
-        folder = fresh_folder(spark, "xml")
         key = F.col("s_suppkey")
         tag = F.when(key % 5 < 2, "t_band").otherwise("t_zone")
         row = F.concat(F.lit("<"), tag, F.lit("><id>"), key, F.lit("</id></"), tag, F.lit(">"))
         known = F.concat(F.lit("<t_key><key_id>"), key, F.lit("</key_id></t_key>"))
         both = F.concat(row, F.lit("\n"), F.when(key % 3 == 0, known).otherwise(""))
-        rows = table(spark, sf_dir, "supplier").select((key % FILES).alias("file"), key.alias("at"), both.alias("value"))
-        ends = rows.select("file").distinct().select(
-            "file", F.explode(F.array(F.struct(F.lit(-1).cast("bigint").alias("at"), F.lit("<SolutionDataset>").alias("value")),
-                                      F.struct(F.lit(1 << 60).alias("at"), F.lit("</SolutionDataset>").alias("value")))).alias("e")
-        ).select("file", "e.at", "e.value")
-        whole = rows.withColumn("at", F.col("at").cast("bigint")).unionByName(ends)
-        whole.repartition(FILES, "file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(folder)
-        return folder
+        return numbered_documents(
+            table(spark, sf_dir, "supplier").select((key % FILES).alias("file"), key.cast("bigint").alias("at"), both.alias("value"))
+        )
 
     return cached(spark, sf_dir, "alternating", text)
 
