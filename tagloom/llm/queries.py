@@ -151,16 +151,22 @@ def _strength_sql(level: str) -> str:
               FROM {level} WHERE n > 0))"""
 
 
-OP1_SQL = f"""
+OP1_SQL = rf"""
 WITH parsed AS (
     SELECT page_id, translate({_URL}, 1), {_LOWER}) AS host, {_URL}, 2) AS path FROM pages
 ), outcome AS (
     SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels
     WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id
-), hosts AS (
-    SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-           string_split(host, '.')[-1] AS suffix, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS k
+), counted AS (
+    SELECT host, rtrim(regexp_extract(host, '{urls.NAME}', 1), '.') AS name,
+           CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS k
     FROM parsed LEFT JOIN outcome ON page_id = doc_id GROUP BY host
+), suffixed AS (
+    SELECT *, regexp_matches(name, '{urls.ADDRESS}') AS address,
+           CASE WHEN address THEN '' ELSE regexp_extract(name, '(?:^|\.)({urls.SUFFIXES}|[^.]*)\z', 1) END AS suffix FROM counted
+), hosts AS (
+    SELECT host, n, k, suffix, CASE WHEN address OR length(name) <= length(suffix) + 1 THEN name
+        ELSE string_split(left(name, length(name) - length(suffix) - 1), '.')[-1] || '.' || suffix END AS domain FROM suffixed
 ), by_suffix AS (
     SELECT suffix, sum(n) AS n, sum(k) AS k, (SELECT (sum(k) + 0.1) / (sum(n) + 1) FROM hosts) AS m
     FROM hosts GROUP BY suffix

@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tagloom.llm.shared import Scratch, ascii_lower
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+#: A host without user, port and final dots; an address in digits or brackets.
+NAME, ADDRESS = r"(?s)^(?:.*@)?(\[[^\]]*\]|[^:]*)", r"(?s)^(?:\[.*|\d{1,3}(?:\.\d{1,3}){3})\z"
+#: Suffixes of two labels under which names are registered: a kind of body, then a country. Others have one label.
+SUFFIXES = r"(?:ac|co|com|edu|go|gob|gov|gouv|ltd|me|mil|ne|net|nom|or|org|plc|sch)\.[a-z]{2}"
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,19 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, URL, 2), F.lit(""))
 
 
+def levels_of(host: Column, suffixes: str = SUFFIXES) -> tuple[Column, Column]:
+    """(registered domain, suffix) of a host; an address is its own domain and has the empty suffix.
+
+    `suffixes`: a pattern of the suffixes that have several labels.
+    """
+    name = F.rtrim(F.regexp_extract(host, NAME, 1), F.lit("."))
+    suffix = F.regexp_extract(name, rf"(?:^|\.)({suffixes}|[^.]*)\z", 1)
+    before = F.substring(name, F.lit(1), F.greatest(F.lit(0), F.length(name) - F.length(suffix) - 1))
+    domain = F.when(before == "", name).otherwise(F.concat(F.substring_index(before, ".", -1), F.lit("."), suffix))
+    address = name.rlike(ADDRESS)
+    return F.when(address, name).otherwise(domain), F.when(address, "").otherwise(suffix)
+
+
 def rule_of(host: Column, path: Column, rules: Sequence[UrlRule]) -> Column:
     """(target, verdict) of the longest rule that fits, or null."""
     ordered = sorted(rules, key=lambda r: (-len(r.target), r.target))
@@ -66,14 +83,15 @@ def _spread(level: DataFrame, weakest: float, strongest: float) -> float:
 
 def reputation(
     pages: DataFrame, labels: DataFrame, scratch: Scratch | None = None, z: float = 1.645,
-    weakest: float = 2.0, strongest: float = 1000.0,
+    weakest: float = 2.0, strongest: float = 1000.0, suffixes: str = SUFFIXES,
 ) -> DataFrame:
     """(host, pages, n, k, rate, lower, upper): posterior bad rate of every host of `pages`.
 
     `pages`: page_id, host. `labels`: doc_id, quality, toxic; the document of a page has its
     id. A page is bad if any of its labels says quality 0 or toxic 1; pages whose labels are
     absent or null do not count. `lower` and `upper` are `z` standard deviations from the
-    posterior mean. Hosts are grouped with partial counts, so a large one is no large group.
+    posterior mean. Registered domains and suffixes are those of `levels_of`. Hosts are grouped
+    with partial counts, so a large one is no large group.
     """
     scratch = scratch or Scratch(pages.sparkSession)
     bad = F.when(F.expr("quality = 0 OR toxic = 1"), 1).when(F.expr("quality IS NOT NULL OR toxic IS NOT NULL"), 0)
@@ -81,7 +99,7 @@ def reputation(
     hosts = scratch.keep(
         pages.select(F.col("page_id").alias("doc_id"), "host").join(outcome, "doc_id", "left")
         .groupBy("host").agg(F.count("*").alias("pages"), F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
-        .withColumns({"domain": F.substring_index("host", ".", -2), "suffix": F.substring_index("host", ".", -1)})
+        .withColumns(dict(zip(("domain", "suffix"), levels_of(F.col("host"), suffixes))))
     )
     total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     overall = ((total["k"] or 0) + 0.1) / ((total["n"] or 0) + 1)  # without any label: a tenth

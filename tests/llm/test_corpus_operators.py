@@ -41,6 +41,18 @@ def test_hosts_paths_and_the_longest_rule(spark):
     assert urls.judge_urls(pages.limit(0), labels, URL_RULES).collect() == []
 
 
+LEVELS = {
+    "a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "uk": ("uk", "uk"), "x.com": ("x.com", "com"), "y.x.com.": ("x.com", "com"),
+    "a.co.uk:8080": ("a.co.uk", "co.uk"), "me:pw@www.x.org:1": ("x.org", "org"), "10.0.0.1": ("10.0.0.1", ""), "10.0.0.1:80": ("10.0.0.1", ""),
+    "[::1]:80": ("[::1]", ""), "": ("", ""), "com.example": ("com.example", "example"), "a.com.au": ("a.com.au", "com.au"), "com": ("com", "com"),
+}
+
+
+def test_registered_domains_and_suffixes(spark):
+    hosts = spark.createDataFrame([(h,) for h in LEVELS], "host string")
+    assert {r[0]: (r[1], r[2]) for r in hosts.select("host", *urls.levels_of(F.col("host"))).collect()} == LEVELS
+
+
 def test_reputation_equals_the_formulas_and_blocks_bad_hosts(spark):
     rng = np.random.default_rng(4)
     rates = {f"h{k}.{d}.{s}": r for s in ("com", "net") for d, r in (("good", 0.05), ("bad", 0.8)) for k in range(4)}
