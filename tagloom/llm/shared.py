@@ -50,11 +50,13 @@ def unused(columns: Iterable[str], prefix: str = "_") -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; the warehouse where that is unset, since all nodes see it too."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir"
-    )
-    return named.rstrip("/")
+    """`spark.checkpoint.dir`; the warehouse where that is unset, unless that is the driver's own disk on a cluster."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if (warehouse.startswith("file:") or "://" not in warehouse) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+    return warehouse
 
 
 class Scratch:

@@ -272,6 +272,49 @@ def test_toxic_documents_and_their_sentences_are_found_on_held_out_rows(spark):
     assert texts[902][found[902]["sentences"][0]["start"] : found[902]["sentences"][0]["end"]] == "İ scum."
 
 
+def plain_noisy_or(text, weights, bias, leak):
+    """Sentence by sentence, word by word: the chance that neither the leak nor any sentence makes the document toxic."""
+    quiet, scores = 1 - leak, []
+    for sentence in re.findall(r"[^.!?\n]*[.!?\n]*", text or ""):
+        words = {w for w in re.findall(r"[^\W\d_]+", sentence.lower()) if w in weights}
+        if words:
+            scores.append(1 / (1 + np.exp(-(bias + sum(weights[w] for w in words)))))
+            quiet *= 1 - scores[-1]
+    return 1 - quiet, sorted(scores, reverse=True)
+
+
+def test_scores_are_the_noisy_or_of_sentence_scores(spark):
+    docs, _ = toxic_tables(spark)
+    model = toxicity.Model({"scum": 1.5, "sun": -0.7, "idiot": 2.25, "moon": 0.1, "moron": 4.0}, -3.0, 0.02)
+    texts = docs.select("doc_id", "text").filter("doc_id IS NULL OR doc_id <> 902").collect()
+    found = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    for d, text in texts:
+        score, sentences = plain_noisy_or(text, model.weights, model.bias, model.leak)
+        assert found[d]["score"] == pytest.approx(score, abs=1e-12)
+        assert [x["score"] for x in found[d]["sentences"]] == pytest.approx(sentences, abs=1e-12)
+
+
+def test_training_climbs_the_likelihood_of_the_noisy_or():
+    """What `_train` finds is a maximum of the penalised likelihood: every small step away is worse."""
+    rng = np.random.default_rng(2)
+    bags = [[sorted(set(rng.integers(0, 4, size=rng.integers(1, 3)).tolist())) for _ in range(rng.integers(0, 5))] for _ in range(300)]
+    truth = np.array([3.0, -2.0, 1.0, -1.0])
+    labels = [int(rng.random() < 1 - 0.98 * np.prod([1 - 1 / (1 + np.exp(1 - truth[s].sum())) for s in bag])) for bag in bags]
+    model = toxicity._train(list("abcd"), labels, bags, 1e-3, 3000)
+
+    def value(params):
+        total = 0.0
+        for y, bag in zip(labels, bags):
+            toxic, _ = 1 - (1 - model.leak) * np.prod([1 - 1 / (1 + np.exp(-(params[-1] + params[s].sum()))) for s in bag]), None
+            total += np.log(max(toxic, 1e-12)) if y else np.log(1 - toxic)
+        return total / len(labels) - 1e-3 / 2 * (params**2).sum()
+
+    best = np.array([*(model.weights[w] for w in "abcd"), model.bias])
+    for k in range(5):
+        for step in (-0.2, 0.2):
+            assert value(best + step * np.eye(5)[k]) < value(best)
+
+
 def test_held_out_labels_are_never_learnt_from(spark):
     docs, labels = toxic_tables(spark)
     kept = [k for k in range(400) if zlib.crc32(str(k).encode()) % 4 == 2]
