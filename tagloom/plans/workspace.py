@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tagloom.errors import IngestError
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every node sees: `spark.checkpoint.dir`, or the warehouse where that is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    """The folder every node sees: `spark.checkpoint.dir`, or the warehouse where that is unset.
+
+    A warehouse on the driver's own disk will not do on a cluster.
+    """
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if (warehouse.startswith("file:") or "://" not in warehouse) and not spark.sparkContext.master.startswith("local"):
+        raise IngestError("set spark.checkpoint.dir to a folder that all nodes share")
+    return warehouse
 
 
 def new_run_id() -> str:
@@ -45,18 +55,32 @@ def work_folder(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+_lock = threading.Lock()
+#: By session: how many loads are under way, and the setting to go back to after the last.
+_small: dict[str, tuple[int, str]] = {}
+
+
 @contextmanager
 def small_methods(spark: SparkSession) -> Iterator[None]:
     """Keep generated methods small enough for the JVM to compile to machine code.
 
     HotSpot leaves methods over 8000 bytes interpreted, while Spark by default
     fuses operators up to 64 KB. A registry with many columns passes the former
-    limit; Spark then runs the typing projections faster as operators of their own.
+    limit; Spark then runs the typing projections faster as operators of their own. Loads of one
+    session at the same time share the setting; the last one puts it back.
     """
-    key = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "8000")
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        loads, before = _small.get(session) or (0, spark.conf.get(_METHOD_LIMIT))
+        _small[session] = loads + 1, before
+        spark.conf.set(_METHOD_LIMIT, "8000")
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _lock:
+            loads, before = _small.pop(session)
+            if loads > 1:
+                _small[session] = loads - 1, before
+            else:
+                spark.conf.set(_METHOD_LIMIT, before)
