@@ -49,12 +49,20 @@ def hilbert_index(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return place
 
 
-def _code(frame: DataFrame, name: str) -> Column:
-    """A dimension as a number in the order of its values; text by its first six bytes."""
-    if isinstance(frame.schema[name].dataType, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.col(name).cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(name).cast("double")
+def _coded(light: DataFrame, name: str, scratch: Scratch) -> DataFrame:
+    """`light` with a text column replaced by the rank of its value among all distinct ones, as a number; null stays null.
+
+    Values are counted before they are shuffled and range-partitioned by themselves, so a common one is one row.
+    """
+    parts = int(light.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = light.select(F.col(name).alias("value")).filter("value IS NOT NULL").distinct()
+    ordered = scratch.keep(
+        distinct.repartitionByRange(parts, "value").sortWithinPartitions("value").withColumn("at", F.monotonically_increasing_id())
+    )
+    ranked, _ = _ranked(ordered, "at")
+    ranks = ranked.select("value", F.col("rank").cast("double").alias("rank"))
+    kept = [c for c in light.columns if c != name]
+    return light.join(ranks, F.col(name) == F.col("value"), "left").select(*kept, F.col("rank").alias(name))
 
 
 def shards(
@@ -65,22 +73,29 @@ def shards(
 
     `size`: UTF-8 bytes of the text plus 8; `text_crc32`: of the same bytes; null counts as
     none. Rows are ordered by curve, crc and doc_id and cut into `count` runs whose lengths
-    differ by one at most; `slot` counts from 0 within a run. Nulls take the first cell of a
-    dimension. Fewer rows than shards leave the last shards empty. Equal rows are equal in
+    differ by one at most; `slot` counts from 0 within a run. Texts are coded by the rank of the whole
+    value. Nulls take the first cell of a dimension. Fewer rows than shards leave the last shards empty. Equal rows are equal in
     all but the slot. `row_key`: a hash of doc_id, text and dimensions, by which `write_shards`
     finds the row.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     names = [f"d{k}" for k in range(len(dimensions))]
+    texts = [d for d in dimensions if isinstance(docs.schema[d].dataType, T.StringType)]
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     light = scratch.keep(
         docs.select(
             "doc_id", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"),
             _row_key(docs, dimensions).alias("row_key"),
-            *[_code(docs, d).alias(n) for d, n in zip(dimensions, names)],
+            *[(F.col(d) if d in texts else F.col(d).cast("double")).alias(n) for d, n in zip(dimensions, names)],
         )
     )
+    if texts:
+        plain = light
+        for d, n in zip(dimensions, names):
+            light = _coded(light, n, scratch) if d in texts else light
+        light = scratch.keep(light)
+        scratch.drop(plain)
     cuts = [k / (1 << bits) for k in range(1, 1 << bits)]
     row = light.agg(*[F.percentile_approx(n, F.array(*map(F.lit, cuts)), F.lit(10_000)).alias(n) for n in names]).first()
     bounds = [np.unique(np.array(row[n] or [], float)) for n in names]

@@ -129,9 +129,28 @@ def test_shards_differ_by_one_row_and_slots_have_no_gap(spark, rows):
     assert [r["curve"] for r in ordered] == sorted(r["curve"] for r in found)
 
 
+def test_cells_and_places_on_the_curve_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    made = [
+        (k, "t", None if k % 50 == 7 else f"common-start-{rng.integers(40)}", f"s{rng.integers(600)}", None if k % 40 == 3 else int(rng.integers(5000)), "", 1)
+        for k in range(1500)
+    ]
+    found = {r["doc_id"]: r["curve"] for r in hilbert.shards(documents(spark, made)).collect()}
+    cells = []
+    for column in (2, 3, 4):
+        values = [r[column] for r in made]
+        ranks = {v: k for k, v in enumerate(sorted({v for v in values if v is not None}))} if column < 4 else {v: v for v in values}
+        codes = np.array([np.nan if v is None else ranks[v] for v in values], float)
+        known = np.sort(codes[~np.isnan(codes)])
+        bounds = np.unique([known[max(0, -(-k * len(known) // 256) - 1)] for k in range(1, 256)])
+        cells.append(np.where(np.isnan(codes), 0, np.searchsorted(bounds, codes, "left")) * 256 // (len(bounds) + 1))
+    place = hilbert.hilbert_index(np.stack(cells, 1))
+    assert [found[r[0]] for r in made] == place.tolist()
+
+
 def test_shards_narrow_every_dimension_and_are_written_as_files(spark, tmp_path):
     rng = np.random.default_rng(0)
-    made = [(k, "t", f"l{rng.integers(8)}", f"s{rng.integers(8):02}", int(rng.integers(1000)), "", 1) for k in range(2000)]
+    made = [(k, "t", f"l{rng.integers(8)}", f"https://common.example/{rng.integers(8):02}", int(rng.integers(1000)), "", 1) for k in range(2000)]
     docs = documents(spark, made)
     found = hilbert.shards(docs)
     rows = docs.drop("slot", "size").join(found, "doc_id").toPandas()
