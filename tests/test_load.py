@@ -365,7 +365,7 @@ def test_a_source_is_scanned_once(spark, write, monkeypatch):
 
     monkeypatch.setattr("tagloom.plans.ingest.store", kept)
     text, archive = write(document(row())), write(zipped(SolutionDataset=document(row())), suffix=".zip")
-    for folder, kind, scan in ((text, "text", "FileScan text"), (archive, "zip", "MapInArrow")):
+    for folder, kind, scan in ((text, "text", "FileScan text"), (archive, "zip", "BatchScan")):
         plans.clear()
         read_table(spark, Source(folder, kind), "t_object").collect()
         assert sum(plan.count(scan) for name, plan in plans if name.startswith("first")) == 1
@@ -439,3 +439,15 @@ def test_two_streams_into_one_database(spark, write, tmp_path, database):
 
 def test_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_members_of_an_archive_are_partitions(spark, write):
+    from tagloom.sources.members import Member, packed, read_members
+
+    folder = write(zipped(**{f"m{k:02}": document(row(name=f"n{k}")) for k in range(50)}), suffix=".zip")
+    archives = [(str(p), str(p)) for p in Path(folder).glob("*.zip")]
+    blocks = read_members(spark, archives, "m*.xml", "<t_", 1 << 20)
+    assert blocks.rdd.getNumPartitions() == 50
+    assert read_table(spark, Source(folder, "zip", "m*.xml"), "t_object").count() == 50
+    bins = packed([Member("s", "p", packed=k) for k in range(100)], 7)
+    assert len(bins) == 7 and max(sum(m.packed for m in b) for b in bins) - min(sum(m.packed for m in b) for b in bins) < 100
