@@ -194,19 +194,18 @@ def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fault_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether each rejected row begins at the byte and the line that its reject names."""
+    """Whether each rejected row begins at the byte and the line that its reject names.
+
+    The documents are read in pieces, each once, with the rejects that begin in it.
+    """
     folder, database = _text(spark, sf_dir, fx.malformed_objects), _database(spark)
     ingest(spark, folder, database, mode="quarantine")
-    texts = spark.read.text(folder.paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("source"), F.col("value").cast("binary").alias("bytes")
-    )
-    before = F.substring("bytes", F.lit(1), F.col("offset").cast("int")).cast("string")
-    there = F.substring("bytes", F.col("offset").cast("int") + 1, F.octet_length("row_xml")).cast("string")
+    found = fx.rows_at(spark, folder.paths, spark.table(f"{database}.t_object__rejects"))
     row_end = F.substring_index(F.col("row_xml"), "</t_object>", 1)
-    return spark.table(f"{database}.t_object__rejects").join(texts, "source").select(
+    return found.select(
         F.regexp_extract("row_xml", r"<object_id>(\d+)<", 1).cast("bigint").alias("object_id"),
-        there.startswith(row_end).alias("at_byte"),
-        (F.length(before) - F.length(F.replace(before, F.lit("\n"), F.lit(""))) + 1 == F.col("line")).alias("at_line"),
+        F.col("there").startswith(row_end).alias("at_byte"),
+        (F.col("line_there") == F.col("line")).alias("at_line"),
     )
 
 

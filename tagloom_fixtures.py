@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tagloom.plans.workspace import shared_folder
 from tagloom.sources.documents import list_files, open_file
@@ -195,6 +195,57 @@ def unfinished_documents(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+def rows_at(spark: SparkSession, folder: str, rejects: DataFrame, piece: int = 1 << 20) -> DataFrame:
+    """`rejects` with `there`, the text at their offset as long as they are, and `line_there`, the line it is in.
+
+    Found in the bytes of the documents, in pieces of a fixed size: line ends are counted by piece and summed up before each
+    piece, and a task that has the rejects of a piece reads that piece and what its last row needs behind it.
+    """
+    number = F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.expr(f"(length - 1) div {piece}")))).alias("piece")
+    pieces = list_files(spark, folder).select("source", "path", number).repartition("source", "piece")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = []
+            for path, k in zip(batch.column("path").to_pylist(), batch.column("piece").to_pylist()):
+                with open_file(path) as document:
+                    document.seek(k * piece)
+                    ends.append(document.read(piece).count(b"\n"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends, pa.int64())], ["source", "path", "piece", "ends"])
+
+    counted = pieces.mapInArrow(count, "source string, path string, piece bigint, ends bigint")
+    earlier = Window.partitionBy("source").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counted.select("source", "path", "piece", F.coalesce(F.sum("ends").over(earlier), F.lit(0)).alias("base"))
+    asked = rejects.withColumn("piece", F.expr(f"offset div {piece}")).join(bases, ["source", "piece"])
+    asked = asked.select("path", "piece", "base", "offset", "line", "row_xml").repartition("path", "piece")
+    asked = asked.sortWithinPartitions("path", "piece", "offset")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, data, seen, lines = None, b"", 0, 0
+        for batch in batches:
+            there, line_there = [], []
+            for row in batch.to_pylist():
+                start, size = row["offset"] - row["piece"] * piece, len(row["row_xml"].encode())
+                if held != (row["path"], row["piece"]):
+                    held, seen, lines = (row["path"], row["piece"]), 0, row["base"]
+                    with open_file(row["path"]) as document:
+                        document.seek(row["piece"] * piece)
+                        data = document.read(piece)
+                text = data[start : start + size]
+                if start + size > piece:
+                    with open_file(row["path"]) as document:
+                        document.seek(row["offset"])
+                        text = document.read(size)
+                lines += data.count(b"\n", seen, start)
+                seen = start
+                there.append(text.decode("utf-8", "replace"))
+                line_there.append(lines + 1)
+            columns = [*(batch.column(c) for c in ("line", "row_xml")), pa.array(there, pa.string()), pa.array(line_there, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["line", "row_xml", "there", "line_there"])
+
+    return asked.mapInArrow(look, "line bigint, row_xml string, there string, line_there bigint")
+
+
 def odd_guid_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GUIDs in braces, upper case, without hyphens, and malformed ones."""
     key = F.col("p_partkey")
