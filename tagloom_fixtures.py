@@ -189,10 +189,7 @@ def alternating_documents(spark: SparkSession, sf_dir: str) -> str:
 
 def unfinished_documents(spark: SparkSession, sf_dir: str) -> str:
     """The objects in documents whose root has no end tag."""
-    folder = fresh_folder(spark, "xml")
-    ended = spark.read.option("wholetext", True).text(documents(spark, sf_dir, objects))
-    ended.select(F.replace("value", F.lit("</SolutionDataset>"), F.lit("")).alias("value")).write.text(folder)
-    return folder
+    return write_documents(objects(spark, sf_dir), ended=False)
 
 
 def rows_at(spark: SparkSession, folder: str, rejects: DataFrame, piece: int = 1 << 20) -> DataFrame:
@@ -317,8 +314,8 @@ def fresh_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/tagloom_{what}_{uuid.uuid4().hex[:12]}"
 
 
-def write_documents(rows: DataFrame, files: int = FILES, prefix: str = "") -> str:
-    """Write XML documents into a fresh folder and return it."""
+def write_documents(rows: DataFrame, files: int = FILES, prefix: str = "", ended: bool = True) -> str:
+    """Write XML documents into a fresh folder and return it; those that are not `ended` lack the end tag of their root."""
     folder = fresh_folder(rows.sparkSession, "xml")
     root = f"{prefix}:SolutionDataset" if prefix else "SolutionDataset"
     declared = f"xmlns:{prefix}" if prefix else "xmlns"
@@ -329,7 +326,8 @@ def write_documents(rows: DataFrame, files: int = FILES, prefix: str = "") -> st
         yield pa.RecordBatch.from_pydict({"value": [opening]})
         for batch in batches:
             yield pa.RecordBatch.from_arrays(batch.columns, ["value"])
-        yield pa.RecordBatch.from_pydict({"value": [closing]})
+        if ended:
+            yield pa.RecordBatch.from_pydict({"value": [closing]})
 
     rows.repartition(files).mapInArrow(wrap, "value string").write.text(folder)
     return folder

@@ -28,3 +28,10 @@ def test_rows_are_found_at_their_bytes_and_lines_whatever_the_pieces(spark, tmp_
     for piece in (3, 7, 1 << 20):
         found = fx.rows_at(spark, str(tmp_path), rejects, piece).collect()
         assert sorted((r.line == r.line_there, r.there == r.row_xml) for r in found) == [(False, False)] + [(True, True)] * 4
+
+
+def test_unfinished_documents_are_whole_but_for_their_end(spark):
+    with splits_of(spark, 1000):
+        folder = fx.unfinished_documents(spark, SF)
+    texts = [p.read_text() for p in Path(folder.removeprefix("file:")).glob("*.txt")]
+    assert len(texts) == fx.FILES and all(t.startswith("<?xml") and t.rstrip().endswith("</t_object>") for t in texts)
