@@ -1,7 +1,8 @@
 """XML and ZIP documents made by Spark from the Parquet test tables.
 
 One document per partition: documents are written in parallel and grow in size
-with the tables. Every document mixes all the given row elements.
+with the tables. Every document mixes all the given row elements. What is shuffled for that are the values
+of the rows, not their XML.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ import sys
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import TaskContext, cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tagloom.plans.workspace import shared_folder
 from tagloom.sources.documents import list_files, open_file
@@ -93,7 +95,7 @@ def spelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         key.cast("string").alias("key"),
     )
     text = "format_string('<%1$s><key>%3$s</key><%2$s>g%3$s</%2$s></%1$s>', tag, child, key)"
-    return rows.select(F.expr(text).alias("value"))
+    return rows.repartition(FILES, "tag", "key").select(F.expr(text).alias("value"))
 
 
 def odd_documents(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -258,7 +260,7 @@ def odd_guid_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(table(spark, sf_dir, "part"), "t_object", columns)
 
 
-def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     order, cust = F.col("o_orderkey"), F.col("o_custkey")
     flag = lambda n: F.when(order % n == 0, "1").otherwise("0")
     columns = {
@@ -276,10 +278,14 @@ def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_summary": flag(4),
         "lang_id": order % 6,
     }
-    return _rows(table(spark, sf_dir, "orders"), "t_property", columns)
+    return _shaped(table(spark, sf_dir, "orders"), "t_property", columns)
 
 
-def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _texts(_properties(spark, sf_dir))
+
+
+def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = {
         "key_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         "membership_id": F.col("l_suppkey"),
@@ -287,22 +293,51 @@ def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         "property_id": F.col("l_partkey"),
         "period_type_id": F.col("l_linenumber") % 5,
     }
-    return _rows(table(spark, sf_dir, "lineitem"), "t_key", columns)
+    return _shaped(table(spark, sf_dir, "lineitem"), "t_key", columns)
 
 
-def bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table the default registry does not know."""
-    return _rows(table(spark, sf_dir, "supplier"), "t_band", {"band_id": F.col("s_suppkey")})
+def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _texts(_keys(spark, sf_dir))
 
 
 def everything(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [f(spark, sf_dir) for f in (objects, properties, keys, bands)]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
+    """Rows of all tables, one of them a table that the default registry does not know."""
+    parts = (
+        _shaped(table(spark, sf_dir, "part"), "t_object", _object_columns()),
+        _properties(spark, sf_dir),
+        _keys(spark, sf_dir),
+        _shaped(table(spark, sf_dir, "supplier"), "t_band", {"band_id": F.col("s_suppkey")}),
+    )
+    return _texts(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
 
 
 def _rows(source: DataFrame, tag: str, columns: dict[str, Column]) -> DataFrame:
-    row = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return source.select(F.to_xml(row, {"rowTag": tag}).alias("value"))
+    return _texts(_shaped(source, tag, columns))
+
+
+def _shaped(source: DataFrame, tag: str, columns: dict[str, Column]) -> DataFrame:
+    """The children of rows as one struct, in a column named as their tag."""
+    return source.select(F.struct(*[c.alias(n) for n, c in columns.items()]).alias(tag))
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    """Rows of one or several tables, dealt to FILES partitions and then written out as XML."""
+    schema = rows.schema
+    dealt = rows.repartition(FILES, *rows.columns)
+    texts = [F.when(F.col(f.name).isNotNull(), _element(f.name, f.dataType.fields)) for f in schema]
+    return dealt.select(F.coalesce(*texts).alias("value"))
+
+
+def _element(tag: str, fields: list[T.StructField]) -> Column:
+    """What `to_xml` makes of a struct of numbers and texts, several times as fast; a NULL has no element."""
+    children = []
+    for field in fields:
+        value = F.col(tag)[field.name]
+        if isinstance(field.dataType, T.StringType):
+            for char, entity in (("&", "&amp;"), ("<", "&lt;"), ("]]>", "]]&gt;")):
+                value = F.replace(value, F.lit(char), F.lit(entity))
+        children.append(F.concat(F.lit(f"    <{field.name}>"), value.cast("string"), F.lit(f"</{field.name}>")))
+    return F.concat_ws("\n", F.lit(f"<{tag}>"), *children, F.lit(f"</{tag}>"))
 
 
 def prefixed(rows: DataFrame, prefix: str) -> DataFrame:
@@ -314,13 +349,21 @@ def fresh_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/tagloom_{what}_{uuid.uuid4().hex[:12]}"
 
 
-def write_documents(rows: DataFrame, files: int = FILES, prefix: str = "", ended: bool = True) -> str:
-    """Write XML documents into a fresh folder and return it; those that are not `ended` lack the end tag of their root."""
-    folder = fresh_folder(rows.sparkSession, "xml")
+def _around(prefix: str = "") -> tuple[str, str]:
+    """What stands before and behind the rows of a document."""
     root = f"{prefix}:SolutionDataset" if prefix else "SolutionDataset"
     declared = f"xmlns:{prefix}" if prefix else "xmlns"
-    opening = f'<?xml version="1.0" encoding="utf-8"?>\n<{root} {declared}="{NAMESPACE}">'
-    closing = f"</{root}>"
+    return f'<?xml version="1.0" encoding="utf-8"?>\n<{root} {declared}="{NAMESPACE}">', f"</{root}>"
+
+
+def write_documents(rows: DataFrame, files: int | None = None, prefix: str = "", ended: bool = True) -> str:
+    """Write XML documents into a fresh folder and return it; those that are not `ended` lack the end tag of their root.
+
+    One document per partition of `rows`, or `files` documents. The rows are dealt by their hash, so that nothing is sorted
+    for the deal to be the same in a repeated task.
+    """
+    folder = fresh_folder(rows.sparkSession, "xml")
+    opening, closing = _around(prefix)
 
     def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"value": [opening]})
@@ -329,29 +372,31 @@ def write_documents(rows: DataFrame, files: int = FILES, prefix: str = "", ended
         if ended:
             yield pa.RecordBatch.from_pydict({"value": [closing]})
 
-    rows.repartition(files).mapInArrow(wrap, "value string").write.text(folder)
+    dealt = rows if files is None else rows.repartition(files, "value")
+    dealt.mapInArrow(wrap, "value string").write.text(folder)
     return folder
 
 
-def zip_documents(spark: SparkSession, folder: str, member: str) -> str:
-    """Pack every document of a folder into a ZIP file of its own; return the new folder."""
-    target = re.sub("^file:(//)?", "", fresh_folder(spark, "zip"))
+def zip_documents(rows: DataFrame, member: str) -> str:
+    """Write a document per partition of `rows` into a ZIP file of its own; return the folder."""
+    target = re.sub("^file:(//)?", "", fresh_folder(rows.sparkSession, "zip"))
+    opening, closing = _around()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         system, base = fs.FileSystem.from_uri(target)
         system.create_dir(base)
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                name = f"{base}/{path.rsplit('/', 1)[-1]}.zip"
-                with open_file(path) as document, system.open_output_stream(name) as out:
-                    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-                        with archive.open(member, "w", force_zip64=True) as inside:
-                            shutil.copyfileobj(document, inside, 1 << 20)
-                yield pa.RecordBatch.from_pydict({"path": [name]})
-
-    list_files(spark, folder, "*.txt").select("path").mapInArrow(pack, "path string").count()
+        name = f"{base}/{TaskContext.get().partitionId()}.zip"  # a repeated task replaces its own
+        with system.open_output_stream(name) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            with archive.open(member, "w", force_zip64=True) as inside:
+                inside.write(f"{opening}\n".encode())
+                for batch in batches:
+                    inside.write("".join(f"{text}\n" for text in batch.column(0).to_pylist()).encode())
+                inside.write(f"{closing}\n".encode())
+        yield pa.RecordBatch.from_pydict({"path": [name]})
+
+    rows.mapInArrow(pack, "path string").count()
     return target
 
 
@@ -403,8 +448,7 @@ def documents(spark: SparkSession, sf_dir: str, make: Callable, prefix: str = ""
 
 
 def archives(spark: SparkSession, sf_dir: str, make: Callable, member: str) -> str:
-    """Folder of the same documents as ZIP files."""
-    folder = documents(spark, sf_dir, make)
+    """Folder of the same documents as ZIP files, written from the rows: the plain documents need not be there."""
     return cached(
-        spark, sf_dir, f"{make.__name__}/zip/{member}", lambda: zip_documents(spark, folder, member)
+        spark, sf_dir, f"{make.__name__}/zip/{member}", lambda: zip_documents(make(spark, sf_dir), member)
     )

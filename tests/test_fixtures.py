@@ -35,3 +35,17 @@ def test_unfinished_documents_are_whole_but_for_their_end(spark):
         folder = fx.unfinished_documents(spark, SF)
     texts = [p.read_text() for p in Path(folder.removeprefix("file:")).glob("*.txt")]
     assert len(texts) == fx.FILES and all(t.startswith("<?xml") and t.rstrip().endswith("</t_object>") for t in texts)
+
+
+def test_rows_are_dealt_to_documents_without_a_sort(spark):
+    rows = fx.everything(spark, SF)
+    plan = rows._jdf.queryExecution().toString()
+    assert "RoundRobin" not in plan and rows.rdd.getNumPartitions() == fx.FILES
+
+
+def test_rows_are_written_as_to_xml_does(spark):
+    rows = spark.createDataFrame([(1, "a<&>\"'", None), (None, "", "]]>"), (-3, " é\n", "&amp;")], "n int, s string, o string")
+    row = F.struct("n", "s", "o")
+    shaped = rows.select(row.alias("t_x"))
+    expected = sorted(r[0] for r in rows.select(F.to_xml(row, {"rowTag": "t_x"})).collect())
+    assert sorted(r.value for r in fx._texts(shaped).collect()) == expected
