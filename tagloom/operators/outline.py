@@ -62,6 +62,27 @@ def _merged(parts: DataFrame, keys: list[str], order: str) -> DataFrame:
     return parts.groupBy(*keys).agg(reduced(F.flatten(F.transform(in_order, lambda p: p["tags"]))).alias("tags"))
 
 
+def _row_places(cut: DataFrame) -> DataFrame:
+    """(source, first_row, last_row) of all sources; by split first, as numbers, which is the only grouping of all records here."""
+    at = F.when(F.col("tag").isNotNull(), F.col("at"))
+    ends = cut.groupBy("source", "split").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    place = lambda c: F.when(F.col(c).isNotNull(), F.struct("split", F.col(c).alias("at")))
+    return ends.groupBy("source").agg(F.min(place("first")).alias("first_row"), F.max(place("last")).alias("last_row"))
+
+
+def _names_beside(cut: DataFrame) -> DataFrame:
+    """Places of the first and last loose tag of a source, and the prefixes it declares and uses; of the few records that tell."""
+    place, tagged = F.struct("split", "at"), F.size("loose.tags") > 0
+    used = F.concat(F.coalesce("loose.uses", F.array()), F.coalesce("foreign", F.array()))
+    return cut.filter("loose IS NOT NULL OR foreign IS NOT NULL").groupBy("source").agg(
+        F.min(F.when(tagged, place)).alias("first_tag"),
+        F.max(F.when(tagged, place)).alias("last_tag"),
+        F.min_by("loose.first_declares", F.when(tagged, place)).alias("scope"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.size("loose.declares") > 0, F.col("loose.declares"))))).alias("declares"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(F.size(used) > 0, used)))).alias("uses"),
+    )
+
+
 def outlines(typed: DataFrame) -> DataFrame:
     """(source, tags, enclosed, unbound, scoped) of each source that was cut.
 
@@ -74,22 +95,11 @@ def outlines(typed: DataFrame) -> DataFrame:
     stretches = _merged(loose.select("source", "split", "at", "loose.tags", stretch), ["source", "split", "stretch"], "at")
     splits = _merged(stretches, ["source", "split"], "stretch")
     documents = _merged(splits, ["source"], "split")
-    place, is_row = F.struct("split", "at"), F.col("tag").isNotNull()
-    tagged = F.size("loose.tags") > 0
-    used = F.concat(F.coalesce("loose.uses", F.array()), F.coalesce("foreign", F.array()))
-    names = cut.groupBy("source").agg(
-        F.min(F.when(is_row, place)).alias("first_row"),
-        F.max(F.when(is_row, place)).alias("last_row"),
-        F.min(F.when(tagged, place)).alias("first_tag"),
-        F.max(F.when(tagged, place)).alias("last_tag"),
-        F.min_by("loose.first_declares", F.when(tagged, place)).alias("scope"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(F.size("loose.declares") > 0, F.col("loose.declares"))))).alias("declares"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(F.size(used) > 0, used)))).alias("uses"),
-    )
+    rows, names = _row_places(cut), _names_beside(cut).join(documents, "source", "full")
+    names = rows.join(names, "source", "left").withColumns({c: F.coalesce(c, F.array().cast(_NO_NAMES)) for c in ("uses", "declares")})
     unbound = F.array_except("uses", F.coalesce("scope", F.array()))
     return (
-        names.join(documents, "source", "left")
-        .withColumn("unbound", unbound)
+        names.withColumn("unbound", unbound)
         .select(
             "source",
             F.coalesce("tags", F.array()).alias("tags"),

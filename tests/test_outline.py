@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom import IngestError, Source, ingest, profile, read_table
-from tagloom.operators.outline import reduced
+from tagloom.operators.outline import outlines, reduced
 from tagloom.plans.events import read_events
 from tests.helpers import document, row, values, zipped
 
@@ -172,3 +172,39 @@ def test_a_byte_that_stands_for_nothing_is_refused(spark, write):
         with pytest.raises(IngestError):
             read_table(spark, Source(write(data), kind), "t_object")
     assert [r.name for r in read_table(spark, Source(write(data)), "t_object", mode="quarantine").collect()] == ["a"]
+
+
+def _records(spark, records):
+    """Records of sources: (source, split, at, tag, names of loose tags, foreign prefixes)."""
+    some = "array<string>"
+    frame = spark.createDataFrame(records, f"source string, split bigint, at bigint, tag string, names {some}, foreign {some}")
+    none = F.array().cast(some)
+    loose = F.struct(F.col("names").alias("tags"), none.alias("first_declares"), none.alias("declares"), none.alias("uses"))
+    return frame.withColumn("loose", F.when(F.col("names").isNotNull(), loose)).drop("names")
+
+
+def test_outlines_tell_rows_beside_the_root_over_splits(spark):
+    row_, first, last = ("t_a", None, None), (None, ["r"], None), (None, ["/r"], None)
+    given = {
+        "around": [(0, 0, *first), (0, 1, *row_), (9, 1 << 33, *row_), (9, (1 << 33) + 1, *last)],
+        "behind": [(0, 0, *first), (0, 1, *row_), (9, 1 << 33, *last), (9, (1 << 33) + 1, *row_)],
+        "before": [(0, 0, *row_), (0, 1, *first), (9, 1 << 33, *last)],
+        "foreign": [(0, 0, *first), (0, 1, "t_a", None, ["q"]), (9, 1 << 33, *row_), (9, (1 << 33) + 1, *last)],
+        "untagged": [(0, 0, *row_), (9, 1 << 33, None, None, None)],
+        "empty": [(0, 0, None, None, None)],
+    }
+    found = outlines(_records(spark, [(name, *r) for name, records in given.items() for r in records])).collect()
+    assert {r.source: (r.tags, r.enclosed, r.unbound, r.scoped) for r in found} == {
+        "around": (["*"], True, [], False),
+        "behind": (["*"], False, [], False),
+        "before": (["*"], False, [], False),
+        "foreign": (["*"], True, ["q"], False),
+        "untagged": ([], None, [], False),
+        "empty": ([], True, [], False),
+    }
+
+
+def test_only_records_with_loose_tags_or_prefixes_are_collected_for_an_outline(spark):
+    plan = outlines(_records(spark, [("a", 0, 0, "t_a", None, None)]))._jdf.queryExecution().analyzed().toString().split("\n")
+    collected = [k for k, line in enumerate(plan) if "Aggregate [source" in line and "collect_set(" in line]
+    assert collected and all("isnotnull(loose" in next(line for line in plan[k:] if "Filter" in line) for k in collected)
