@@ -1,8 +1,8 @@
 """XML and ZIP documents made by Spark from the Parquet test tables.
 
 One document per partition: documents are written in parallel and grow in size
-with the tables. Every document mixes all the given row elements. What is shuffled for that are the values
-of the rows, not their XML.
+with the tables. Every document mixes all the given row elements. What is shuffled for that are the columns
+of the Parquet tables that rows are made of, not the rows or their XML.
 """
 
 from __future__ import annotations
@@ -39,6 +39,22 @@ def guid(key: Column) -> Column:
     return F.concat_ws("-", *[F.substring(digest, a, n) for a, n in ends])
 
 
+#: Columns of the tables that rows are made of.
+USED = {
+    "part": ("p_partkey", "p_name", "p_size"),
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
+    "lineitem": ("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"),
+    "supplier": ("s_suppkey",),
+}
+#: The children of rows by tag and name; made from the columns above.
+Shapes = dict[str, dict[str, Column]]
+
+
+def _used(spark: SparkSession, sf_dir: str, name: str, tag: str) -> DataFrame:
+    """The columns of a table that rows are made of, as one struct in a column named as the rows' tag."""
+    return table(spark, sf_dir, name).select(F.struct(*USED[name]).alias(tag))
+
+
 def _object_columns() -> dict[str, Column]:
     key = F.col("p_partkey")
     return {
@@ -53,7 +69,11 @@ def _object_columns() -> dict[str, Column]:
 
 
 def objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(table(spark, sf_dir, "part"), "t_object", _object_columns())
+    return _objects(spark, sf_dir, _object_columns())
+
+
+def _objects(spark: SparkSession, sf_dir: str, columns: dict[str, Column]) -> DataFrame:
+    return _texts(_used(spark, sf_dir, "part", "t_object"), {"t_object": columns})
 
 
 def bad_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +89,7 @@ def bad_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns["category_id"] = F.when(key % 13 == 0, "").otherwise(columns["category_id"].cast("string"))
     columns["index"] = F.when(key % 17 == 0, "3000000000").otherwise(columns["index"].cast("string"))
     columns["note"] = F.lit("not declared")
-    return _rows(table(spark, sf_dir, "part"), "t_object", columns)
+    return _objects(spark, sf_dir, columns)
 
 
 def malformed_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,13 +277,13 @@ def odd_guid_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 5 == 3, F.concat(F.lit("nope-"), key.cast("string")))
         .otherwise(good)
     )
-    return _rows(table(spark, sf_dir, "part"), "t_object", columns)
+    return _objects(spark, sf_dir, columns)
 
 
-def _properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _property_columns() -> dict[str, Column]:
     order, cust = F.col("o_orderkey"), F.col("o_custkey")
     flag = lambda n: F.when(order % n == 0, "1").otherwise("0")
-    columns = {
+    return {
         "property_id": order,
         "collection_id": cust,
         "enum_id": F.when(order % 5 == 0, None)
@@ -278,53 +298,50 @@ def _properties(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_summary": flag(4),
         "lang_id": order % 6,
     }
-    return _shaped(table(spark, sf_dir, "orders"), "t_property", columns)
 
 
 def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _texts(_properties(spark, sf_dir))
+    return _texts(_used(spark, sf_dir, "orders", "t_property"), {"t_property": _property_columns()})
 
 
-def _keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = {
+def _key_columns() -> dict[str, Column]:
+    return {
         "key_id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
         "membership_id": F.col("l_suppkey"),
         "phase_id": F.col("l_linenumber"),
         "property_id": F.col("l_partkey"),
         "period_type_id": F.col("l_linenumber") % 5,
     }
-    return _shaped(table(spark, sf_dir, "lineitem"), "t_key", columns)
 
 
 def keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _texts(_keys(spark, sf_dir))
+    return _texts(_used(spark, sf_dir, "lineitem", "t_key"), {"t_key": _key_columns()})
 
 
 def everything(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of all tables, one of them a table that the default registry does not know."""
-    parts = (
-        _shaped(table(spark, sf_dir, "part"), "t_object", _object_columns()),
-        _properties(spark, sf_dir),
-        _keys(spark, sf_dir),
-        _shaped(table(spark, sf_dir, "supplier"), "t_band", {"band_id": F.col("s_suppkey")}),
-    )
-    return _texts(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
-
-
-def _rows(source: DataFrame, tag: str, columns: dict[str, Column]) -> DataFrame:
-    return _texts(_shaped(source, tag, columns))
-
+    shapes = {
+        "t_object": _object_columns(),
+        "t_property": _property_columns(),
+        "t_key": _key_columns(),
+        "t_band": {"band_id": F.col("s_suppkey")},
+    }
+    parts = [_used(spark, sf_dir, name, tag) for name, tag in zip(("part", "orders", "lineitem", "supplier"), shapes)]
+    return _texts(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), shapes)
 
-def _shaped(source: DataFrame, tag: str, columns: dict[str, Column]) -> DataFrame:
-    """The children of rows as one struct, in a column named as their tag."""
-    return source.select(F.struct(*[c.alias(n) for n, c in columns.items()]).alias(tag))
 
+def _texts(rows: DataFrame, shapes: Shapes | None = None) -> DataFrame:
+    """Rows of one or several tables, dealt to FILES partitions, then shaped and written out as XML.
 
-def _texts(rows: DataFrame) -> DataFrame:
-    """Rows of one or several tables, dealt to FILES partitions and then written out as XML."""
-    schema = rows.schema
+    `rows` has a struct for each tag; a tag's children are made from its fields by `shapes`, or are these fields.
+    """
     dealt = rows.repartition(FILES, *rows.columns)
-    texts = [F.when(F.col(f.name).isNotNull(), _element(f.name, f.dataType.fields)) for f in schema]
+    if shapes:
+        flat = dealt.select("*", *[f"{tag}.*" for tag in shapes])
+        dealt = flat.select(
+            *[F.when(F.col(tag).isNotNull(), F.struct(*[c.alias(n) for n, c in shapes[tag].items()])).alias(tag) for tag in shapes]
+        )
+    texts = [F.when(F.col(f.name).isNotNull(), _element(f.name, f.dataType.fields)) for f in dealt.schema]
     return dealt.select(F.coalesce(*texts).alias("value"))
 
 

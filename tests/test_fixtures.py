@@ -49,3 +49,10 @@ def test_rows_are_written_as_to_xml_does(spark):
     shaped = rows.select(row.alias("t_x"))
     expected = sorted(r[0] for r in rows.select(F.to_xml(row, {"rowTag": "t_x"})).collect())
     assert sorted(r.value for r in fx._texts(shaped).collect()) == expected
+
+
+def test_what_is_shuffled_are_columns_of_the_tables(spark):
+    """Values made from others (ten of a property's, GUIDs) come after the deal."""
+    plan = fx.everything(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    before = plan[plan.index("RepartitionByExpression") :]
+    assert "md5(" in plan and "md5(" not in before and "enum_id" not in before and "lang_id" not in before
