@@ -5,6 +5,9 @@ pattern recognises such a record as a whole, well formed and complete; its
 values then are plain substrings, with no XML parser involved. Everything else
 takes the general way of `tagloom.operators.rows`. Both give the same values and
 refuse the same rows, so it does not matter which of them a row takes.
+
+Of these records most have the children of a known table, each once and in declared order. One pattern per
+table gives the texts of all of them at once; only for the others are children looked up one by one.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from operator import or_
 
 from pyspark.sql import Column, functions as F
 
-from tagloom.spec import Registry
+from tagloom.spec import Registry, TableSpec
 
 # The pattern recurses once per child element; longer records are parsed instead.
 MAX_BYTES = 8192
@@ -26,6 +29,8 @@ _NAME = f"[{string.ascii_lowercase}_][{string.ascii_lowercase}{string.digits}" +
 _TEXT = "[^<&" + "".join(rf"\x{i:02x}" for i in range(32) if chr(i) not in "\t\n") + "]*+"
 # Not allowed in XML text besides what the pattern excludes.
 _REFUSED = ("]]>", "\ufffe", "\uffff")
+#: Stands before each text of a record in order; the pattern allows it in none.
+_MARK = "\x01"
 
 
 def _qualified(prefix: str) -> str:
@@ -59,6 +64,37 @@ def is_plain(record: Column, registry: Registry, prefix: str = "") -> Column:
     )
 
 
+def ordered_texts(record: Column, registry: Registry, prefix: str = "") -> Column:
+    """The texts of all children of a plain record of a known table with its children in declared order, in that order behind an empty one.
+
+    NULL for all other records. Optional children may be absent, then their text is empty; where they are not, a `<` is behind it.
+    """
+    joined = F.lit(None).cast("string")
+    for spec in registry:
+        pattern, texts = _ordered(spec, prefix)
+        joined = F.when(record.startswith(f"{spec.name.removeprefix('t_')}>"), F.regexp_replace(record, pattern, texts)).otherwise(joined)
+    # what is not UTF-8 has become U+FFFD; where there is one, the other ways tell
+    clean = joined.startswith(_MARK) & ~reduce(or_, [joined.contains(text) for text in (*_REFUSED, "\ufffd")])
+    return F.when((F.octet_length(record) <= MAX_BYTES) & clean, F.split(joined, _MARK))
+
+
+def _ordered(spec: TableSpec, prefix: str) -> tuple[str, str]:
+    """Pattern of such a record of one table, and what takes its place: the texts with marks before them."""
+    q, children = re.escape(_qualified(prefix)), []
+    for f in spec.fields:
+        name = q + re.escape(f.source)
+        children.append(f"{_SPACE}<{name}>({_TEXT})</{name}>" if f.required else f"(?:{_SPACE}<{name}>({_TEXT}<)/{name}>)?+")
+    row = re.escape(spec.name.removeprefix("t_"))
+    pattern = rf"^{row}>{''.join(children)}{_SPACE}</{q}t_{row}>{_SPACE}\z"
+    return pattern, _MARK + _MARK.join(f"${i}" for i in range(1, len(children) + 1))
+
+
+def ordered_text(texts: Column, number: int, required: bool) -> Column:
+    """One text of `ordered_texts`, of the child with that number from 0; NULL where it is absent."""
+    text = F.get(texts, F.lit(number + 1))
+    return text if required else F.when(text != "", F.substring_index(text, "<", 1))
+
+
 def plain_tag(record: Column) -> Column:
     return F.concat(F.lit("t_"), F.substring_index(record, ">", 1))
 

@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tagloom.functions.convert import strip
-from tagloom.operators.plain import is_plain, plain_child, plain_elements, plain_tag
+from tagloom.operators.plain import is_plain, ordered_text, ordered_texts, plain_child, plain_elements, plain_tag
 from tagloom.operators.rows import LOOSE, MALFORMED, OK, line_ends, row_bytes
 from tagloom.spec import Field, Registry, TableSpec
 
@@ -32,21 +32,20 @@ def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> Data
     `type_rows`. All tables are typed in one pass, so a source is read once
     however many tables it holds. Good rows of unknown tables are done, too.
     """
-    record, tag = F.col("record"), F.col("tag")
-    tagged = records.select(
-        "source",
-        "split",
-        "at",
-        "source_status",
-        "record",
-        F.when(is_plain(record, registry, prefix), plain_tag(record)).alias("tag"),
-    )
+    record, texts, tag = F.col("record"), F.col("texts"), F.col("tag")
+    ordered = records.select("source", "split", "at", "source_status", "record", ordered_texts(record, registry, prefix).alias("texts"))
+    tagged = ordered.select("*", F.when(texts.isNotNull() | is_plain(record, registry, prefix), plain_tag(record)).alias("tag"))
+    text = {
+        (spec.name, f.source): F.when(texts.isNotNull(), ordered_text(texts, i, f.required)).otherwise(plain_child(record, f.source, prefix))
+        for spec in registry
+        for i, f in enumerate(spec.fields)
+    }
     valued = tagged.select(
         "*",
         *[
             F.when(
                 tag == spec.name,
-                F.struct(*[_plain_value(record, f, prefix).alias(f.target) for f in spec.fields]),
+                F.struct(*[_plain_value(text[spec.name, f.source], f).alias(f.target) for f in spec.fields]),
             ).alias(spec.name)
             for spec in registry
         ],
@@ -57,7 +56,7 @@ def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> Data
     for spec in registry:
         fine = [
             F.col(spec.name).getField(f.target).isNotNull()
-            | (F.lit(False) if f.required else _absent_or_empty(record, f, prefix))
+            | (F.lit(False) if f.required else F.coalesce(text[spec.name, f.source] == "", F.lit(True)))
             for f in spec.fields
         ]
         done = F.when(tag == spec.name, reduce(and_, fine)).otherwise(done)
@@ -77,15 +76,10 @@ def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> Data
     )
 
 
-def _plain_value(record: Column, field: Field, prefix: str) -> Column:
-    text = plain_child(record, field.source, prefix)
+def _plain_value(text: Column, field: Field) -> Column:
     return field.value(strip(text) if field.minds_space else text)
 
 
-def _absent_or_empty(record: Column, field: Field, prefix: str) -> Column:
-    return F.coalesce(plain_child(record, field.source, prefix) == "", F.lit(True))
-
-
 def plain_rows(typed_plain: DataFrame, like: DataFrame, registry: Registry) -> DataFrame:
     """The done rows of `type_plain` with the columns of `type_rows`."""
     fixed = {

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom import Source, default_registry
+from tagloom.operators.plain import is_plain, ordered_text, ordered_texts, plain_child
 from tagloom.operators.typed import good_rows, violations
 from tagloom.plans.ingest import stage
 from tagloom.plans.workspace import work_folder
@@ -194,3 +195,34 @@ def test_cut_broken(cut, name):
 @pytest.mark.parametrize("name", CASES)
 def test_whole(whole, name):
     _check(whole[name], *CASES[name][1:])
+
+
+def test_records_in_declared_order_give_all_texts_at_once(spark):
+    """`ordered_texts` takes no record that `is_plain` refuses, and finds what `plain_child` finds."""
+    children = lambda changes: {f.source: "1" for f in REGISTRY["t_property"].fields} | changes
+    write = lambda c: "property>" + "".join(f"\n  <{k}>{v}</{k}>" for k, v in c.items() if v is not None) + "\n</t_property>\n"
+    ordered = [write(children(c)) for c in ({}, {"enum_id": None}, {"enum_id": "", "name": " é$1\\ \t"}, {"name": "]]", "lang_id": ""})]
+    others = [
+        write(dict(reversed(children({}).items()))),
+        *[write(children({"name": v})) for v in (None, "a]]>", "a&lt;", "a\r", "a\x01", "￾", "�", "x" * 9000)],
+        write(children({})).replace("</name>", "</name><name>2</name>"),
+        write(children({})).replace("</name>", "</name><more>2</more>"),
+        write(children({})).replace("enum_id", "Enum_id"),
+        write(children({})) + "</root>",
+        write(children({})).replace("</t_property>", "</t_key>"),
+        "band><band_id>1</band_id></t_band>",
+    ]
+    record = F.col("record")
+    rows = spark.createDataFrame([(r,) for r in ordered + others], "record string").unionAll(
+        spark.createDataFrame([(bytearray(ordered[0].encode().replace(b"<name>1", b"<name>\xff")),)], "record binary").selectExpr("cast(record as string)")
+    )
+    fields = REGISTRY["t_property"].fields
+    texts = ordered_texts(record, REGISTRY)
+    found = rows.select(
+        texts.isNotNull().alias("taken"),
+        is_plain(record, REGISTRY).alias("plain"),
+        F.array(*[ordered_text(texts, i, f.required) for i, f in enumerate(fields)]).alias("at_once"),
+        F.array(*[plain_child(record, f.source) for f in fields]).alias("singly"),
+    ).collect()
+    assert [r.taken for r in found] == [True] * len(ordered) + [False] * (len(others) + 1)
+    assert all(r.plain and r.at_once == r.singly for r in found if r.taken)
