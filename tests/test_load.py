@@ -451,3 +451,9 @@ def test_members_of_an_archive_are_partitions(spark, write):
     assert read_table(spark, Source(folder, "zip", "m*.xml"), "t_object").count() == 50
     bins = packed([Member("s", "p", packed=k) for k in range(100)], 7)
     assert len(bins) == 7 and max(sum(m.packed for m in b) for b in bins) - min(sum(m.packed for m in b) for b in bins) < 100
+
+
+def test_work_files_hold_ascending_numbers_as_differences(spark, tmp_path):
+    rows = spark.range(0, 300_000, 1, 1).select((F.col("id") + (1 << 33)).alias("at"))
+    assert store(rows, f"file://{tmp_path}", "rows").agg(F.sum("at")).first()[0] == 300_000 * (1 << 33) + 299_999 * 150_000
+    assert sum(f.stat().st_size for f in tmp_path.glob("rows/*.parquet")) < 300_000
