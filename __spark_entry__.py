@@ -149,17 +149,13 @@ def custom_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "t_band",
         (
             Field("band_id", INTEGER, column="band"),
+            Field("band_id", INTEGER, column="doubled", convert=lambda v: v.try_cast("int") * 2),
             Field("grade", INTEGER, required=False, default=7),
         ),
     )
-    doubling = TableSpec(
-        "t_band", (Field("band_id", INTEGER, convert=lambda v: v.try_cast("int") * 2),)
-    )
-    source = _text(spark, sf_dir, fx.everything)
-    plain = read_table(spark, source, "t_band", Registry.of(spec))
-    doubled = read_table(spark, source, "t_band", Registry.of(doubling))
-    return plain.select("band", "grade").unionAll(
-        doubled.select(F.col("band_id").alias("band"), F.lit(None).cast("int").alias("grade"))
+    rows = read_table(spark, _text(spark, sf_dir, fx.everything), "t_band", Registry.of(spec))
+    return rows.select("band", "grade").unionAll(
+        rows.select(F.col("doubled").alias("band"), F.lit(None).cast("int").alias("grade"))
     )
 
 

@@ -81,14 +81,20 @@ def ordered_texts(record: Column, registry: Registry, prefix: str = "") -> Colum
 def _ordered(spec: TableSpec, prefix: str) -> tuple[str, str]:
     """Pattern of such a record of one table, and what takes its place: the texts with marks before them."""
     q, children = re.escape(_qualified(prefix)), []
-    for f in spec.fields:
-        name = q + re.escape(f.source)
-        children.append(f"{_SPACE}<{name}>({_TEXT})</{name}>" if f.required else f"(?:{_SPACE}<{name}>({_TEXT}<)/{name}>)?+")
+    for child in spec.children:
+        name = q + re.escape(child)
+        required = is_required(spec, child)
+        children.append(f"{_SPACE}<{name}>({_TEXT})</{name}>" if required else f"(?:{_SPACE}<{name}>({_TEXT}<)/{name}>)?+")
     row = re.escape(spec.name.removeprefix("t_"))
     pattern = rf"^{row}>{''.join(children)}{_SPACE}</{q}t_{row}>{_SPACE}\z"
     return pattern, _MARK + _MARK.join(f"${i}" for i in range(1, len(children) + 1))
 
 
+def is_required(spec: TableSpec, child: str) -> bool:
+    """Whether a column needs the child."""
+    return any(f.required for f in spec.fields if f.source == child)
+
+
 def ordered_text(texts: Column, number: int, required: bool) -> Column:
     """One text of `ordered_texts`, of the child with that number from 0; NULL where it is absent."""
     text = F.get(texts, F.lit(number + 1))

@@ -16,7 +16,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tagloom.functions.convert import strip
-from tagloom.operators.plain import is_plain, ordered_text, ordered_texts, plain_child, plain_elements, plain_tag
+from tagloom.operators.plain import is_plain, is_required, ordered_text, ordered_texts, plain_child, plain_elements, plain_tag
 from tagloom.operators.rows import LOOSE, MALFORMED, OK, line_ends, row_bytes
 from tagloom.spec import Field, Registry, TableSpec
 
@@ -36,9 +36,9 @@ def type_plain(records: DataFrame, registry: Registry, prefix: str = "") -> Data
     ordered = records.select("source", "split", "at", "source_status", "record", ordered_texts(record, registry, prefix).alias("texts"))
     tagged = ordered.select("*", F.when(texts.isNotNull() | is_plain(record, registry, prefix), plain_tag(record)).alias("tag"))
     text = {
-        (spec.name, f.source): F.when(texts.isNotNull(), ordered_text(texts, i, f.required)).otherwise(plain_child(record, f.source, prefix))
+        (spec.name, c): F.when(texts.isNotNull(), ordered_text(texts, i, is_required(spec, c))).otherwise(plain_child(record, c, prefix))
         for spec in registry
-        for i, f in enumerate(spec.fields)
+        for i, c in enumerate(spec.children)
     }
     valued = tagged.select(
         "*",

@@ -52,7 +52,8 @@ class Field:
 
     `child` is the XML child element it is read from (default: `name`), `column`
     the output name (default: `name`). `convert` replaces the conversion of the
-    kind; it gets trimmed text and must return NULL for text it cannot convert.
+    kind; it gets trimmed text and must return NULL for text it cannot convert. Several
+    columns may be read from one child.
     """
 
     name: str
@@ -108,7 +109,7 @@ class TableSpec:
 
     @property
     def children(self) -> list[str]:
-        return [f.source for f in self.fields]
+        return list(dict.fromkeys(f.source for f in self.fields))
 
     @property
     def required(self) -> list[str]:

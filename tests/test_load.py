@@ -457,3 +457,20 @@ def test_work_files_hold_ascending_numbers_as_differences(spark, tmp_path):
     rows = spark.range(0, 300_000, 1, 1).select((F.col("id") + (1 << 33)).alias("at"))
     assert store(rows, f"file://{tmp_path}", "rows").agg(F.sum("at")).first()[0] == 300_000 * (1 << 33) + 299_999 * 150_000
     assert sum(f.stat().st_size for f in tmp_path.glob("rows/*.parquet")) < 300_000
+
+
+def test_columns_of_one_child(spark, write, database):
+    """Plain rows, in order or not, and rows that are parsed; an absent child is missing in each required column."""
+    band, twice = Field("n", INTEGER, column="band"), Field("n", INTEGER, column="twice", convert=lambda v: v.try_cast("int") * 2)
+    maybe = Field("m", INTEGER, required=False, column="maybe"), Field("m", VARCHAR, required=False, column="text")
+    registry = Registry.of(TableSpec("t_band", (band, twice, *maybe)))
+    rows = ("<n>1</n><m>5</m>", "<m>6</m><n>2</n>", "<n>3</n>", "<n>4</n><m>7</m><!-- x -->", "<m>8</m>", "<n>x</n>")
+    source = Source(write(document(*[f"<t_band>{r}</t_band>" for r in rows])))
+    ingest(spark, source, database, registry=registry, mode="quarantine")
+    assert _rows(spark, database, "t_band") == [(1, 2, 5, "5"), (2, 4, 6, "6"), (3, 6, None, None), (4, 8, 7, "7")]
+    found = spark.table(f"{database}.t_band__rejects").collect()
+    assert sorted([(v.rule, v.column) for v in r.violations] for r in found) == [
+        [(rule, c) for c in ("band", "twice")] for rule in ("missing_column", "not_convertible")
+    ]
+    with pytest.raises(IngestError, match="child declared twice"):
+        TableSpec("t_band", (band, Field("N", INTEGER, column="other")))
