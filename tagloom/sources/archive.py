@@ -3,7 +3,9 @@
 A deflate stream can only be read from its start, so a member is inflated by
 one task. That task does nothing else: it cuts the text into blocks of a few
 megabytes at row starts and passes them on. Splitting blocks into records, and
-everything after it, runs in the JVM, on as many tasks as there are blocks.
+everything after it, runs in the JVM, on as many tasks as there are blocks. Blocks go to these
+tasks by a shuffle of so few partitions that Spark writes each block straight to its partition's file; with more it
+would hold a member's blocks in memory to order them by partition, and spill those of a large member.
 """
 
 from __future__ import annotations
@@ -49,13 +51,19 @@ def read_archive_records(
     sep = separator(prefix)
     blocks = read_members(spark, archives, member, sep, block_bytes)
     # members differ in size: spread the blocks over the cluster
-    blocks = blocks.hint("rebalance", "source", "block")
+    blocks = blocks.hint("rebalance", spread_over(spark), "source", "block")
     records = F.posexplode_outer(F.split("text", rf"\Q{sep}\E")).alias("at", "record")
     return blocks.select("source", F.col("block").alias("split"), "source_status", records).select(
         "source", "split", F.col("at").cast("bigint").alias("at"), "source_status", "record"
     )
 
 
+def spread_over(spark: SparkSession) -> int:
+    """Partitions to shuffle blocks to: as many as Spark writes without holding rows, and no more than for other shuffles."""
+    unheld = int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    return max(1, min(unheld, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def text_blocks(stream: BinaryIO, sep: str, block_bytes: int) -> Iterator[tuple[str, str | None]]:
     """(status, text) of the blocks of a document; an empty one is a fault."""
     for number, text in enumerate(_cut(stream, sep, block_bytes)):

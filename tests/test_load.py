@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -12,6 +13,7 @@ from tagloom import ingest_stream, profile, read_table
 from tagloom.plans import sink
 from tagloom.plans.events import read_events
 from tagloom.plans.workspace import shared_folder, store
+from tagloom.sources import read_archive_records
 from tagloom.spec import INTEGER, VARCHAR
 from tests.helpers import document, row, values, zipped
 
@@ -474,3 +476,19 @@ def test_columns_of_one_child(spark, write, database):
     ]
     with pytest.raises(IngestError, match="child declared twice"):
         TableSpec("t_band", (band, Field("N", INTEGER, column="other")))
+
+
+def test_blocks_of_archives_are_not_held_for_their_shuffle(spark, write):
+    """They go to no more partitions than Spark writes row by row, however many other shuffles have."""
+    folder = write(*[zipped(SolutionDataset=document(*[row(name=str(i)) for i in range(9)])) for _ in range(3)], suffix=".zip")
+    shuffles, unheld = spark.conf.get("spark.sql.shuffle.partitions"), 200
+    try:
+        for asked, given in (("1000", unheld), ("3", 3)):
+            spark.conf.set("spark.sql.shuffle.partitions", asked)
+            records = read_archive_records(spark, folder, "SolutionDataset.xml", block_bytes=256)
+            plan = records._jdf.queryExecution().executedPlan().toString()
+            dealt = [int(n) for n in re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\), REBALANCE", plan)]
+            assert dealt == [given]
+            assert records.filter("record LIKE 'object>%'").count() == 27
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
