@@ -35,6 +35,8 @@ from tagloom.llm.shared import Scratch, ddl, text_parts
 MOST_VOCABULARY_BYTES = 64 << 20
 #: Stretches of text whose ids a worker remembers, about 200 MB; those not used of late go. No result depends on it.
 MOST_STRETCHES = 800_000
+#: Words in such stretches whose ids a worker remembers besides, about 100 MB.
+MOST_WORDS = 500_000
 #: A file is closed once it has this size, and a read of neighbouring frames is at most this long or one frame.
 FILE_BYTES, READ_BYTES = 256 << 20, 8 << 20
 OPEN_FILES = 32
@@ -85,6 +87,8 @@ def _cut_at_blanks(data: dict) -> bool:
 
 #: A line end or none, letters, marks or none: up to three words of the split, whatever stands around them.
 SIMPLE = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*<>|()]*)")
+#: What can be a part of such a stretch.
+SIMPLE_PART = re.compile(r"\n?[A-Za-zÀ-ÖØ-öø-ÿ]*[.,;:!?#$%&*<>|()]*")
 
 
 class Encoder:
@@ -110,8 +114,10 @@ class Encoder:
         if self.in_stretches:
             self.model = self.library.model
             self.letters = {k: self.library.pre_tokenizer.pre_tokenize_str(chr(k))[0][0] for k in range(0x20, 0x100)}
+            self.blank = self.letters[0x20]
             self.line_end = self._ids(["\n"])[0]
-            self.added = [t["content"] for t in data["added_tokens"]]
+            # only these can be in a simple stretch
+            self.added = [t["content"] for t in data["added_tokens"] if SIMPLE_PART.fullmatch(t["content"])]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = []
@@ -121,12 +127,14 @@ class Encoder:
         return found
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            if len(self.words) >= MOST_STRETCHES // 4:
-                self.words.clear()
-            tokens = self.model.tokenize(word.translate(self.letters))
-            ids = self.words[word] = array(self.code, [t.id for t in tokens]).tobytes()
+        """The ids of a word not remembered; remembers them."""
+        if len(self.words) >= MOST_WORDS:
+            self.words.clear()
+        if word.isascii():  # of these only the blank has another letter
+            letters = self.blank + word[1:] if word[0] == " " else word
+        else:
+            letters = word.translate(self.letters)
+        ids = self.words[word] = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
         return ids
 
     def _learn(self, pieces: set[str]) -> None:
@@ -134,14 +142,20 @@ class Encoder:
         if len(self.young) > MOST_STRETCHES // 4:
             self.old, self.young = self.young, {}
         young, fresh, others = self.young, pieces - self.young.keys(), []
+        old, words, word_ids, added, simple_form = self.old, self.words, self._word, self.added, SIMPLE.fullmatch
         for piece in fresh:
-            ids = self.old.get(piece)
+            ids = old.get(piece)
             if ids is None:
-                simple = SIMPLE.fullmatch(piece)
-                if simple and not any(t in piece for t in self.added):
+                simple = simple_form(piece)
+                if simple and not (added and any(t in piece for t in added)):
                     line, word, marks = simple.groups()
-                    ids = (self.line_end + self._word(word)) if line else self._word(" " + word)
-                    ids += self._word(marks) if marks else b""
+                    if not line:
+                        word = " " + word
+                    ids = words.get(word) or word_ids(word)
+                    if line:
+                        ids = self.line_end + ids
+                    if marks:
+                        ids += words.get(marks) or word_ids(marks)
                 elif _even(piece):
                     others.append(piece)
                     continue

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 import re
 import struct
@@ -225,3 +226,16 @@ def test_digests_of_the_query(spark, tmp_path):
 
 def test_prefixes_that_no_column_has():
     assert unused(["a", "_B", "__c"]) == "___" and unused([]) == "_"
+
+
+@pytest.mark.parametrize("added", ["<|endoftext|>", "ell", "o!"])
+def test_stretches_equal_whole_texts_with_few_words_kept(added, monkeypatch):
+    """Added tokens inside a word or its marks, letters beyond ASCII, and words that were forgotten."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        data = json.load(file)
+    data["added_tokens"][0]["content"] = added
+    monkeypatch.setattr(tokenrecords, "MOST_WORDS", 3)
+    encoder = tokenrecords.Encoder(json.dumps(data), "<u2")
+    texts = ["hello hello! a\nhello, élan Ölé! b\nñ ell x o! <|endoftext|>", "hello élan x\nÿ hello!"] * 2
+    whole = [np.array(e.ids, "<u2").tobytes() for e in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.in_stretches and encoder.encode(texts) == whole and len(encoder.words) <= 3
