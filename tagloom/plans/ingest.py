@@ -38,7 +38,7 @@ from tagloom.plans.workspace import (
     store,
     work_folder,
 )
-from tagloom.sources import Layout, layout, read_archive_records, read_records, read_whole_rows
+from tagloom.sources import Layout, layout, read_archive_records, read_packed_records, read_records, read_whole_rows
 from tagloom.sources.archive import ZIP_GLOB
 from tagloom.sources.documents import BAD_DOCUMENT, empty_files, list_files
 from tagloom.sources.heads import UTF8
@@ -56,7 +56,7 @@ STRICT, QUARANTINE = "strict", "quarantine"
 class Source:
     """Documents to read.
 
-    kind: ``text`` for plain XML, split over many tasks; ``zip`` for archives;
+    kind: ``text`` for plain XML, packed by gzip or not, split over many tasks; ``zip`` for archives;
     ``whole`` for plain XML read one document per task. `prefix` is the namespace
     prefix of the row elements; None takes that of each document's root.
     """
@@ -86,7 +86,9 @@ class Source:
         """The records of the files that are cut, by prefix and encoding."""
         if self.kind == ZIP:
             return {k: read_archive_records(spark, f, self.member, k[0]) for k, f in found.cut.items()}
-        return {(p, e): read_records(spark, files, p, e) for (p, e), files in found.cut.items()}
+        ways = ((read_records, found.cut), (read_packed_records, found.packed))
+        parts = {key: [read(spark, files[key], *key) for read, files in ways if key in files] for key in {**found.cut, **found.packed}}
+        return {key: reduce(DataFrame.unionByName, frames) for key, frames in parts.items()}
 
     def whole_rows(
         self, spark: SparkSession, registry: Registry, paths: list[str], only: DataFrame | None = None
@@ -205,7 +207,7 @@ def heal(
     prefixes its document declares, and the document is reported.
     """
     spark = typed.sparkSession
-    cut = [path for files in found.cut.values() for path in files]
+    cut = [path for group in (found.cut, found.packed) for files in group.values() for path in files]
     if not cut:
         return typed, counted
     unsafe = sources_to_reread(counted, outlines(typed))

@@ -8,16 +8,19 @@ size is opened by path and read as a stream.
 from __future__ import annotations
 
 import codecs
+import gzip
 import re
 import zipfile
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import BinaryIO
 from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Status of a source that cannot be read
-BAD_ARCHIVE = "bad_archive"  # not a ZIP file, or damaged
+BAD_ARCHIVE = "bad_archive"  # not a ZIP file, or damaged, as a gzip file may be
 ENCRYPTED = "encrypted_member"
 UNSUPPORTED = "unsupported_compression"
 MISSING = "member_missing"
@@ -25,6 +28,7 @@ UNKNOWN_ENCODING = "unknown_encoding"
 BAD_DOCUMENT = "bad_document"  # not well formed, or empty
 
 DECLARED = re.compile(rb"""^\s*<\?xml[^>]*?encoding\s*=\s*["']([\w.-]+)["']""")
+GZIP_MARK = b"\x1f\x8b"
 MARKS = (
     (codecs.BOM_UTF8, "utf-8-sig"),
     (codecs.BOM_UTF32_LE, "utf-32"),
@@ -76,9 +80,18 @@ def open_file(path: str) -> BinaryIO:
     return system.open_input_file(name)
 
 
+@contextmanager
+def opened_document(path: str) -> Iterator[tuple[BinaryIO, bool]]:
+    """The content of a plain file, inflated where it is packed by gzip, and whether it is; runs in a task."""
+    with open_file(path) as stream:
+        packed = stream.read(len(GZIP_MARK)) == GZIP_MARK
+        stream.seek(0)
+        yield gzip.GzipFile(fileobj=stream) if packed else stream, packed
+
+
 def fault_of(error: Exception) -> str | None:
     """The status an error while reading stands for; None for errors of other kinds."""
-    if isinstance(error, (UnicodeDecodeError, zipfile.BadZipFile, zlib.error, EOFError)):
+    if isinstance(error, (UnicodeDecodeError, zipfile.BadZipFile, gzip.BadGzipFile, zlib.error, EOFError)):
         return BAD_ARCHIVE
     if isinstance(error, LookupError):
         return UNKNOWN_ENCODING

@@ -16,10 +16,10 @@ from typing import BinaryIO
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-from tagloom.sources.documents import empty_files, encoding_of, list_files, open_file
+from tagloom.sources.documents import empty_files, encoding_of, fault_of, list_files, opened_document
 
 READ_BYTES = 1 << 16
-CUT, WHOLE = "cut", "whole"
+CUT, PACKED, WHOLE = "cut", "packed", "whole"
 ROOT = re.compile(rb"<(?:([A-Za-z_][\w.-]*):)?[A-Za-z_\x80-\xff][^\s/>:]*[\s/>]")
 ASCII_BASED = ("utf-8", "utf8", "utf-8-sig", "us-ascii", "ascii")
 
@@ -35,9 +35,10 @@ UTF8 = "utf-8"
 
 @dataclass
 class Layout:
-    """Files by the way they are read: cut at row starts, by prefix and encoding; as a whole; not at all."""
+    """Files by the way they are read: cut at row starts, by prefix and encoding, those packed by gzip apart; as a whole; not at all."""
 
     cut: dict[tuple[str, str], list[str]] = field(default_factory=dict)
+    packed: dict[tuple[str, str], list[str]] = field(default_factory=dict)
     whole: list[str] = field(default_factory=list)
     empty: list[str] = field(default_factory=list)
 
@@ -48,9 +49,9 @@ def layout(spark: SparkSession, paths: str | list[str], prefix: str | None = Non
     heads = list_files(spark, paths).mapInArrow(_heads, "source string, path string, way string, prefix string, encoding string").collect()
     found.empty = empty_files(spark, paths, None, [h.source for h in heads])
     for head in heads:
-        if head.way == CUT:
+        if head.way in (CUT, PACKED):
             key = (head.prefix if prefix is None else prefix, head.encoding)
-            found.cut.setdefault(key, []).append(head.path)
+            (found.cut if head.way == CUT else found.packed).setdefault(key, []).append(head.path)
         else:
             found.whole.append(head.path)
     return found
@@ -60,14 +61,25 @@ def _heads(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ways = []
         for path in batch.column("path").to_pylist():
-            with open_file(path) as stream:
-                ways.append(read_head(stream))
+            with opened_document(path) as (stream, packed):
+                ways.append(_packed_head(stream) if packed else read_head(stream))
         told = [pa.array(column, pa.string()) for column in (zip(*ways) if ways else [()] * 3)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("source"), batch.column("path"), *told], ["source", "path", "way", "prefix", "encoding"]
         )
 
 
+def _packed_head(stream: BinaryIO) -> tuple[str, str, str]:
+    """`read_head` of a gzip file; one that cannot be inflated is left to the reading as a whole, which tells its fault."""
+    try:
+        way, *told = read_head(stream)
+    except Exception as error:  # noqa: BLE001 - raised again unless it is a fault of the file
+        if fault_of(error) is None:
+            raise
+        return WHOLE, "", ""
+    return (PACKED if way == CUT else way), *told
+
+
 def cuttable(encoding: str) -> str | None:
     """The name of an encoding in which files can be cut at bytes, or None."""
     if encoding.lower() in ASCII_BASED:

@@ -21,6 +21,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tagloom.plans.workspace import shared_folder
+from tagloom.sources import packed
 from tagloom.sources.documents import list_files, open_file
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -417,6 +418,39 @@ def zip_documents(rows: DataFrame, member: str) -> str:
     return target
 
 
+def packed_documents(rows: DataFrame) -> str:
+    """Write the documents that `write_documents` writes, packed by gzip in blocks, so that they can be read in parallel."""
+    target = re.sub("^file:(//)?", "", fresh_folder(rows.sparkSession, "gz"))
+    opening, closing = _around()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(target)
+        system.create_dir(base)
+        name = f"{base}/part-{TaskContext.get().partitionId():05d}.xml.gz"  # a repeated task replaces its own
+        held = bytearray(f"{opening}\n".encode())
+        with system.open_output_stream(name, compression=None) as out:
+
+            def put(last: bool = False) -> None:
+                whole = memoryview(bytes(held))
+                end = len(whole) if last else len(whole) // packed.MOST_TEXT * packed.MOST_TEXT
+                for at in range(0, end, packed.MOST_TEXT):
+                    out.write(packed.block(bytes(whole[at : min(end, at + packed.MOST_TEXT)])))
+                del held[:end]
+
+            for batch in batches:
+                held.extend("".join(f"{text}\n" for text in batch.column(0).to_pylist()).encode())
+                put()
+            held.extend(f"{closing}\n".encode())
+            put(last=True)
+            out.write(packed.LAST_BLOCK)
+        yield pa.RecordBatch.from_pydict({"path": [name]})
+
+    rows.mapInArrow(pack, "path string").count()
+    return target
+
+
 def shared_archives(spark: SparkSession, sf_dir: str, make: Callable, archives: int = 2) -> str:
     """Folder of a few ZIP files, each with several of the documents as members and one that is no document."""
     folder, target = documents(spark, sf_dir, make), re.sub("^file:(//)?", "", fresh_folder(spark, "zip"))
@@ -455,10 +489,12 @@ def cached(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], str])
 
 
 def documents(spark: SparkSession, sf_dir: str, make: Callable, prefix: str = "") -> str:
-    """Folder of the documents of one of the row makers above."""
+    """Folder of the documents of one of the row makers above; those of all tables are packed, the others are not."""
 
     def write() -> str:
         rows = make(spark, sf_dir)
+        if make is everything and not prefix:
+            return packed_documents(rows)
         return write_documents(prefixed(rows, prefix) if prefix else rows, prefix=prefix)
 
     return cached(spark, sf_dir, f"{make.__name__}/{prefix}", write)
